@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup, packing, piece_bpe
+from . import exact_dedup, line_dedup, packing, piece_bpe, warc
 from .common import table
 
 
@@ -20,6 +20,10 @@ def tokenizer_file(spark: SparkSession, name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
@@ -36,11 +40,19 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_report(table(spark, sf_dir, "documents"), tokenizer_file(spark, "piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_exact_dedup, op3_line_dedup, op5_packing, op9_sentencepiece)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op3_line_dedup, op5_packing, op9_sentencepiece)}
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages)
+        SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + CAST((CAST('0x' || substr(hex, CAST(1 + (i // 4) * 5 AS INT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INT), 1)), '') AS payload_digest,
+               CASE WHEN page_id = min(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> min(page_id) OVER w THEN min(page_id) OVER w END AS refers_to
+        FROM p WINDOW w AS (PARTITION BY html)""",
     "op2_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_FOLD}) AS text_sha256 FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
