@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup, packing, piece_bpe, warc
+from . import exact_dedup, line_dedup, packing, piece_bpe, toxicity, warc
 from .common import table
 
 
@@ -32,6 +32,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file(spark, "word_bpe_49k.json"))
 
@@ -40,7 +44,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_report(table(spark, sf_dir, "documents"), tokenizer_file(spark, "piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op3_line_dedup, op5_packing, op9_sentencepiece)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op3_line_dedup, op4_toxicity, op5_packing, op9_sentencepiece)}
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
