@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 _CACHE_WORDS = 500_000
-_BIG = np.int64(1 << 40)
+_NONE = np.int32(2**31 - 1)
 _loaded: dict[str, "PieceModel"] = {}
 
 
@@ -45,6 +45,7 @@ class PieceModel:
         self.byte_of = {int(i): b for b, i in enumerate(self.bytes)}
         self.skipped = {i for i in range(n) if sp.is_control(i)}
         self.unknown = sp.unk_id()
+        self.special = self.skipped | {self.unknown}
         own = {self.pieces[i]: i for i in usual}
         # The order of merging: higher scores first; equal scores count as one rank.
         scores = np.array([sp.get_score(i) for i in usual])
@@ -60,81 +61,108 @@ class PieceModel:
                 elif (a is not None or k == 1) and (b is not None or k == len(text) - 1):
                     raise ValueError("a piece with a part that is no piece is not supported")
         self.n, self.own = n, own
-        order = np.array(sorted(pairs), "i8")
-        self.pair_keys = order
-        self.pair_rank = np.array([pairs[k][0] for k in order.tolist()], "i8")
-        self.pair_id = np.array([pairs[k][1] for k in order.tolist()], "i8")
+        # Pairs in an open-addressing table: key, rank and merged symbol.
+        self.slots = 1 << max(4, (4 * len(pairs)).bit_length())
+        self.keys = np.full(self.slots, -1, "i8")
+        self.ranks = np.full(self.slots, _NONE, "i4")
+        self.made = np.full(self.slots, -1, "i4")
+        for key, (rank, made) in pairs.items():
+            at = self._slot(np.int64(key))
+            while self.keys[at] >= 0:
+                at = (at + 1) % self.slots
+            self.keys[at], self.ranks[at], self.made[at] = key, rank, made
+        self.text = [p.replace(SPACE, " ") for p in self.pieces]
+        self.digits = [str(i) for i in range(n)]
         self.first = {text[k] + text[k + 1] for text in own for k in range(len(text) - 1)}
         left = {c for c in map(lambda ab: ab[0], self.first)}
         if any(ab[1] == SPACE and ab[0] != SPACE for ab in self.first) or "\n" in left:
             raise ValueError("pieces cross word borders")
         self.cut = re.compile(f"{SPACE}+[^{SPACE}\\n]*|[^{SPACE}\\n]+|\\n")
-        self.ids: dict[str, str] = {}
-        self.count: dict[str, int] = {}
-        self.back: dict[str, str] = {}
+        #: A word's ids joined by commas, their number, and what they decode to.
+        self.words: dict[str, tuple[str, int, str]] = {}
+
+    def _slot(self, key):
+        return (key * 0x9E3779B1 >> 15) % self.slots
 
     def _ranked(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank (or _BIG) and merged symbol of pairs."""
-        key = np.where((a >= 0) & (b >= 0), a * self.n + b, -1)
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        hit = self.pair_keys[at] == key
-        return np.where(hit, self.pair_rank[at], _BIG), np.where(hit, self.pair_id[at], -1)
+        """Rank (or _NONE) and merged symbol of pairs."""
+        key = a.astype("i8") * self.n + b
+        key[(a < 0) | (b < 0)] = -2
+        at = self._slot(key)
+        found = self.keys[at]
+        rank, made = np.where(found == key, self.ranks[at], _NONE), self.made[at]
+        left = np.flatnonzero((found != key) & (found >= 0) & (key >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) % self.slots
+            found = self.keys[at[left]]
+            hit = found == key[left]
+            rank[left[hit]], made[left[hit]] = self.ranks[at[left[hit]]], self.made[at[left[hit]]]
+            left = left[~hit & (found >= 0)]
+        return rank, made
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat symbols (an id, or -1 - code point for a character that is no piece) and the word of each."""
-        lengths = np.array([len(w) for w in words], "i8")
-        text = "".join(words)
-        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype("i8")
+        lengths = np.fromiter(map(len, words), "i8", len(words))
+        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype("i4")
         kinds, inverse = np.unique(code, return_inverse=True)
-        sym = np.array([self.own.get(chr(c), -1 - int(c)) for c in kinds.tolist()], "i8")[inverse] if len(code) else code
-        word = np.repeat(np.arange(len(words)), lengths)
-        done_sym, done_word, done_at = [], [], []
-        at = np.arange(len(sym))  # place in the text, for the order at the end
-        while len(sym) > 1:
-            rank, made = self._ranked(sym[:-1], sym[1:])
-            rank = np.where(word[:-1] == word[1:], rank, _BIG)
+        sym = np.array([self.own.get(chr(c), -1 - int(c)) for c in kinds.tolist()], "i4")[inverse] if len(code) else code
+        word = np.repeat(np.arange(len(words), dtype="i4"), lengths)
+        rank, made = np.full(len(sym), _NONE), np.full(len(sym), -1, "i4")
+        inner = np.flatnonzero(word[:-1] == word[1:])
+        rank[inner], made[inner] = self._ranked(sym[inner], sym[inner + 1])
+        done_sym, done_word = [], []
+        while len(sym):
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            least = np.minimum.reduceat(np.r_[rank, _BIG], starts)
-            alive = least < _BIG
+            size = np.diff(np.r_[starts, len(sym)])
+            least = np.minimum.reduceat(rank, starts)
+            alive = least < _NONE
             if not alive.all():  # words without pairs leave
-                nth = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(sym)]))
-                stay = alive[nth]
-                done_sym.append(sym[~stay]), done_word.append(word[~stay]), done_at.append(at[~stay])
-                sym, word, at = sym[stay], word[stay], at[stay]
-                continue
-            nth = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(sym)]))
-            pick = rank == least[nth[:-1]]
-            # Of overlapping candidates every second counts from the left of its chain.
-            where = np.flatnonzero(pick)
-            chain = np.flatnonzero(np.r_[True, np.diff(where) != 1])
-            place = np.arange(len(where)) - np.repeat(chain, np.diff(np.r_[chain, len(where)]))
-            where = where[place % 2 == 0]
-            new_sym = sym.copy()
-            new_sym[where] = made[where]
-            gone = np.zeros(len(sym), bool)
-            gone[where + 1] = True
-            s2, w2 = new_sym[~gone], word[~gone]
-            r2 = np.where(w2[:-1] == w2[1:], self._ranked(s2[:-1], s2[1:])[0], _BIG)
-            fresh = np.zeros(len(sym), bool)
-            fresh[where] = True
-            f2 = fresh[~gone]
-            early = (f2[:-1] | f2[1:]) & (r2 <= least[nth[~gone][:-1]])
-            if early.any():
-                bad = np.zeros(len(starts), bool)
-                bad[nth[~gone][:-1][early]] = True
-                of = nth[where]
+                stay = np.repeat(alive, size)
+                done_sym.append(sym[~stay]), done_word.append(word[~stay])
+                sym, word, rank, made = sym[stay], word[stay], rank[stay], made[stay]
+                least, size = least[alive], size[alive]
+                if not len(sym):
+                    break
+            bound = np.repeat(least, size)
+            where = np.flatnonzero(rank == bound)
+            near = np.diff(where) == 1
+            if near.any():  # of overlapping candidates every second counts, from the left of its chain
+                chain = np.flatnonzero(np.r_[True, ~near])
+                place = np.arange(len(where)) - np.repeat(chain, np.diff(np.r_[chain, len(where)]))
+                where = where[place % 2 == 0]
+            merged = self._apply(sym, word, rank, made, where, bound)
+            if merged[4] is not None:  # an early pair arose: those words merge their leftmost pair alone
+                bad, of = merged[4], word[where]
                 lone = np.r_[True, of[1:] != of[:-1]]
-                where = where[lone | ~bad[of]]
-                new_sym = sym.copy()
-                new_sym[where] = made[where]
-                gone[:] = False
-                gone[where + 1] = True
-                s2, w2 = new_sym[~gone], word[~gone]
-            sym, word, at = s2, w2, at[~gone]
-        sym, word, at = np.concatenate([*done_sym, sym]), np.concatenate([*done_word, word]), np.concatenate([*done_at, at])
-        order = np.argsort(at, kind="stable")
+                merged = self._apply(sym, word, rank, made, where[lone | ~np.isin(of, bad)], bound)
+            sym, word, rank, made = merged[:4]
+        sym, word = np.concatenate([*done_sym, sym]), np.concatenate([*done_word, word])
+        order = np.argsort(word, kind="stable")  # a word's symbols leave together and in order
         return sym[order], word[order]
 
+    def _apply(self, sym, word, rank, made, where, bound):
+        """Merge at where; the fifth result names words in which a pair arose that is not later than the one merged."""
+        stay = np.ones(len(sym), bool)
+        stay[where + 1] = False
+        sym = sym.copy()
+        sym[where] = made[where]
+        limit = bound[where]
+        sym, word, rank, made = sym[stay], word[stay], rank[stay], made[stay]
+        at = where - np.arange(len(where))  # places after compaction
+        rank[at] = _NONE
+        right = at[at + 1 < len(sym)]
+        right = right[word[right] == word[right + 1]]
+        left = at[at > 0] - 1
+        left = left[word[left] == word[left + 1]]
+        spots = np.concatenate([left, right])
+        rank[spots], made[spots] = self._ranked(sym[spots], sym[spots + 1])
+        over = np.full(len(sym), -1, "i4")
+        over[at] = limit
+        early = (rank[right] <= over[right]) & (over[right] >= 0)
+        early_left = (rank[left] <= over[left + 1]) & (over[left + 1] >= 0)
+        bad = np.concatenate([word[right[early]], word[left[early_left]]])
+        return sym, word, rank, made, bad if len(bad) else None
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         sym, word = self.merge(words)
         if (sym < 0).any():  # byte fallback
@@ -156,20 +184,27 @@ class PieceModel:
         return self.cut.findall((SPACE + text).replace(" ", SPACE)) if text else []
 
     def learn(self, split: list[list[str]]) -> None:
-        if len(self.ids) > _CACHE_WORDS:
-            self.ids.clear(), self.count.clear(), self.back.clear()
-        fresh = list({w for ws in split for w in ws}.difference(self.ids))
+        if len(self.words) > _CACHE_WORDS:
+            self.words.clear()
+        fresh = list(set().union(*split).difference(self.words))
+        digits, text, raw = self.digits, self.text, self.byte_of
         for w, ids in zip(fresh, self.encode_words(fresh) if fresh else [], strict=True):
-            self.ids[w], self.count[w], self.back[w] = ",".join(map(str, ids)), len(ids), self.decode(ids, False)
+            plain = raw.keys().isdisjoint(ids) and self.special.isdisjoint(ids)
+            back = "".join([text[i] for i in ids]) if plain else self.decode(ids, False)
+            self.words[w] = ",".join([digits[i] for i in ids]), len(ids), back
 
     def encode(self, text: str) -> list[int]:
         ws = self.words_of(text)
         self.learn([ws])
-        return [int(i) for w in ws for i in self.ids[w].split(",")]
+        return [int(i) for w in ws for i in self.words[w][0].split(",")]
 
     def decode_words(self, words: list[str]) -> str:
         """What decode gives for the words' ids in a row: no character's bytes lie in two words."""
-        text = "".join(map(self.back.__getitem__, words))
+        return self._trimmed([self.words[w][2] for w in words])
+
+    @staticmethod
+    def _trimmed(parts: list[str]) -> str:
+        text = "".join(parts)
         return text[1:] if text.startswith(" ") else text
 
     def decode(self, ids: list[int], first: bool = True) -> str:
@@ -222,10 +257,10 @@ def _report(model_path: str):
                 m.learn(split)
                 count, joined, back = [], [], []
                 for ws in split:
-                    count.append(sum(map(m.count.__getitem__, ws)))
-                    text = ",".join(map(m.ids.__getitem__, ws))
-                    joined.append(hashlib.sha256(text.encode()).hexdigest())
-                    back.append(hashlib.sha256(m.decode_words(ws).encode()).hexdigest())
+                    ids, ns, texts = zip(*map(m.words.__getitem__, ws), strict=True) if ws else ((), (), ())
+                    count.append(sum(ns))
+                    joined.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
+                    back.append(hashlib.sha256(m._trimmed(texts).encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(count, pa.int64()), pa.array(joined), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
