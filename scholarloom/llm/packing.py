@@ -31,7 +31,7 @@ WINDOW = 2048
 _PLAIN = regex.compile(r"[\x09-\x0d\x20-\x7e\xa1-įı-ɏ]*")
 #: The pre-tokenizer's pattern, as its file states it.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 800_000
 _loaded: dict[str, "WordTokens"] = {}
 
 
@@ -43,6 +43,7 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}  # what stands between white space: words with their punctuation
         vocab = self.tokenizer.get_vocab(False)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
@@ -64,13 +65,17 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [_WORD.findall(t.lower()) if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
-        if len(self.words) > _CACHE_WORDS:
-            self.words.clear()
-        self._learn(list({w for ws in split if ws for w in ws}.difference(self.words)))
-        odd = iter(self.tokenizer.encode_batch([t for t, ws in zip(texts, split, strict=True) if ws is None], add_special_tokens=False))
+        split = [t.lower().split() if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
+        if len(self.words) + len(self.chunks) > _CACHE_WORDS:
+            self.words.clear(), self.chunks.clear()
+        fresh = list(set().union(*[s for s in split if s]).difference(self.chunks))
+        parts = list(map(_WORD.findall, fresh))
+        self._learn(list(set().union(*parts).difference(self.words)))
         get = self.words.__getitem__
-        return [b"".join(map(get, ws)) if ws is not None else np.asarray(next(odd).ids, "<u4").tobytes() for ws in split]
+        self.chunks.update(zip(fresh, [b"".join(map(get, p)) for p in parts], strict=True))
+        odd = iter(self.tokenizer.encode_batch([t for t, s in zip(texts, split, strict=True) if s is None], add_special_tokens=False))
+        get = self.chunks.__getitem__
+        return [b"".join(map(get, s)) if s is not None else np.asarray(next(odd).ids, "<u4").tobytes() for s in split]
 
 
 def tokens_of(path: str) -> WordTokens:
