@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup, packing, piece_bpe, toxicity, warc
+from . import exact_dedup, line_dedup, near_dedup, packing, piece_bpe, toxicity, warc
 from .common import table
 
 
@@ -44,7 +44,11 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode_report(table(spark, sf_dir, "documents"), tokenizer_file(spark, "piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op3_line_dedup, op4_toxicity, op5_packing, op9_sentencepiece)}
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents")).drop("__key")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op3_line_dedup, op4_toxicity, op5_packing, op9_sentencepiece, op10_minhash)}
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
