@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from .common import written
 from .graph import components
@@ -166,7 +167,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("doc", F.unhex(F.md5(F.col("norm").cast("binary"))).alias("key"), "norm")
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
     """Jaccard similarity of the shingle sets of two normalised texts."""
     out, last, kept = [], None, np.empty(0, np.uint64)
@@ -180,7 +181,7 @@ def jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def agreement(left: pa.Array, right: pa.Array) -> pa.Array:
     """Share of equal components, from one byte of each."""
     a = np.frombuffer(b"".join(left.to_pylist()), "u1").reshape(len(left), -1)
