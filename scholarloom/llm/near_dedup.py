@@ -31,6 +31,7 @@ from pyspark.sql.types import DoubleType
 
 from .common import written
 from .graph import components
+from .hashing import mix
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
@@ -41,14 +42,6 @@ BLOCK = 2048
 PARTNERS = 8
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-_MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """The finaliser of splitmix64."""
-    x = (x ^ (x >> np.uint64(30))) * _MIX1
-    x = (x ^ (x >> np.uint64(27))) * _MIX2
-    return x ^ (x >> np.uint64(31))
 
 
 class WordHash(dict):
@@ -96,7 +89,7 @@ def signatures(doc: np.ndarray, h: np.ndarray, w: np.ndarray, docs: int, m: int
         r = mix(h[:, None] + steps[None, :])
         u = ((r >> np.uint64(11)).astype("f8") + 0.5) * 2.0**-53
         at = x[:, None] + np.cumsum(-np.log(u) / w[:, None], axis=1)
-        slot = doc[:, None] * m + (mix(r ^ _MIX2) % np.uint64(m)).astype("i8")
+        slot = doc[:, None] * m + (mix(r ^ _GOLD) % np.uint64(m)).astype("i8")
         take = at < best[slot]
         where, when = slot[take], at[take]
         value = np.broadcast_to(h[:, None], at.shape)[take]
@@ -114,7 +107,7 @@ def signatures(doc: np.ndarray, h: np.ndarray, w: np.ndarray, docs: int, m: int
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
     parts = sig.reshape(len(sig), BANDS, ROWS)
-    out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX1, (len(sig), BANDS)).copy()
+    out = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD, (len(sig), BANDS)).copy()
     for k in range(ROWS):
         out = mix(out * _GOLD + parts[:, :, k])
     return out.view("i8")

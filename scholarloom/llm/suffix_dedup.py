@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_path, fresh_path, written
-from .near_dedup import mix
+from .hashing import BASE, Prints, mix
 from .warc import open_store
 
 LENGTH, GRAM = 200, 48
@@ -42,42 +42,6 @@ CHUNK_BYTES = 4 << 20
 #: Contexts of one rank that are compared in one task; more go by single windows.
 GROUP = 20_000
 
-_BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: list[tuple[np.ndarray, np.ndarray]] = []
-
-
-def powers(n: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i below n at least."""
-    while len(_powers) <= which:
-        _powers.append((np.ones(1, np.uint64), np.ones(1, np.uint64)))
-    up, down = _powers[which]
-    if len(up) < n:
-        n = max(n, 1 << 20)
-        back = np.uint64(pow(int(_BASE[which]), -1, 2**64))
-        up = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, _BASE[which])])
-        down = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, back)])
-        _powers[which] = (up, down)
-    return up, down
-
-
-class Prints:
-    """Fingerprints of substrings of one byte array, from prefix sums."""
-
-    def __init__(self, data: np.ndarray, which: int = 0):
-        up, self.down = powers(len(data) + 1, which)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[which][data] * up[: len(data)], out=self.sums[1:])
-
-    def of(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        return mix((self.sums[hi] - self.sums[lo]) * self.down[lo] + (hi - lo).astype(np.uint64))
-
-    def grams(self, k: int) -> np.ndarray:
-        n = len(self.sums) - k
-        return mix((self.sums[k:] - self.sums[:n]) * self.down[:n] + np.uint64(k))
-
-
 def leftmost_minimum(h: np.ndarray, w: int) -> np.ndarray:
     """For each p the place of the smallest of h[p : p + w], the leftmost of equal ones by their upper 38 bits."""
     n = len(h)
@@ -283,7 +247,7 @@ def window_prints(rows: list[tuple], length: int) -> tuple[np.ndarray, np.ndarra
     lo = base[row] + nth
     distance = far[row] - nth
     data = np.frombuffer(b"".join(r[4] for r in rows), "u1")
-    tag = mix(np.array([r[0] for r in rows], "i8").view(np.uint64)[row] + distance.astype(np.uint64) * _BASE[1])
+    tag = mix(np.array([r[0] for r in rows], "i8").view(np.uint64)[row] + distance.astype(np.uint64) * BASE[1])
     return row, distance, mix(Prints(data, 0).of(lo, lo + length) ^ tag), mix(Prints(data, 1).of(lo, lo + length) + tag)
 
 
