@@ -25,76 +25,132 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_path, fresh_path
+from .hashing import Prints
 
 WINDOW = 2048
 #: Characters for which lower-casing, NFC and the classes of the two regex engines agree.
 _PLAIN = regex.compile(r"[\x09-\x0d\x20-\x7e\xa1-įı-ɏ]*")
 #: The pre-tokenizer's pattern, as its file states it.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_CACHE_WORDS = 800_000
-_loaded: dict[str, "WordTokens"] = {}
+_CACHE = 1_000_000
+_loaded: dict[str, "ChunkTokens"] = {}
 
 
-class WordTokens:
-    """Token ids of a word-level BPE file. A word is tokenized once; texts with unusual characters go to the library whole."""
+class ChunkTokens:
+    """Token ids of a word-level BPE file.
+
+    Texts are cut at white space, which no token crosses. Each distinct chunk is tokenized by the
+    library once and kept in one flat array of ids; a text's ids are gathered from there by the
+    chunks' fingerprints. Texts with unusual characters go to the library whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}  # what stands between white space: words with their punctuation
         vocab = self.tokenizer.get_vocab(False)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-
-    def _learn(self, fresh: list[str]) -> None:
-        """Ids of new words. Many words make one text; the ids that end a word tell them apart."""
-        some = [fresh[i : i + 512] for i in range(0, len(fresh), 512)]
-        for words, e in zip(some, self.tokenizer.encode_batch_fast([" ".join(ws) for ws in some], add_special_tokens=False), strict=True):
-            ids = np.asarray(e.ids, "<u4")
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[int, int] = {}
+        self.flat, self.used = np.zeros(1 << 20, "<u4"), 0
+        self.start, self.size = np.zeros(1 << 18, "i8"), np.zeros(1 << 18, "i8")
+
+    def _tokenize(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and their number for each chunk. Many chunks make one text; ids that end a word tell them apart."""
+        words = np.fromiter(map(len, map(_WORD.findall, chunks)), "i8", len(chunks))
+        lots = range(0, len(chunks), 512)
+        flat, sizes = [], []
+        for lo, e in zip(lots, self.tokenizer.encode_batch_fast([" ".join(chunks[lo : lo + 512]) for lo in lots], add_special_tokens=False), strict=True):
+            ids, own = np.asarray(e.ids, "<u4"), words[lo : lo + 512]
             cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(words):
-                raw, lo = ids.tobytes(), 0
-                for w, hi in zip(words, (4 * cuts).tolist(), strict=True):
-                    self.words[w] = raw[lo:hi]
-                    lo = hi
+            if len(cuts) == own.sum() and own.all():
+                flat.append(ids)
+                sizes.append(np.diff(np.r_[0, cuts[np.cumsum(own) - 1]]))
             else:
-                for w, one in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-                    self.words[w] = np.asarray(one.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.lower().split() if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
-        if len(self.words) + len(self.chunks) > _CACHE_WORDS:
-            self.words.clear(), self.chunks.clear()
-        fresh = list(set().union(*[s for s in split if s]).difference(self.chunks))
-        parts = list(map(_WORD.findall, fresh))
-        self._learn(list(set().union(*parts).difference(self.words)))
-        get = self.words.__getitem__
-        self.chunks.update(zip(fresh, [b"".join(map(get, p)) for p in parts], strict=True))
-        odd = iter(self.tokenizer.encode_batch([t for t, s in zip(texts, split, strict=True) if s is None], add_special_tokens=False))
-        get = self.chunks.__getitem__
-        return [b"".join(map(get, s)) if s is not None else np.asarray(next(odd).ids, "<u4").tobytes() for s in split]
-
-
-def tokens_of(path: str) -> WordTokens:
+                each = [np.asarray(x.ids, "<u4") for x in self.tokenizer.encode_batch(chunks[lo : lo + 512], add_special_tokens=False)]
+                flat += each
+                sizes.append(np.array([len(x) for x in each], "i8"))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _learn(self, keys: list[int], chunks: list[str]) -> None:
+        ids, size = self._tokenize(chunks)
+        n, m = len(self.known), len(chunks)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.r_[self.flat, np.zeros_like(self.flat)]
+        while n + m > len(self.start):
+            self.start, self.size = np.r_[self.start, np.zeros_like(self.start)], np.r_[self.size, np.zeros_like(self.size)]
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[n : n + m] = self.used + np.cumsum(size) - size
+        self.size[n : n + m] = size
+        self.used += len(ids)
+        self.known.update(zip(keys, range(n, n + m), strict=True))
+
+    def _gathered(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of plain texts."""
+        raw = [t.lower().encode() for t in texts]
+        joined = b"\n".join(raw)
+        data = np.frombuffer(joined, "u1")
+        first = np.cumsum([0, *(len(r) + 1 for r in raw)])
+        inside = np.r_[False, (data != 32) & ((data > 13) | (data < 9)), False]
+        edge = np.flatnonzero(inside[1:] != inside[:-1])
+        lo, hi = edge[::2], edge[1::2]
+        if not len(lo):
+            return [np.empty(0, "<u4")] * len(texts)
+        keys, at, inverse = np.unique(Prints(data).of(lo, hi), return_index=True, return_inverse=True)
+        if len(self.known) > _CACHE:
+            self._clear()
+        names = keys.tolist()
+        place = list(map(self.known.get, names))
+        if None in place:
+            fresh = [i for i, x in enumerate(place) if x is None]
+            spots = at[fresh]
+            self._learn([names[i] for i in fresh], [joined[a:b].decode() for a, b in zip(lo[spots].tolist(), hi[spots].tolist(), strict=True)])
+            place = list(map(self.known.__getitem__, names))
+        chunk = np.array(place, "i8")[inverse]
+        size = self.size[chunk]
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(self.start[chunk] - (ends - size), size) + np.arange(ends[-1])]
+        cuts = np.r_[0, ends][np.searchsorted(lo, first)]
+        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        plain = [bool(_PLAIN.fullmatch(t)) and "<|" not in t for t in texts]
+        easy = iter(self._gathered([t for t, p in zip(texts, plain, strict=True) if p]))
+        odd = iter(self.tokenizer.encode_batch([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
+        return [next(easy) if p else np.asarray(next(odd).ids, "<u4") for p in plain]
+
+
+def tokens_of(path: str) -> ChunkTokens:
     """One for each Python worker and file."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _loaded:
-        _loaded[path] = WordTokens(path)
+        _loaded[path] = ChunkTokens(path)
     return _loaded[path]
 
 
+def lots(texts: list[str | None], most: int = 3_000_000) -> Iterator[tuple[int, list[str]]]:
+    """Texts in runs of at most about `most` characters, with the number of the first."""
+    lo, held, some = 0, 0, []
+    for i, t in enumerate(texts):
+        some.append(t or "")
+        held += len(some[-1])
+        if held >= most or i == len(texts) - 1:
+            yield lo, some
+            lo, held, some = i + 1, 0, []
+
+
 def _tokenized(tokenizer_path: str, end_id: int):
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, at, part = tokens_of(tokenizer_path), 0, TaskContext.get().partitionId()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
-                ids = [x + end for x in own.encode([t or "" for t in some.column(1).to_pylist()])]
+            for lo, texts in lots(batch.column(1).to_pylist()):
+                some = batch.slice(lo, len(texts))
+                ids = [x.tobytes() + end for x in own.encode(texts)]
                 n = np.array([len(x) // 4 for x in ids], "i8")
                 start = at + np.cumsum(n) - n
                 at += int(n.sum())
