@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, html_extract, line_dedup, near_dedup, packing, piece_bpe, suffix_dedup, toxicity, warc
+from . import ann, exact_dedup, html_extract, line_dedup, near_dedup, packing, piece_bpe, suffix_dedup, toxicity, warc
 from .common import table
 
 
@@ -44,6 +44,10 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
 
@@ -56,7 +60,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents")).drop("__key")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op3_line_dedup, op4_toxicity, op5_packing, op6_html, op8_suffix_array, op9_sentencepiece, op10_minhash)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_warc, op2_exact_dedup, op3_line_dedup, op4_toxicity, op5_packing, op6_html, op7_ann, op8_suffix_array, op9_sentencepiece, op10_minhash)}
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
