@@ -326,6 +326,11 @@ def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows that stay, with the columns of docs. Rows that repeat a doc_id with the same words are one document."""
-    classes = near_classes(docs, id_col=id_col, text_col=text_col, threshold=threshold)
-    drop = classes.where(~F.col("kept")).select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(drop, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+    names = docs.columns
+    # Clashing names step aside while the decision is made.
+    held = docs.toDF(*[f"__c{i}" for i in range(len(names))])
+    own_id, own_text = f"__c{names.index(id_col)}", f"__c{names.index(text_col)}"
+    classes = near_classes(held, id_col=own_id, text_col=own_text, threshold=threshold)
+    drop = classes.where(~F.col("kept")).select(F.col(own_id).alias("__id"), "__key").distinct()
+    same = F.col(own_id).eqNullSafe(F.col("__id")) & (F.unhex(F.md5(normal(own_text).cast("binary"))) == F.col("__key"))
+    return held.join(drop, same, "left_anti").select(*[F.col(f"__c{i}").alias(n) for i, n in enumerate(names)])
