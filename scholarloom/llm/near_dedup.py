@@ -7,8 +7,9 @@ process ends once it is later than every component's best. Components of two sig
 the probability Jaccard of the weighted shingle sets. Signatures are cut into bands.
 
 Documents with the same words are one node. In every bucket of a band the nodes are compared with
-the bucket's smallest node first; buckets whose nodes are then still in several components are
-compared in full, by signatures in blocks, and the likely pairs between components are checked.
+the bucket's smallest node first. Buckets whose nodes are then still in several components are
+compared in full: in blocks, by signatures, and then by texts for the likely pairs between
+components, until the block's components are joined or all these pairs are refuted.
 A link counts if the Jaccard similarity of the two shingle sets, computed from the texts, is at
 least 0.8. Classes are the connected components of the links; the smallest doc_id stays.
 
@@ -36,10 +37,9 @@ from .hashing import mix
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
 M = BANDS * ROWS
-#: Signatures whose share of equal components is lower are not compared: over four standard errors under the threshold.
-LEAST_ESTIMATE = 0.65
+#: Signatures whose share of equal components is lower than the threshold by more are not compared: over four standard errors.
+SLACK = 0.15
 BLOCK = 2048
-PARTNERS = 8
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -114,7 +114,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def text_signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures, and which texts have shingles."""
+    """Signatures and the number of different shingles."""
     owner, value, weight = [], [], []
     for i, t in enumerate(texts):
         v, n = np.unique(shingles(t), return_counts=True)
@@ -122,7 +122,7 @@ def text_signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         value.append(v)
         weight.append(1 + np.log(n))
     sig = signatures(np.concatenate(owner), np.concatenate(value), np.concatenate(weight), len(texts))
-    return sig, np.array([len(v) > 0 for v in value])
+    return sig, np.array([len(v) for v in value], "i4")
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +133,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts: list[str] = []
             seen: dict[bytes, int] = {}
             rows: list[int] = []
-            while hi < batch.num_rows and held < 4_000_000 and hi - lo < 2048:
+            while hi < batch.num_rows and held < 2_000_000 and hi - lo < 2048:
                 key = batch.column(1)[hi].as_py()
                 if key not in seen:
                     seen[key] = len(texts)
@@ -146,7 +146,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low = (mix(sig) & np.uint64(255)).astype("u1")
             some = batch.slice(lo, hi - lo)
             bands = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype="i4") * BANDS, keys[rows].ravel())
-            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([low[r].tobytes() for r in rows], pa.binary()), bands, pa.array(full[rows])], ["doc", "key", "sig", "bands", "full"])
+            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array([low[r].tobytes() for r in rows], pa.binary()), bands, pa.array(full[rows], pa.int32())], ["doc", "key", "sig", "bands", "size"])
             lo = hi
 
 
@@ -182,46 +182,92 @@ def agreement(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array((a == b).mean(axis=1))
 
 
-def _pairs_in_buckets(partners: int):
-    """Rows (bucket, i, j, side, node, root, sig) sorted by (bucket, i, j) to likely pairs (u, v) between different roots."""
+def candidates(root: np.ndarray, head: np.ndarray, side: np.ndarray, size: np.ndarray, sig: np.ndarray, band: int, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(a, others): pairs of a block that may be links between components, likeliest first.
 
-    def best(nodes: list, roots: list, sigs: list, sides: list) -> list[tuple]:
-        if len(set(roots)) < 2:
+    Each pair comes up in the first band that holds it. Pairs with a bucket's head were compared before.
+    """
+    across = np.where(side == 2, 2, 1 - side)
+    largest = np.bincount(root).argmax()  # one end of any pair between components lies outside it
+    for a in np.flatnonzero((root != largest) & ~head).tolist():
+        fits = np.minimum(size, size[a]) >= threshold * np.maximum(size, size[a])
+        others = np.flatnonzero((root != root[a]) & (side == across[a]) & fits & ~head)
+        if not len(others):
+            continue
+        equal = sig[others] == sig[a]
+        share = equal.mean(axis=1)
+        first = equal.reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1)
+        good = np.flatnonzero((share >= threshold - SLACK) & (first == band))
+        if len(good):
+            yield a, others[good[np.argsort(-share[good], kind="stable")]]
+
+
+def _in_blocks(threshold: float, verify: bool):
+    """Rows (band, b, i, j, side, key, root, head, size, sig[, norm]) sorted by (band, i, j).
+
+    Without texts: the rows that still have something to compare, as (band, i, j, u, null).
+    With texts: links found, as (band, i, j, u, v), no more than join the block's components.
+    """
+
+    def settle(key: tuple, rows: list[tuple]) -> list[tuple]:
+        if len(rows) < 2:
             return []
-        root = np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
-        sig = np.frombuffer(b"".join(sigs), "u1").reshape(len(sigs), -1)
-        side = np.array(sides)
-        left = np.flatnonzero(side != 1)
-        right = np.flatnonzero(side != 0)
+        root = np.unique(np.array([r[6].hex() for r in rows]), return_inverse=True)[1]
+        side, size = np.array([r[4] for r in rows]), np.array([r[8] for r in rows])
+        sig = np.frombuffer(b"".join(r[9] for r in rows), "u1").reshape(len(rows), -1)
+        head = np.array([r[7] for r in rows])
+        found = candidates(root, head, side, size, sig, rows[0][1], threshold)
+        if not verify:
+            wanted = set()
+            for a, others in found:
+                wanted.add(a)
+                wanted.update(others.tolist())
+            return [(*key, rows[x][5], None) for x in wanted]
+        parent = list(range(int(root.max()) + 1))
+        sets: dict[int, np.ndarray] = {}
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        def own(x: int) -> np.ndarray:
+            if x not in sets:
+                sets[x] = np.unique(shingles(rows[x][10]))
+            return sets[x]
+
         out = []
-        for a in left.tolist():
-            others = right[root[right] != root[a]]
-            if not len(others):
-                continue
-            near = (sig[others] == sig[a]).mean(axis=1)
-            good = np.flatnonzero(near >= LEAST_ESTIMATE)
-            good = good[np.argsort(-near[good], kind="stable")][:partners]
-            out += [(nodes[a], nodes[others[g]]) for g in good.tolist()]
+        for a, others in found:
+            for b in others.tolist():
+                if top(root[a]) == top(root[b]):
+                    continue
+                x, y = own(a), own(b)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if common >= threshold * (len(x) + len(y) - common):
+                    parent[top(root[a])] = top(root[b])
+                    out.append((*key, rows[a][5], rows[b][5]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held, found = None, ([], [], [], []), []
+        group, held, found = None, [], []
 
-        def emit():
-            u, v = zip(*found, strict=True) if found else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
+        def emit() -> pa.RecordBatch:
+            cols = list(zip(*found, strict=True)) if found else [()] * 5
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["band", "i", "j", "u", "v"])
 
         for batch in batches:
-            for bucket, i, j, side, node, root, sig in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (bucket, i, j) != group:
-                    found += best(*[held[k] for k in (0, 1, 2, 3)])
-                    group, held = (bucket, i, j), ([], [], [], [])
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                key = (row[0], row[2], row[3])
+                if key != group:
+                    found += settle(group, held)
+                    group, held = key, []
                     if len(found) > 20_000:
                         yield emit()
                         found.clear()
-                for to, x in zip(held, (node, root, sig, side), strict=True):
-                    to.append(x)
-        found += best(*[held[k] for k in (0, 1, 2, 3)])
+                held.append(row)
+        found += settle(group, held)
         yield emit()
 
     return run
@@ -234,84 +280,72 @@ class NearDuplicates:
         self.spark, self.threshold = docs.sparkSession, threshold
         self.rows = keyed(docs, id_col, text_col)
         kind = dict(docs.dtypes)[id_col]
-        self.signed = written(self.rows.mapInArrow(_sign, f"doc {kind}, key binary, sig binary, bands array<bigint>, full boolean"), "signatures")
+        self.signed = written(self.rows.mapInArrow(_sign, f"doc {kind}, key binary, sig binary, bands array<bigint>, size int"), "signatures")
         # One node for each text; of the copies one row's text is read later, the smallest doc_id's.
-        self.nodes = written(self.signed.where("full").groupBy("key").agg(F.min("doc").alias("doc"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes")
-        self.sigs = self.nodes.select("key", "sig")
-        self.links: DataFrame | None = None
-        self.tried: DataFrame | None = None
-        self.texts: DataFrame | None = None
-
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """Of distinct (u, v) those at the threshold."""
-        by = lambda name, s: self.sigs.select(F.col("key").alias(name), F.col("sig").alias(s))
-        likely = pairs.join(by("u", "su"), "u").join(by("v", "sv"), "v").where(agreement("su", "sv") >= LEAST_ESTIMATE).select("u", "v")
-        likely = written(likely, "likely")
-        wanted = likely.select(F.col("u").alias("key")).unionByName(likely.select(F.col("v").alias("key"))).distinct()
-        if self.texts is not None:
-            wanted = wanted.join(self.texts.select("key"), "key", "left_anti")
-        wanted = wanted.join(self.nodes.select("key", "doc"), "key")
-        # (key, doc) spreads the copies of a text over the partitions; one of them is wanted.
-        more = self.rows.join(wanted, (self.rows["key"] == wanted["key"]) & self.rows["doc"].eqNullSafe(wanted["doc"])).select(wanted["key"], "norm").dropDuplicates(["key"])
-        more = written(more, "texts")
-        self.texts = more if self.texts is None else self.texts.unionByName(more)
+        nodes = self.signed.where("size > 0").groupBy("key")
+        self.nodes = written(nodes.agg(F.min("doc").alias("doc"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.first("size").alias("size")), "nodes")
+        self.sigs = self.nodes.select("key", "sig", "size")
+
+    def estimated(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs (u, v) those that can be links by the sizes of their sets and by their signatures."""
+        by = lambda name, s, n: self.sigs.select(F.col("key").alias(name), F.col("sig").alias(s), F.col("size").alias(n))
+        both = pairs.join(by("u", "su", "nu"), "u").join(by("v", "sv", "nv"), "v")
+        fits = F.least("nu", "nv") >= F.greatest("nu", "nv") * F.lit(self.threshold)
+        return both.where(fits).where(agreement("su", "sv") >= self.threshold - SLACK).select("u", "v")
+
+    def verified(self, likely: DataFrame) -> DataFrame:
+        """Of pairs (u, v) those at the threshold, by their texts."""
         text = lambda name, t: self.texts.select(F.col("key").alias(name), F.col("norm").alias(t))
         return likely.join(text("u", "tu"), "u").join(text("v", "tv"), "v").where(jaccard("tu", "tv") >= self.threshold).select("u", "v")
 
-    def roots(self) -> DataFrame:
-        return components(self.links)
-
     def run(self) -> DataFrame:
         """(node, root) of nodes that aren't their component's root."""
-        member = self.nodes.select("key", F.explode("bands").alias("band"))
+        member = self.nodes.select("key", F.posexplode("bands").alias("b", "band"))
         # Counts combine before the shuffle; a bucket of one node ends here.
         heads = written(member.groupBy("band").agg(F.min("key").alias("head"), F.count("*").alias("n")).where("n > 1"), "buckets")
-        members = written(member.join(heads, "band").select("band", "key", "head", "n"), "members")
-        star = members.where("key <> head").select(F.col("key").alias("u"), F.col("head").alias("v")).distinct()
-        star = written(star, "pairs")
-        self.tried = star
-        self.links = written(self.verify(star), "links")
-        partners = PARTNERS
-        while True:
-            root = self.roots()
-            more = written(self._between(members, root, partners), "pairs")
-            fresh = more.join(self.tried, ["u", "v"], "left_anti")
-            fresh = written(fresh.join(self.tried.select(F.col("u").alias("v"), F.col("v").alias("u")), ["u", "v"], "left_anti"), "pairs")
-            if fresh.isEmpty():
-                # All that a document's best partners offer is tried; done unless some had more than these.
-                full = more.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= partners)
-                if full.isEmpty():
-                    return root
-            else:
-                self.tried = self.tried.unionByName(fresh)
-                self.links = self.links.unionByName(written(self.verify(fresh), "links"))
-            partners *= 8
-
-    def _between(self, members: DataFrame, root: DataFrame, partners: int) -> DataFrame:
-        """Likely pairs (u, v), u < v, of nodes of one bucket in different components."""
-        now = members.join(root.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        open_ = now.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("band")
-        rows = now.join(open_, "band").join(self.sigs, "key")
+        members = written(member.join(heads, "band").select("band", "b", "key", "head", "n"), "members")
+        # The texts of all nodes that share a bucket, fetched once. (key, doc) spreads the copies of a text; one of them is wanted.
+        wanted = members.select("key").distinct().join(self.nodes.select("key", "doc"), "key")
+        same = (self.rows["key"] == wanted["key"]) & self.rows["doc"].eqNullSafe(wanted["doc"])
+        self.texts = written(self.rows.join(wanted, same).select(wanted["key"], "norm").dropDuplicates(["key"]), "texts")
+        star = members.where("key <> head").select(F.col("head").alias("u"), F.col("key").alias("v")).distinct()
+        links = written(self.verified(written(self.estimated(star), "pairs")), "links")
+        root = components(links)
+        more = written(self.between(members, root), "links")
+        if more.isEmpty():
+            return root
+        return components(root.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+
+    def between(self, members: DataFrame, root: DataFrame) -> DataFrame:
+        """Links (u, v) between components within the buckets, all pairs but those with a head being looked at."""
+        now = members.where("n > 2").join(root.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        now = written(now, "rooted")
+        open_ = now.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select("band")
         # A large bucket is dealt out in blocks; each pair of blocks is a group of its own.
-        blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-        rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-        spread = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        spread = spread.select(
-            "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "key", "root", "sig",
+        rows = now.join(open_, "band").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        spread = rows.select(
+            "band", "b", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "key", "root", (F.col("key") == F.col("head")).alias("first"),
         )
+        full = written(spread.join(self.sigs, "key").select("band", "b", "i", "j", "side", "key", "root", "first", "size", "sig"), "blocks")
+        schema = "band long, i int, j int, u binary, v binary"
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        dealt = spread.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-        return dealt.mapInArrow(_pairs_in_buckets(partners), "u binary, v binary").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        dealt = lambda df: df.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
+        wanted = written(dealt(full).mapInArrow(_in_blocks(self.threshold, False), schema).select("band", "i", "j", F.col("u").alias("key")), "wanted")
+        some = full.join(wanted, ["band", "i", "j", "key"], "left_semi").join(self.texts, "key")
+        some = some.select("band", "b", "i", "j", "side", "key", "root", "first", "size", "sig", "norm")
+        return dealt(some).mapInArrow(_in_blocks(self.threshold, True), schema).select("u", "v")
 
 
 def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, class_id (the smallest doc_id of its class), class_size, kept, and __key."""
     job = NearDuplicates(docs, id_col, text_col, threshold)
     root = job.run().select(F.col("node").alias("key"), "root")
-    rows = job.signed.select("doc", "key", "full")
+    rows = job.signed.select("doc", "key", "size")
     # Copies are counted by text first, so that no key's rows meet in one task.
-    per_key = rows.where("full").groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("first"))
+    per_key = rows.where("size > 0").groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("first"))
     per_key = per_key.join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
     per_class = per_key.groupBy("root").agg(F.sum("n").alias("class_size"), F.min("first").alias("class_id"))
     of = written(per_key.join(per_class, "root").select("key", "class_id", "class_size"), "classes")
