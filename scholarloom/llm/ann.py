@@ -4,9 +4,9 @@ Vectors are scaled to norms of at most one and get one more component that makes
 the largest inner product is the smallest Euclidean distance. A table hashes a vector by
 floor((a.x - m) / W) for several Gaussian directions a. Instead of adding tables, a query visits in
 each table, besides its own bucket, the buckets with perturbed hash values in the order of the
-estimated probability of holding a neighbour, until these add up to the wanted success. All
-vectors of visited buckets are ranked by their exact inner product and the tables' candidates are
-merged.
+estimated probability of holding a neighbour, until these add up to the wanted success. The vectors
+of visited buckets are ranked by their inner product, the best again by the exact one, and the
+tables' candidates are merged.
 
 Directions come from a seed; medians, widths and the similarity of a neighbour are fitted on a
 sample of at most `sample` vectors (smallest hash of vec_id). Every vector is indexed. Buckets are
@@ -87,7 +87,7 @@ def _normal_below(z: np.ndarray) -> np.ndarray:
     return np.where(z > 0, 1 - tail, tail)
 
 
-def fit_index(sample: np.ndarray, scale: float, total: int, k: int, *, tables: int = 4, success: float = 0.97, group: int = GROUP, seed: int = 5) -> Index:
+def fit_index(sample: np.ndarray, scale: float, total: int, k: int, *, tables: int = 2, success: float = 0.97, group: int = GROUP, seed: int = 5) -> Index:
     """functions: so many that a bucket holds about BUCKET vectors; similarity: of the k-th nearest in the sample, which is less than in the whole table."""
     rng = np.random.default_rng(seed)
     functions = int(np.clip(round(math.log2(max(1, total / BUCKET))), 2, 16))
@@ -103,30 +103,42 @@ def fit_index(sample: np.ndarray, scale: float, total: int, k: int, *, tables: i
     return index
 
 
-def probes(logs: np.ndarray, wanted: float) -> np.ndarray:
-    """functions x cells log probabilities of one table to the buckets that are visited, likeliest first.
+BINS, BIN = 512, 0.08
 
-    Perturbations are built function by function; what falls under the least probability that can
-    still be visited is dropped, so that only likely buckets are ever listed.
+
+def least_visited(logs: np.ndarray, wanted: float) -> np.ndarray:
+    """queries x functions x cells log probabilities of one table to the log probability of the last bucket visited.
+
+    Buckets are visited by falling probability until these add up to `wanted`. How much probability
+    lies at each level is summed up function by function over binned logarithms, not bucket by bucket.
     """
-    order = np.argsort(-(np.sort(logs, axis=1)[:, -1] - np.sort(logs, axis=1)[:, -2]), kind="stable")
-    floor = -12.0
-    while True:
-        code, lp = np.zeros(1, "i8"), np.zeros(1)
-        best_rest = np.sort(logs, axis=1)[:, -1]
-        rest = best_rest.sum()
-        top = rest
-        for f in order:
-            rest -= best_rest[f]
-            lp = (lp[:, None] + logs[f][None, :]).ravel()
-            code = (code[:, None] + (np.arange(4, dtype="i8") << np.int64(2 * f))[None, :]).ravel()
-            keep = lp + rest >= top + floor
-            code, lp = code[keep], lp[keep]
-        rank = np.argsort(-lp, kind="stable")
-        mass = np.cumsum(np.exp(lp[rank]))
-        if mass[-1] >= wanted or floor <= -60:
-            return code[rank[: int(np.searchsorted(mass, wanted)) + 1]]
-        floor *= 1.6
+    n = len(logs)
+    mass = np.zeros((n, BINS))
+    mass[:, 0] = 1
+    step = np.minimum(np.round(-logs / BIN).astype("i8"), BINS - 1)
+    for f in range(logs.shape[1]):
+        new = np.zeros_like(mass)
+        for c in range(logs.shape[2]):
+            target = np.minimum(np.arange(BINS)[None, :] + step[:, f, c, None], BINS - 1)
+            flat = target + np.arange(n)[:, None] * BINS
+            new += np.bincount(flat.ravel(), (mass * np.exp(logs[:, f, c])[:, None]).ravel(), n * BINS).reshape(n, BINS)
+        mass = new
+    last = (np.cumsum(mass, axis=1) < wanted).sum(axis=1)
+    # Rounding adds at most half a bin per function; a bucket at the border is visited.
+    return -(np.minimum(last, BINS - 1) + 0.5 * math.sqrt(logs.shape[1])) * BIN
+
+
+def visited_groups(logs: np.ndarray, least: float, functions: int) -> np.ndarray:
+    """Groups (values of the first functions) of one query that hold a bucket as probable as `least`."""
+    rest = logs.max(axis=1)
+    code, lp, left = np.zeros(1, "i8"), np.zeros(1), rest.sum()
+    for f in range(functions):
+        left -= rest[f]
+        lp = (lp[:, None] + logs[f][None, :]).ravel()
+        code = (code[:, None] + (np.arange(4, dtype="i8") << np.int64(2 * f))[None, :]).ravel()
+        keep = lp + left >= least
+        code, lp = code[keep], lp[keep]
+    return code
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
@@ -152,90 +164,75 @@ def _place(index: Index, splits: dict[tuple[int, int], int]):
 
 def _rows(t, grp, part, side, ids, bucket, raw) -> pa.RecordBatch:
     n = len(ids)
-    extra = pa.array(bucket.tolist(), pa.list_(pa.int64())) if side else pa.array([[b] for b in bucket.tolist()], pa.list_(pa.int64()))
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, t, "i4")), pa.array(grp.astype("i8")), pa.array(part.astype("i4")), pa.array(np.full(n, side, "i4")), pa.array(ids), extra, raw],
-        ["table", "grp", "part", "side", "id", "buckets", "vector"],
+        [pa.array(np.full(n, t, "i4")), pa.array(np.asarray(grp, "i8")), pa.array(np.asarray(part, "i4")), pa.array(np.full(n, side, "i4")), pa.array(ids), pa.array(bucket), raw],
+        ["table", "grp", "part", "side", "id", "bucket", "vector"],
     )
 
 
 def _probe(index: Index, splits: dict[tuple[int, int], int]):
-    """Query classes to one row for each table and group with visited buckets: (table, grp, part, side 1, id, buckets, vector)."""
+    """Query classes to one row for each table and group with visited buckets: (table, grp, part, side 1, id, -1, vector)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = 4**index.group_functions
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 some = batch.slice(lo, 256)
                 logs = index.log_success(index.projections(_vectors(some.column(1)), True))
-                ids, raw = some.column(0).to_pylist(), some.column(1).to_pylist()
                 for t in range(index.tables):
-                    out: list[tuple] = []
-                    for q, vector, lq in zip(ids, raw, logs[:, t], strict=True):
-                        found = probes(lq, index.wanted)
-                        grp = found % size
-                        order = np.argsort(grp, kind="stable")
-                        found, grp = found[order], grp[order]
-                        cuts = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]])
-                        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(grp)], strict=True):
-                            g = int(grp[a])
-                            out += [(g, part, q, found[a:b], vector) for part in range(splits.get((t, g), 1))]
-                    n = len(out)
-                    cols = list(zip(*out, strict=True))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, t, "i4")), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(np.full(n, 1, "i4")), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.binary())],
-                        ["table", "grp", "part", "side", "id", "buckets", "vector"],
-                    )
+                    least = least_visited(logs[:, t], index.wanted)
+                    out = [(i, g, part) for i in range(len(least)) for g in visited_groups(logs[i, t], least[i], index.group_functions).tolist() for part in range(splits.get((t, g), 1))]
+                    row, grp, part = (np.array(x, "i8") for x in zip(*out, strict=True))
+                    yield _rows(t, grp, part, 1, some.column(0).to_numpy()[row], np.full(len(row), -1), some.column(1).take(pa.array(row)))
 
     return run
 
 
-def _search(k: int):
+def _search(index: Index, k: int):
     """Rows sorted by (table, grp, part, side) to each query's best k classes of the part: (query, ids, scores)."""
+    shifts = np.int64(2) * np.arange(index.functions)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, pending = None, []
-        ids = bucket = matrix = None
-
-        def ready() -> None:
-            nonlocal ids, bucket, matrix, pending
-            if pending:
-                ids = np.concatenate([p[0] for p in pending])
-                bucket = np.concatenate([p[1] for p in pending])
-                matrix = np.concatenate([p[2] for p in pending])
-                order = np.argsort(bucket, kind="stable")
-                ids, bucket, matrix = ids[order], bucket[order], matrix[order]
-                pending = []
+        group, pending, block = None, [], None
+
+        def ready():
+            """Ids, vectors, each vector's bucket by number, and the buckets as columns of ones for their hash values."""
+            ids, bucket, matrix = (np.concatenate(x) for x in zip(*pending, strict=True))
+            kinds, inverse = np.unique(bucket, return_inverse=True)
+            hot = np.zeros((index.functions, 4, len(kinds)))
+            hot[np.arange(index.functions)[:, None], kinds[None, :] >> shifts[:, None] & 3, np.arange(len(kinds))[None, :]] = 1
+            return ids, matrix, matrix.astype("f4").T.copy(), inverse, hot.reshape(index.functions * 4, -1)
 
         for batch in batches:
             key = np.stack([batch.column(i).to_numpy().astype("i8") for i in range(4)], axis=1)
             cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)], strict=True):
-                some = batch.slice(a, b - a)
                 where, side = tuple(key[a, :3].tolist()), key[a, 3]
                 if where != group:
-                    group, pending, ids = where, [], None
+                    group, pending, block = where, [], None
                 if side == 0:
-                    pending.append((some.column(4).to_numpy(), some.column(5).flatten().to_numpy(), _vectors(some.column(6))))
+                    some = batch.slice(a, b - a)
+                    pending.append((some.column(4).to_numpy(), some.column(5).to_numpy(), _vectors(some.column(6))))
                     continue
-                ready()
-                if ids is None:
+                if not pending:
                     continue
-                queries = _vectors(some.column(6))
-                scores = queries @ matrix.T
-                out_ids, out_scores = [], []
-                for i, visited in enumerate(some.column(5)):
-                    v = np.sort(visited.values.to_numpy())
-                    at = np.minimum(np.searchsorted(v, bucket), len(v) - 1)
-                    own = np.flatnonzero(v[at] == bucket)
-                    s = scores[i, own]
-                    if len(own) > 4 * k:  # ties at the border stay
-                        own = own[s >= np.partition(s, len(s) - k)[len(s) - k] - 1e-9]
-                    exact = (queries[i] * matrix[own]).sum(axis=1)
-                    best = np.lexsort((ids[own], -exact))[:k]
-                    out_ids.append(ids[own[best]])
-                    out_scores.append(exact[best])
-                yield pa.RecordBatch.from_arrays([some.column(4), pa.array([x.tolist() for x in out_ids], pa.list_(pa.int64())), pa.array([x.tolist() for x in out_scores], pa.list_(pa.float64()))], ["query", "ids", "scores"])
+                block = block or ready()
+                ids, matrix, flat, inverse, hot = block
+                for lo in range(a, b, 256):
+                    some = batch.slice(lo, min(256, b - lo))
+                    queries = _vectors(some.column(6))
+                    logs = index.log_success(index.projections(queries, True))[:, where[0]]
+                    visited = logs.reshape(len(logs), -1) @ hot >= least_visited(logs, index.wanted)[:, None]
+                    scores = np.where(visited[:, inverse], queries.astype("f4") @ flat, np.float32(-np.inf))
+                    m = min(2 * k, scores.shape[1])
+                    near = np.argpartition(-scores, m - 1, axis=1)[:, :m]
+                    out_ids, out_scores = [], []
+                    for i, own in enumerate(near):
+                        own = own[np.isfinite(scores[i, own])]
+                        exact = (queries[i] * matrix[own]).sum(axis=1)
+                        best = np.lexsort((ids[own], -exact))[:k]
+                        out_ids.append(ids[own[best]].tolist())
+                        out_scores.append(exact[best].tolist())
+                    yield pa.RecordBatch.from_arrays([some.column(4), pa.array(out_ids, pa.list_(pa.int64())), pa.array(out_scores, pa.list_(pa.float64()))], ["query", "ids", "scores"])
 
     return run
 
@@ -274,7 +271,7 @@ def _found(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], ["query", "id", "score"])
 
 
-def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20, tables: int = 4, success: float = 0.97, sample: int = SAMPLE, group: int = GROUP) -> DataFrame:
+def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 20, k: int = 20, tables: int = 2, success: float = 0.97, sample: int = SAMPLE, group: int = GROUP) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found of each row whose id is divisible by `every`."""
     spark = vectors.sparkSession
     own = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v")).where("id is not null and size(v) > 0")
@@ -302,7 +299,7 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     del bounded
     asked = written(rows.where(F.col("id") % every == 0).select("id", "key").distinct().join(classes.select("key", F.col("id").alias("query")), "key").select(F.col("id").alias("query_id"), "query"), "asked")
     of_vectors = classes.select("id", "vector")
-    schema = "table int, grp long, part int, side int, id long, buckets array<long>, vector binary"
+    schema = "table int, grp long, part int, side int, id long, bucket long, vector binary"
     # At most tables * 4**group_functions numbers, about one a group of vectors.
     counts = of_vectors.mapInArrow(_place(index, {}), schema).groupBy("table", "grp").agg(F.count("*").alias("n")).where(F.col("n") > 2 * group).collect()
     splits = {(r["table"], r["grp"]): math.ceil(r["n"] / group) for r in counts}
@@ -310,7 +307,7 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     probed = asked.select(F.col("query").alias("id")).distinct().join(of_vectors, "id").mapInArrow(_probe(index, splits), schema)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = placed.unionByName(probed).repartition(n, "table", "grp", "part").sortWithinPartitions("table", "grp", "part", "side")
-    found = dealt.mapInArrow(_search(k + 1), "query long, ids array<long>, scores array<double>")
+    found = dealt.mapInArrow(_search(index, k + 1), "query long, ids array<long>, scores array<double>")
     best = found.repartition(n, "query").sortWithinPartitions("query").mapInArrow(_merge(k + 1), "query long, id long, score double").where("query is not null")
     best = written(best, "neighbours")
     # Classes to their ids, classes of queries to the queries.
