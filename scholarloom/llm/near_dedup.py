@@ -46,7 +46,7 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 class WordHash(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = out = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
         return out
@@ -133,7 +133,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts: list[str] = []
             seen: dict[bytes, int] = {}
             rows: list[int] = []
-            while hi < batch.num_rows and held < 2_000_000 and hi - lo < 2048:
+            while hi < batch.num_rows and held < 1_000_000 and hi - lo < 1024:
                 key = batch.column(1)[hi].as_py()
                 if key not in seen:
                     seen[key] = len(texts)
@@ -164,10 +164,11 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
     """Jaccard similarity of the shingle sets of two normalised texts."""
     out, last, kept = [], None, np.empty(0, np.uint64)
-    for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True):
+    for x, y in zip(left, right, strict=True):
+        b = y.as_py()
         if b != last:
             last, kept = b, np.unique(shingles(b))
-        own = np.unique(shingles(a))
+        own = np.unique(shingles(x.as_py()))
         common = len(np.intersect1d(own, kept, assume_unique=True))
         total = len(own) + len(kept) - common
         out.append(common / total if total else 0.0)
@@ -257,7 +258,7 @@ def _in_blocks(threshold: float, verify: bool):
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["band", "i", "j", "u", "v"])
 
-        for batch in batches:
+        for batch in (b.slice(lo, 1000) for b in batches for lo in range(0, b.num_rows, 1000)):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 key = (row[0], row[2], row[3])
                 if key != group:

@@ -32,7 +32,7 @@ WINDOW = 2048
 _PLAIN = regex.compile(r"[\x09-\x0d\x20-\x7e\xa1-įı-ɏ]*")
 #: The pre-tokenizer's pattern, as its file states it.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_CACHE = 1_000_000
+_CACHE = 600_000
 _loaded: dict[str, "ChunkTokens"] = {}
 
 
@@ -131,7 +131,7 @@ def tokens_of(path: str) -> ChunkTokens:
     return _loaded[path]
 
 
-def lots(texts: list[str | None], most: int = 3_000_000) -> Iterator[tuple[int, list[str]]]:
+def lots(texts: list[str | None], most: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
     """Texts in runs of at most about `most` characters, with the number of the first."""
     lo, held, some = 0, 0, []
     for i, t in enumerate(texts):

@@ -78,7 +78,7 @@ class Lexicon:
             best = node.get("*", best)
         else:
             best = node.get("=", best)
-        if len(self.cache) > 500_000:
+        if len(self.cache) > 200_000:
             self.cache.clear()
         self.cache[word] = best
         return best
@@ -171,15 +171,21 @@ def word_features(text: str) -> set[str]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each label that hold a feature, for features that a toxic document of the partition or several clean ones hold."""
+    """Documents of each label that hold a feature, in part sums of bounded size."""
     hits = (Counter(), Counter())
+
+    def flush() -> pa.RecordBatch:
+        names = list(hits[1].keys() | hits[0].keys())
+        out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([hits[1][f] for f in names], pa.int64()), pa.array([hits[0][f] for f in names], pa.int64())], ["feature", "toxic", "clean"])
+        hits[0].clear(), hits[1].clear()
+        return out
+
     for batch in batches:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            hits[toxic].update(word_features(text or ""))
-    names = list(hits[1].keys() | hits[0].keys())
-    for lo in range(0, len(names), 50_000):
-        some = names[lo : lo + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([hits[1][f] for f in some]), pa.array([hits[0][f] for f in some])], ["feature", "toxic", "clean"])
+        for text, toxic in zip(batch.column(0), batch.column(1), strict=True):
+            hits[toxic.as_py()].update(word_features(text.as_py() or ""))
+            if len(hits[0]) + len(hits[1]) > 200_000:
+                yield flush()
+    yield flush()
 
 
 def log_ratio(a: float, b: float, m: float, n: float) -> float:
@@ -265,7 +271,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 def scorer(model: Model):
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(t) for t in texts.to_pylist()], pa.float64())
+        return pa.array([model.score(t.as_py()) for t in texts], pa.float64())
 
     return score
 
