@@ -8,8 +8,8 @@ estimated probability of holding a neighbour, until these add up to the wanted s
 of visited buckets are ranked by their inner product, the best again by the exact one, and the
 tables' candidates are merged.
 
-Directions come from a seed; medians, widths and the similarity of a neighbour are fitted on a
-sample of at most `sample` vectors (smallest hash of vec_id). Every vector is indexed. Buckets are
+Directions come from a seed; medians, widths, how a neighbour's projections follow the query's, and
+with it the wanted success, are fitted on a sample of at most `sample` vectors (smallest hash of vec_id). Every vector is indexed. Buckets are
 dealt out in groups of about `group` vectors; a group with more is split, each part meeting the
 same queries. Equal vectors are searched once: a class holds its smallest k + 1 ids, which is all
 that the k nearest of any query can need.
@@ -36,6 +36,7 @@ from .common import written
 SAMPLE = 20_000
 GROUP = 8192
 BUCKET = 16
+LEAST_SAMPLE = 100
 
 
 @dataclass
@@ -46,7 +47,10 @@ class Index:
     middle: np.ndarray  # tables x functions
     width: np.ndarray
     scale: float  # the largest norm
-    similarity: float  # of a neighbour to its query, both of norm one
+    #: A neighbour's projection given its query's, in widths: slope * query + shift, with this deviation.
+    slope: np.ndarray  # tables x functions
+    shift: np.ndarray
+    spread: np.ndarray
     wanted: float  # success in one table
     group_functions: int
 
@@ -73,8 +77,7 @@ class Index:
 
     def log_success(self, p: np.ndarray) -> np.ndarray:
         """rows x tables x functions x cells: log probability that a neighbour of the query has that hash value."""
-        spread = math.sqrt(max(1e-4, 1 - self.similarity**2)) / self.width
-        mean = self.similarity * (p + self.middle / self.width) - self.middle / self.width
+        mean, spread = self.slope * p + self.shift, self.spread
         below = [_normal_below((edge - mean) / spread) for edge in (-1, 0, 1)]
         parts = [below[0], below[1] - below[0], below[2] - below[1], 1 - below[2]]
         return np.log(np.maximum(np.stack(parts, axis=-1), 1e-12))
@@ -88,30 +91,47 @@ def _normal_below(z: np.ndarray) -> np.ndarray:
 
 
 def fit_index(sample: np.ndarray, scale: float, total: int, k: int, *, tables: int = 2, success: float = 0.97, group: int = GROUP, seed: int = 5) -> Index:
-    """functions: so many that a bucket holds about BUCKET vectors; similarity: of the k-th nearest in the sample, which is less than in the whole table."""
+    """functions: so many that a bucket holds about BUCKET vectors. The rule is fitted to the k nearest, in the
+    sample, of some of its vectors: these lie further off than the k nearest in the whole table."""
     rng = np.random.default_rng(seed)
     functions = int(np.clip(round(math.log2(max(1, total / BUCKET))), 2, 16))
     directions = rng.standard_normal((tables, functions, sample.shape[1] + 1))
-    index = Index(directions, np.zeros((tables, functions)), np.ones((tables, functions)), scale, 0.5, 1 - (1 - success) ** (1 / tables), 0)
+    one = np.ones((tables, functions))
+    index = Index(directions, 0 * one, one, scale, one, 0 * one, one, 1.0, int(np.clip(math.ceil(math.log2(max(1, total / group))), 0, functions)))
     p = index.projections(sample, False)
     index.middle = np.median(p, axis=0)
     index.width = 3 * np.maximum(p.std(axis=0), 1e-6)
-    queries = sample[:: max(1, len(sample) // 200)]
-    near = np.sort((queries / np.linalg.norm(queries, axis=1, keepdims=True)) @ (sample / scale).T, axis=1)[:, ::-1]
-    index.similarity = float(np.clip(np.median(near[:, min(k, near.shape[1] - 1)]), 0.05, 0.99))
-    index.group_functions = int(np.clip(math.ceil(math.log2(max(1, total / group))), 0, functions))
+    p = (p - index.middle) / index.width
+    asked = np.arange(0, len(sample), max(1, len(sample) // 300))
+    near = sample[asked] @ sample.T
+    near[np.arange(len(asked)), asked] = -np.inf
+    m = min(k, len(sample) - 1)
+    if len(sample) < LEAST_SAMPLE:
+        return index  # too few to fit to: all buckets are visited
+    found = np.argpartition(-near, m - 1, axis=1)[:, :m]
+    q = index.projections(sample[asked], True)
+    x, y = np.repeat(q, m, axis=0), p[found.ravel()]
+    mx, my = x.mean(axis=0), y.mean(axis=0)
+    index.slope = ((x - mx) * (y - my)).mean(axis=0) / np.maximum(((x - mx) ** 2).mean(axis=0), 1e-9)
+    index.shift = my - index.slope * mx
+    index.spread = np.maximum((y - index.slope * x - index.shift).std(axis=0), 0.02)
+    # How far down a table's order each of them stands; the likelier table finds it.
+    logs = index.log_success(q)
+    cells = index.cells(y).reshape(len(asked), m, tables, functions)
+    depth = np.ones((len(asked), m))
+    for t in range(tables):
+        mass = np.cumsum(binned(logs[:, t]), axis=1)
+        lp = np.take_along_axis(logs[:, None, t], cells[:, :, t, :, None], axis=3)[..., 0].sum(axis=2)
+        depth = np.minimum(depth, np.take_along_axis(mass, np.clip(np.round(-lp / BIN), 0, BINS - 1).astype("i8"), axis=1))
+    index.wanted = float(min(1.0, np.quantile(depth, success)))
     return index
 
 
 BINS, BIN = 512, 0.08
 
 
-def least_visited(logs: np.ndarray, wanted: float) -> np.ndarray:
-    """queries x functions x cells log probabilities of one table to the log probability of the last bucket visited.
-
-    Buckets are visited by falling probability until these add up to `wanted`. How much probability
-    lies at each level is summed up function by function over binned logarithms, not bucket by bucket.
-    """
+def binned(logs: np.ndarray) -> np.ndarray:
+    """queries x functions x cells log probabilities of one table to how much probability buckets of each level hold, by binned logarithms."""
     n = len(logs)
     mass = np.zeros((n, BINS))
     mass[:, 0] = 1
@@ -123,9 +143,18 @@ def least_visited(logs: np.ndarray, wanted: float) -> np.ndarray:
             flat = target + np.arange(n)[:, None] * BINS
             new += np.bincount(flat.ravel(), (mass * np.exp(logs[:, f, c])[:, None]).ravel(), n * BINS).reshape(n, BINS)
         mass = new
-    last = (np.cumsum(mass, axis=1) < wanted).sum(axis=1)
-    # Rounding adds at most half a bin per function; a bucket at the border is visited.
-    return -(np.minimum(last, BINS - 1) + 0.5 * math.sqrt(logs.shape[1])) * BIN
+    return mass
+
+
+def least_visited(logs: np.ndarray, wanted: float) -> np.ndarray:
+    """The log probability of the last bucket that each query visits in a table.
+
+    Buckets are visited by falling probability until these add up to `wanted`. How much lies at each
+    level is summed up function by function, not bucket by bucket.
+    """
+    last = (np.cumsum(binned(logs), axis=1) < wanted - 1e-12).sum(axis=1)
+    out = -(np.minimum(last, BINS - 1) + 0.5 * math.sqrt(logs.shape[1])) * BIN  # rounding adds up; a bucket at the border is visited
+    return np.where(last >= BINS - 1, -np.inf, out)
 
 
 def visited_groups(logs: np.ndarray, least: float, functions: int) -> np.ndarray:
@@ -285,15 +314,15 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             flat = batch.column(1).flatten().to_numpy().astype("<f4").reshape(-1, dims)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in flat], pa.binary()), pa.array(np.linalg.norm(flat.astype("f8"), axis=1))], ["id", "vector", "norm"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in flat], pa.binary()), pa.array((flat.astype("f8") ** 2).sum(axis=1))], ["id", "vector", "square"])
 
-    rows = own.where(F.size("v") == dims).mapInArrow(packed, "id long, vector binary, norm double")
-    # Only k + 1 ids of a vector count; the limit on row_number works before the shuffle, however many rows share a vector.
+    rows = own.where(F.size("v") == dims).mapInArrow(packed, "id long, vector binary, square double")
+    # Only k + 1 ids of a vector count; the limit on dense_rank works before the shuffle, however many rows share a vector.
     rows = rows.withColumn("key", F.md5("vector"))
-    held = rows.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("n") <= k + 1).dropDuplicates(["key", "id"])
-    classes = written(held.groupBy("key").agg(F.min("id").alias("id"), F.first("vector").alias("vector"), F.sort_array(F.collect_list("id")).alias("ids"), F.first("norm").alias("norm")), "classes")
+    held = rows.withColumn("n", F.dense_rank().over(Window.partitionBy("key").orderBy("id"))).where(F.col("n") <= k + 1).dropDuplicates(["key", "id"])
+    classes = written(held.groupBy("key").agg(F.min("id").alias("id"), F.first("vector").alias("vector"), F.sort_array(F.collect_list("id")).alias("ids"), F.first("square").alias("square")), "classes")
     total = classes.count()
-    scale = classes.agg(F.max("norm")).first()[0]
+    scale = math.sqrt(classes.agg(F.max("square")).first()[0])
     bounded = classes.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").collect()
     index = fit_index(np.frombuffer(b"".join(r[0] for r in bounded), "<f4").reshape(-1, dims).astype("f8"), scale, total, k, tables=tables, success=success, group=group)
     del bounded
@@ -309,7 +338,9 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     dealt = placed.unionByName(probed).repartition(n, "table", "grp", "part").sortWithinPartitions("table", "grp", "part", "side")
     found = dealt.mapInArrow(_search(index, k + 1), "query long, ids array<long>, scores array<double>")
     best = found.repartition(n, "query").sortWithinPartitions("query").mapInArrow(_merge(k + 1), "query long, id long, score double").where("query is not null")
-    best = written(best, "neighbours")
+    # A query's own class is always among its candidates.
+    own_class = asked.select("query").distinct().join(classes.select(F.col("id").alias("query"), "square"), "query").select("query", F.col("query").alias("id"), F.col("square").alias("score"))
+    best = written(best.unionByName(own_class).dropDuplicates(["query", "id"]), "neighbours")
     # Classes to their ids, classes of queries to the queries.
     ids = classes.select("id", "ids")
     lists = best.join(ids, "id").groupBy("query").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
