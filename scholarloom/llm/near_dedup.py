@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import written
+from .common import tidy, written
 from .graph import components
 from .hashing import mix
 
@@ -55,6 +55,11 @@ class WordHash(dict):
 _hash = WordHash()
 
 
+def forget() -> None:
+    """Drop what this worker has kept of its texts' words."""
+    _hash.clear()
+
+
 def shingles(text: str) -> np.ndarray:
     """Hashes of a normalised text's shingles, repeats included."""
     words = text.split(" ") if text else []
@@ -281,7 +286,7 @@ class NearDuplicates:
         self.spark, self.threshold = docs.sparkSession, threshold
         self.rows = keyed(docs, id_col, text_col)
         kind = dict(docs.dtypes)[id_col]
-        self.signed = written(self.rows.mapInArrow(_sign, f"doc {kind}, key binary, sig binary, bands array<bigint>, size int"), "signatures")
+        self.signed = written(self.rows.mapInArrow(tidy(_sign, forget), f"doc {kind}, key binary, sig binary, bands array<bigint>, size int"), "signatures")
         # One node for each text; of the copies one row's text is read later, the smallest doc_id's.
         nodes = self.signed.where("size > 0").groupBy("key")
         self.nodes = written(nodes.agg(F.min("doc").alias("doc"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.first("size").alias("size")), "nodes")
@@ -334,10 +339,10 @@ class NearDuplicates:
         schema = "band long, i int, j int, u binary, v binary"
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         dealt = lambda df: df.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-        wanted = written(dealt(full).mapInArrow(_in_blocks(self.threshold, False), schema).select("band", "i", "j", F.col("u").alias("key")), "wanted")
+        wanted = written(dealt(full).mapInArrow(tidy(_in_blocks(self.threshold, False)), schema).select("band", "i", "j", F.col("u").alias("key")), "wanted")
         some = full.join(wanted, ["band", "i", "j", "key"], "left_semi").join(self.texts, "key")
         some = some.select("band", "b", "i", "j", "side", "key", "root", "first", "size", "sig", "norm")
-        return dealt(some).mapInArrow(_in_blocks(self.threshold, True), schema).select("u", "v")
+        return dealt(some).mapInArrow(tidy(_in_blocks(self.threshold, True)), schema).select("u", "v")
 
 
 def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_path, fresh_path
+from .common import drop_path, fresh_path, tidy
 from .hashing import Prints
 
 WINDOW = 2048
@@ -131,6 +131,12 @@ def tokens_of(path: str) -> ChunkTokens:
     return _loaded[path]
 
 
+def forget() -> None:
+    """Drop what the tokenizers of this worker have kept of their texts."""
+    for x in _loaded.values():
+        x._clear()
+
+
 def lots(texts: list[str | None], most: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
     """Texts in runs of at most about `most` characters, with the number of the first."""
     lo, held, some = 0, 0, []
@@ -192,7 +198,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW, end_id:
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     path = fresh_path(spark, "tokens")
-    rows.mapInArrow(_tokenized(tokenizer_path, end_id), f"doc_id {kind}, part int, local long, n long, ids binary").write.parquet(path)
+    rows.mapInArrow(tidy(_tokenized(tokenizer_path, end_id), forget), f"doc_id {kind}, part int, local long, n long, ids binary").write.parquet(path)
     held = spark.read.schema(f"doc_id {kind}, part int, local long, n long, ids binary").parquet(path)
     totals = sorted(held.groupBy("part").agg(F.max(F.col("local") + F.col("n"))).collect())  # one row a partition
     bases, total = {}, 0
@@ -202,4 +208,4 @@ def pack(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW, end_id:
     if not total:
         drop_path(spark, path)
         held = spark.createDataFrame([], held.schema)
-    return held.mapInArrow(_cut(bases, total, window), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long")
+    return held.mapInArrow(tidy(_cut(bases, total, window)), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long")

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 SPACE = "▁"
 _CACHE_WORDS = 500_000
 _NONE = np.int32(2**31 - 1)
@@ -247,6 +249,12 @@ def model_of(path: str) -> PieceModel:
     return _loaded[path]
 
 
+def forget() -> None:
+    """Drop what this worker has kept of its texts' words."""
+    for m in _loaded.values():
+        m.words.clear()
+
+
 def _report(model_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model_of(model_path)
@@ -270,4 +278,4 @@ def encode_report(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", t
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_report(model_path), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(tidy(_report(model_path), forget), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -32,13 +32,13 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_path, fresh_path, written
+from .common import drop_path, fresh_path, tidy, written
 from .hashing import BASE, Prints, mix
 from .warc import open_store
 
 LENGTH, GRAM = 200, 48
 SHARD_BYTES = 48 << 20
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Contexts of one rank that are compared in one task; more go by single windows.
 GROUP = 20_000
 
@@ -113,7 +113,8 @@ def _shard_writer(folder: str, text_at: int):
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        for lo in range(0, batch.num_rows, 1000):
+            yield from zip(*(c.to_pylist() for c in batch.slice(lo, 1000).columns), strict=True)
 
 
 def _beside(folder: str, names: list[str], batches: Iterator[pa.RecordBatch], rows_at: int = 256) -> Iterator[tuple[int, int, pa.RecordBatch, dict[int, list[tuple]]]]:
@@ -156,7 +157,7 @@ def _laid(texts: list[bytes]) -> Iterator[tuple[int, list[bytes], np.ndarray, np
         lo = hi
 
 
-def _segments(text: bytes, length: int, most: int = 1 << 25) -> Iterator[tuple[int, bytes]]:
+def _segments(text: bytes, length: int, most: int = 1 << 21) -> Iterator[tuple[int, bytes]]:
     """A very long text in overlapping parts that share length - 1 bytes."""
     if len(text) <= most:
         yield 0, text
@@ -194,13 +195,22 @@ def _rank_pass(folder: str, names: list[str], text_at: int, length: int, k: int)
             if not own:
                 continue
             raw = _bytes(some, text_at)
-            which = sorted(own)
-            for first, held, data, offsets in _laid([raw[i - n] for i in which]):
-                ords = which[first : first + len(held)]
-                count = [len(own[i]) for i in ords]
-                rank = np.array([r for i in ords for r, _ in own[i]], "i8")
-                span = np.array([s for i in ords for _, s in own[i]], "i8")
-                base, end = np.repeat(offsets[:-1], count), np.repeat(offsets[1:], count)
+            parts: list[tuple[int, int, list[tuple]]] = []  # of a long text only what its anchors need
+            for i in sorted(own):
+                for rank, span in sorted(own[i], key=lambda x: x[1]):
+                    a = span >> 16
+                    if not parts or parts[-1][0] != i or a - parts[-1][1] > 1 << 20:
+                        parts.append((i, a - (span & 255), []))
+                    parts[-1][2].append((rank, span))
+            reach = max(length, 4 * k)
+            texts = [raw[i - n][lo : (rows[-1][1] >> 16) + reach] for i, lo, rows in parts]
+            for first, held, data, offsets in _laid(texts):
+                now = parts[first : first + len(held)]
+                count = [len(rows) for _, _, rows in now]
+                rank = np.array([r for _, _, rows in now for r, _ in rows], "i8")
+                span = np.array([s for _, _, rows in now for _, s in rows], "i8")
+                base = np.repeat(offsets[:-1] - np.array([lo for _, lo, _ in now], "i8"), count)
+                end = base + np.repeat(np.array([len(raw[i - n]) for i, _, _ in now], "i8"), count)
                 a, near, far = base + (span >> 16), span >> 8 & 255, span & 255
                 p = Prints(data)
                 nexts = []
@@ -209,7 +219,7 @@ def _rank_pass(folder: str, names: list[str], text_at: int, length: int, k: int)
                     value = p.of(np.where(fits, a + lo, 0), np.where(fits, a + hi, 0)).view("i8")
                     nexts.append(pa.array(value, mask=~fits))
                 whole = p.of(a - far, a - near + length).view("i8")
-                loc = np.int64(shard) << 32 | np.repeat(np.array(ords, "i8"), count)
+                loc = np.int64(shard) << 32 | np.repeat(np.array([i for i, _, _ in now], "i8"), count)
                 yield pa.RecordBatch.from_arrays([pa.array(rank), pa.array(loc), pa.array(span), *nexts, pa.array(whole)], ["rank", "loc", "span", "next1", "next2", "whole"])
 
     return run
@@ -319,7 +329,7 @@ class Repeats:
         self.folder = fresh_path(self.spark, "shards")
         store, base = open_store(self.folder)
         store.create_dir(base, recursive=True)
-        held = written(docs.mapInArrow(_shard_writer(self.folder, self.text_at), "name string, ord int, digest binary, bytes long"), "shard-rows")
+        held = written(docs.mapInArrow(tidy(_shard_writer(self.folder, self.text_at)), "name string, ord int, digest binary, bytes long"), "shard-rows")
         self.names = sorted(r[0] for r in held.select("name").distinct().collect())  # one name for 48 MB of text
         number = F.broadcast(self.spark.createDataFrame([(n, i) for i, n in enumerate(self.names)], "name string, shard int"))
         self.rows = held.join(number, "name").select("shard", "ord", "digest", "bytes")
@@ -329,7 +339,7 @@ class Repeats:
         fields = rows.schema.fields[2:] if rows is not None else []
         first = self.spark.range(len(self.names)).select(F.col("id").cast("int").alias("shard"), F.lit(-1).alias("ord"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
         every = first if rows is None else first.unionByName(rows)
-        return every.repartitionById(max(1, len(self.names)), F.col("shard")).sortWithinPartitions("shard", "ord").mapInArrow(run, schema)
+        return every.repartitionById(max(1, len(self.names)), F.col("shard")).sortWithinPartitions("shard", "ord").mapInArrow(tidy(run), schema)
 
     @staticmethod
     def _placed(rows: DataFrame, *cols: str) -> DataFrame:
@@ -391,7 +401,7 @@ class Repeats:
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         context = self.beside(self._placed(todo, "rank", "span", "active", "big"), _context_pass(self.folder, self.names, self.text_at, length), "rank long, loc long, span long, active boolean, big boolean, bytes binary")
         context = written(context, "contexts")
-        usual = context.where(~F.col("big")).drop("big").repartition(n, "rank").sortWithinPartitions("rank").mapInArrow(_compare(length), "loc long, lo long, hi long")
+        usual = context.where(~F.col("big")).drop("big").repartition(n, "rank").sortWithinPartitions("rank").mapInArrow(tidy(_compare(length)), "loc long, lo long, hi long")
         starts = settled.unionByName(usual)
         if not context.where("big").limit(1).isEmpty():
             single = written(context.where("big").drop("big").mapInArrow(_single_windows(length), "one long, two long, loc long, lo long, active boolean"), "windows")

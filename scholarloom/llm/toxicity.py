@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 MAX_TRAIN = 20_000
 MAX_LEXICON = 4_000
 #: A feature needs this log-likelihood ratio (two-sided chance about 3e-6), documents and log odds.
@@ -247,7 +249,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     # At most max_train rows.
     sample = F.broadcast(spark.createDataFrame([tuple(r) for r in chosen], f"id {dict(labels.dtypes)[id_col]}, y int"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(sample, "id").select("text", "y")
-    counts = rows.mapInArrow(_count, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = rows.mapInArrow(tidy(_count), "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     likely = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") * F.lit(2) > F.col("clean"))).orderBy(F.desc("toxic"), "feature").limit(50 * MAX_LEXICON).collect()
     per = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     entries = seed_entries()
@@ -262,7 +264,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
 
     # Rows of seven numbers; repeated doc_ids may give more than max_train, which the limit bounds.
-    data = rows.mapInArrow(featurise, "x array<double>, y int").limit(2 * max_train).collect()
+    data = rows.mapInArrow(tidy(featurise), "x array<double>, y int").limit(2 * max_train).collect()
     if per.get(0) and per.get(1):
         model.weights = fit_weights(np.array([r["x"] for r in data]), np.array([r["y"] for r in data], float))
     return model
