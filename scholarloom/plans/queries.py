@@ -294,7 +294,7 @@ def q19_table_numeric_audit(spark, sf_dir):
     return d.select("l_orderkey", audit.values_match("source", "final").alias("values_match"), F.size("source").cast("long").alias("n_source"), F.size("final").cast("long").alias("n_markdown"))
 
 
-ODD = "concat(coalesce(text, ''), CASE doc_id % 6 WHEN 0 THEN ' ![a](b) data:image/png <IMG src=x>' WHEN 1 THEN '  Ã' WHEN 2 THEN ' $$ x $$ ```math' WHEN 3 THEN ' image_source Data:Image' ELSE '' END)"
+ODD = "concat(coalesce(text, ''), CASE doc_id % 6 WHEN 0 THEN ' ![a](b) data:image/png <IMG src=x>' WHEN 1 THEN ' \ue001\uf8ff Ã' WHEN 2 THEN ' $$ x $$ ```math' WHEN 3 THEN ' image_source Data:Image' ELSE '' END)"
 
 
 @query(rf"""SELECT doc_id, CAST((length(t) - length(replace(t, '![', ''))) // 2 + (length(t) - length(replace(t, 'image_source', ''))) // 12 + len(regexp_extract_all(t, '(?i)<img\b')) AS BIGINT) AS remaining_images,
