@@ -29,10 +29,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_path, fresh_path, tidy, written
+from .common import bound_batches, drop_path, fresh_path, tidy, written
 from .hashing import BASE, Prints, mix
 from .warc import open_store
 
@@ -40,7 +41,7 @@ LENGTH, GRAM = 200, 48
 SHARD_BYTES = 48 << 20
 CHUNK_BYTES = 1 << 20
 #: Contexts of one rank that are compared in one task; more go by single windows.
-GROUP = 20_000
+GROUP = 4_000
 
 def leftmost_minimum(h: np.ndarray, w: int) -> np.ndarray:
     """For each p the place of the smallest of h[p : p + w], the leftmost of equal ones by their upper 38 bits."""
@@ -86,7 +87,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, length: int, k: int) -> tuple[
 def _shard_writer(folder: str, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_store(folder)
-        writer, name, n, held = None, "", 0, 0
+        writer, name, n, held, roll, part = None, "", 0, 0, -1, TaskContext.get().partitionId()
         try:
             for batch in batches:
                 for lo in range(0, batch.num_rows, 256):
@@ -95,13 +96,13 @@ def _shard_writer(folder: str, text_at: int):
                     if writer is None or held >= SHARD_BYTES:
                         if writer is not None:
                             writer.close()
-                        name, n, held = f"shard-{uuid.uuid4().hex}.parquet", 0, 0
+                        name, n, held, roll = f"shard-{uuid.uuid4().hex}.parquet", 0, 0, roll + 1
                         writer = pq.ParquetWriter(f"{base}/{name}", some.schema, filesystem=store, compression="zstd", compression_level=1)
                     writer.write_batch(some)
                     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(raw)), pa.array(range(n, n + len(raw)), pa.int32()), pa.array([hashlib.sha256(r).digest() for r in raw], pa.binary()), pa.array([len(r) for r in raw], pa.int64())],
-                        ["name", "ord", "digest", "bytes"],
+                        [pa.array([part] * len(raw), pa.int32()), pa.array([roll] * len(raw), pa.int32()), pa.array([name] * len(raw)), pa.array(range(n, n + len(raw)), pa.int32()), pa.array([hashlib.sha256(r).digest() for r in raw], pa.binary()), pa.array([len(r) for r in raw], pa.int64())],
+                        ["part", "roll", "name", "ord", "digest", "bytes"],
                     )
                     n, held = n + len(raw), held + sum(map(len, raw))
         finally:
@@ -117,24 +118,23 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield from zip(*(c.to_pylist() for c in batch.slice(lo, 1000).columns), strict=True)
 
 
-def _beside(folder: str, names: list[str], batches: Iterator[pa.RecordBatch], rows_at: int = 256) -> Iterator[tuple[int, int, pa.RecordBatch, dict[int, list[tuple]]]]:
+def _beside(folder: str, batches: Iterator[pa.RecordBatch], rows_at: int = 256) -> Iterator[tuple[int, int, pa.RecordBatch, dict[int, list[tuple]]]]:
     """(shard, first row number, rows of the shard, ord to the sorted rows that belong to it).
 
-    batches are sorted by shard and ord; a row with ord -1 stands first for each shard.
+    batches are sorted by shard and ord; a row with ord -1 stands first for each shard and holds its file's name.
     """
     store, base = open_store(folder)
     rows = _rows(batches)
     row = next(rows, None)
     while row is not None:
-        shard = row[0]
+        shard, name, n = row[0], row[2], 0
         row = next(rows, None)
-        n = 0
-        with store.open_input_file(f"{base}/{names[shard]}") as f:
+        with store.open_input_file(f"{base}/{name}") as f:
             for some in pq.ParquetFile(f).iter_batches(batch_size=rows_at):
                 own: dict[int, list[tuple]] = {}
                 while row is not None and row[0] == shard and row[1] < n + some.num_rows:
                     if row[1] >= 0:
-                        own.setdefault(row[1], []).append(row[2:])
+                        own.setdefault(row[1], []).append(row[3:])
                     row = next(rows, None)
                 yield shard, n, some, own
                 n += some.num_rows
@@ -166,9 +166,9 @@ def _segments(text: bytes, length: int, most: int = 1 << 21) -> Iterator[tuple[i
         yield lo, text[lo : lo + most]
 
 
-def _anchor_pass(folder: str, names: list[str], text_at: int, length: int, k: int):
+def _anchor_pass(folder: str, text_at: int, length: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, n, some, own in _beside(folder, names, batches):
+        for shard, n, some, own in _beside(folder, batches):
             texts = [t if i + n not in own and len(t) >= length else b"" for i, t in enumerate(_bytes(some, text_at))]
             parts, owner, shift = [], [], []
             for i, t in enumerate(texts):
@@ -187,11 +187,11 @@ def _anchor_pass(folder: str, names: list[str], text_at: int, length: int, k: in
     return run
 
 
-def _rank_pass(folder: str, names: list[str], text_at: int, length: int, k: int):
+def _rank_pass(folder: str, text_at: int, length: int, k: int):
     """Sorted (shard, ord, rank, span) to the ranks at the next offsets and of all the anchor's windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, n, some, own in _beside(folder, names, batches):
+        for shard, n, some, own in _beside(folder, batches):
             if not own:
                 continue
             raw = _bytes(some, text_at)
@@ -225,11 +225,11 @@ def _rank_pass(folder: str, names: list[str], text_at: int, length: int, k: int)
     return run
 
 
-def _context_pass(folder: str, names: list[str], text_at: int, length: int):
+def _context_pass(folder: str, text_at: int, length: int):
     """Sorted (shard, ord, rank, span, active) to the bytes of the anchor's windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, n, some, own in _beside(folder, names, batches):
+        for shard, n, some, own in _beside(folder, batches):
             if not own:
                 continue
             raw = _bytes(some, text_at)
@@ -325,21 +325,24 @@ class Repeats:
 
     def __init__(self, docs: DataFrame, text_col: str, length: int = LENGTH, gram: int = GRAM):
         self.spark, self.docs, self.length, self.k = docs.sparkSession, docs, length, gram
+        bound_batches(self.spark)
         self.text_at = docs.columns.index(text_col)
         self.folder = fresh_path(self.spark, "shards")
         store, base = open_store(self.folder)
         store.create_dir(base, recursive=True)
-        held = written(docs.mapInArrow(tidy(_shard_writer(self.folder, self.text_at)), "name string, ord int, digest binary, bytes long"), "shard-rows")
-        self.names = sorted(r[0] for r in held.select("name").distinct().collect())  # one name for 48 MB of text
-        number = F.broadcast(self.spark.createDataFrame([(n, i) for i, n in enumerate(self.names)], "name string, shard int"))
-        self.rows = held.join(number, "name").select("shard", "ord", "digest", "bytes")
+        held = written(docs.mapInArrow(tidy(_shard_writer(self.folder, self.text_at)), "part int, roll int, name string, ord int, digest binary, bytes long"), "shard-rows")
+        parts, rolls = held.agg(F.coalesce(F.max("part"), F.lit(-1)) + 1, F.coalesce(F.max("roll"), F.lit(0)) + 1).first()
+        self.shards = parts * rolls
+        held = held.withColumn("shard", F.col("part") * rolls + F.col("roll"))
+        self.rows = held.select("shard", "ord", "digest", "bytes")
+        self.files = held.where("ord = 0").select("shard", F.lit(-1).alias("ord"), "name")
 
     def beside(self, rows: DataFrame | None, run, schema: str) -> DataFrame:
         """run over all shards, each with its rows (shard, ord, ...)."""
         fields = rows.schema.fields[2:] if rows is not None else []
-        first = self.spark.range(len(self.names)).select(F.col("id").cast("int").alias("shard"), F.lit(-1).alias("ord"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-        every = first if rows is None else first.unionByName(rows)
-        return every.repartitionById(max(1, len(self.names)), F.col("shard")).sortWithinPartitions("shard", "ord").mapInArrow(tidy(run), schema)
+        first = self.files.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+        every = first if rows is None else first.unionByName(rows.select("shard", "ord", F.lit(None).cast("string").alias("name"), *[f.name for f in fields]))
+        return every.repartitionById(max(1, self.shards), F.col("shard")).sortWithinPartitions("shard", "ord").mapInArrow(tidy(run), schema)
 
     @staticmethod
     def _placed(rows: DataFrame, *cols: str) -> DataFrame:
@@ -359,14 +362,14 @@ class Repeats:
         self.gone, skip = self.copies()
         # Round 0.
         path = fresh_path(self.spark, "anchors")
-        self.beside(skip, _anchor_pass(self.folder, self.names, self.text_at, length, k), "rank long, loc long, span long").write.parquet(path)
+        self.beside(skip, _anchor_pass(self.folder, self.text_at, length, k), "rank long, loc long, span long").write.parquet(path)
         found = self.spark.read.schema("rank long, loc long, span long").parquet(path)
         again = written(found.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank"), "ranks")
         alive = written(found.join(again, "rank").select("rank", "loc", "span"), "alive")
         drop_path(self.spark, path)
         # The ranks at the next offsets, for those alone.
         ranked = self.beside(
-            self._placed(alive, "rank", "span"), _rank_pass(self.folder, self.names, self.text_at, length, k),
+            self._placed(alive, "rank", "span"), _rank_pass(self.folder, self.text_at, length, k),
             "rank long, loc long, span long, next1 long, next2 long, whole long",
         )
         ranked = written(ranked, "ranked")
@@ -399,7 +402,7 @@ class Repeats:
         trimmed = F.shiftleft(a, 16).bitwiseOR(F.shiftleft("low", 8)).bitwiseOR(F.col("far"))
         todo = left.join(some, "rank").select("loc", "rank", trimmed.alias("span"), "active", "big")
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        context = self.beside(self._placed(todo, "rank", "span", "active", "big"), _context_pass(self.folder, self.names, self.text_at, length), "rank long, loc long, span long, active boolean, big boolean, bytes binary")
+        context = self.beside(self._placed(todo, "rank", "span", "active", "big"), _context_pass(self.folder, self.text_at, length), "rank long, loc long, span long, active boolean, big boolean, bytes binary")
         context = written(context, "contexts")
         usual = context.where(~F.col("big")).drop("big").repartition(n, "rank").sortWithinPartitions("rank").mapInArrow(tidy(_compare(length)), "loc long, lo long, hi long")
         starts = settled.unionByName(usual)
@@ -439,10 +442,10 @@ def repeat_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     kind = dict(docs.dtypes)[id_col]
     job = Repeats(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")), "text", length)
-    folder, names = job.folder, job.names
+    folder = job.folder
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, n, some, own in _beside(folder, names, batches):
+        for _, n, some, own in _beside(folder, batches):
             size, removed, spans, digest = [], [], [], []
             for i, t in enumerate(_bytes(some, 1)):
                 runs = removed_runs(own.get(i + n, []), len(t), length)
@@ -456,10 +459,10 @@ def repeat_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 def remove_repeats(docs: DataFrame, *, text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """docs with the repeated bytes taken out of the text; characters of which only a part stays go too."""
     job = Repeats(docs, text_col, length)
-    folder, names, at = job.folder, job.names, job.text_at
+    folder, at = job.folder, job.text_at
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, n, some, own in _beside(folder, names, batches):
+        for _, n, some, own in _beside(folder, batches):
             texts = some.column(at).to_pylist()
             for i, t in enumerate(texts):
                 if i + n in own:
