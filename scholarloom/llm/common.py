@@ -30,6 +30,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def bound_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Arrow batches of texts by bytes, not only by rows: their copies on both sides count against an executor's memory. A setting other than Spark's own stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) in ("67108864b", "64MB", "67108864"):
+        spark.conf.set(key, most)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 

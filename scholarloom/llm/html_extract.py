@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches, tidy
+
 MAX_PAGES = 600
 
 # HTML element classes.
@@ -420,6 +422,7 @@ def main_text(page: str | None, field: Field) -> str:
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", field: Field | None = None) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
+    bound_batches(pages.sparkSession)
     field = field or trained_field()
     types = dict(pages.dtypes)
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
@@ -431,4 +434,4 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
                 texts = [main_text(t, field) for t in some.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return rows.mapInArrow(run, f"page_id {types[id_col]}, url {types[url_col]}, text string, n_chars long")
+    return rows.mapInArrow(tidy(run), f"page_id {types[id_col]}, url {types[url_col]}, text string, n_chars long")

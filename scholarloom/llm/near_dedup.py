@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import tidy, written
+from .common import bound_batches, tidy, written
 from .graph import components
 from .hashing import mix
 
@@ -46,7 +46,7 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 class WordHash(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = out = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
         return out
@@ -284,6 +284,7 @@ class NearDuplicates:
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD):
         self.spark, self.threshold = docs.sparkSession, threshold
+        bound_batches(self.spark)
         self.rows = keyed(docs, id_col, text_col)
         kind = dict(docs.dtypes)[id_col]
         self.signed = written(self.rows.mapInArrow(tidy(_sign, forget), f"doc {kind}, key binary, sig binary, bands array<bigint>, size int"), "signatures")

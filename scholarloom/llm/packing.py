@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_path, fresh_path, tidy
+from .common import bound_batches, drop_path, fresh_path, tidy
 from .hashing import Prints
 
 WINDOW = 2048
@@ -32,7 +32,7 @@ WINDOW = 2048
 _PLAIN = regex.compile(r"[\x09-\x0d\x20-\x7e\xa1-įı-ɏ]*")
 #: The pre-tokenizer's pattern, as its file states it.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_CACHE = 600_000
+_CACHE = 250_000
 _loaded: dict[str, "ChunkTokens"] = {}
 
 
@@ -195,6 +195,7 @@ def _cut(bases: dict[int, int], total: int, window: int):
 def pack(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, padded_length."""
     spark = docs.sparkSession
+    bound_batches(spark)
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     path = fresh_path(spark, "tokens")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import bound_batches, tidy
 
 SPACE = "▁"
 _CACHE_WORDS = 500_000
@@ -276,6 +276,7 @@ def _report(model_path: str):
 
 def encode_report(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    bound_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(tidy(_report(model_path), forget), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -39,7 +39,7 @@ from .warc import open_store
 
 LENGTH, GRAM = 200, 48
 SHARD_BYTES = 48 << 20
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 #: Contexts of one rank that are compared in one task; more go by single windows.
 GROUP = 4_000
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import bound_batches, tidy
 
 MAX_TRAIN = 20_000
 MAX_LEXICON = 4_000
@@ -80,7 +80,7 @@ class Lexicon:
             best = node.get("*", best)
         else:
             best = node.get("=", best)
-        if len(self.cache) > 200_000:
+        if len(self.cache) > 100_000:
             self.cache.clear()
         self.cache[word] = best
         return best
@@ -185,7 +185,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text, toxic in zip(batch.column(0), batch.column(1), strict=True):
             hits[toxic.as_py()].update(word_features(text.as_py() or ""))
-            if len(hits[0]) + len(hits[1]) > 200_000:
+            if len(hits[0]) + len(hits[1]) > 100_000:
                 yield flush()
     yield flush()
 
@@ -242,6 +242,7 @@ def remainder(id_col: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train: int = MAX_TRAIN) -> Model:
     spark = docs.sparkSession
+    bound_batches(spark)
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)").where(remainder(F.col("id")) != 1)
     chosen = usable.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(max_train).collect()
     if not chosen:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_path, fresh_path, written
+from .common import bound_batches, drop_path, fresh_path, written
 
 CHUNK = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -139,6 +139,7 @@ def _writer(folder: str, roll_bytes: int, level: int):
 
 def write_stream_archives(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", roll_bytes: int = 64 << 20, level: int = 4) -> DataFrame:
     """Writes the archives; returns (archive, rec, page_id, digest, bytes), one row per record."""
+    bound_batches(pages.sparkSession)
     kind = dict(pages.dtypes)[id_col]
     store, base = open_store(folder)
     store.create_dir(base, recursive=True)
