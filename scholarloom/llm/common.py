@@ -64,10 +64,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def steady_malloc() -> None:
+    """Let glibc return large arrays to the system when they are freed, whatever sizes came before."""
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
 def tidy(run: Callable, *dumps: Callable[[], object]) -> Callable:
     """A mapInArrow function that gives its memory back at the end of a partition: idle Python workers stay alive beside busy ones."""
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steady_malloc()
         try:
             yield from run(batches)
         finally:

@@ -32,7 +32,7 @@ WINDOW = 2048
 _PLAIN = regex.compile(r"[\x09-\x0d\x20-\x7e\xa1-įı-ɏ]*")
 #: The pre-tokenizer's pattern, as its file states it.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_CACHE = 250_000
+_CACHE = 200_000
 _loaded: dict[str, "ChunkTokens"] = {}
 
 
@@ -56,14 +56,30 @@ class ChunkTokens:
     def _clear(self) -> None:
         self.known: dict[int, int] = {}
         self.flat, self.used = np.zeros(1 << 20, "<u4"), 0
-        self.start, self.size = np.zeros(1 << 18, "i8"), np.zeros(1 << 18, "i8")
+        self.start, self.size, self.keys, self.hits = (np.zeros(1 << 18, t) for t in ("i8", "i8", "u8", "i8"))
+
+    def _thin(self) -> None:
+        """Keep the chunks that came up most often, at most half of the cache."""
+        n = len(self.known)
+        least = max(2, int(np.partition(self.hits[:n], n - _CACHE // 2)[n - _CACHE // 2]) + 1)
+        keep = np.flatnonzero(self.hits[:n] >= least)
+        start, size, keys, flat = self.start[keep], self.size[keep], self.keys[keep], self.flat
+        self._clear()
+        ends = np.cumsum(size)
+        self.used = int(ends[-1]) if len(ends) else 0
+        while self.used > len(self.flat):
+            self.flat = np.r_[self.flat, np.zeros_like(self.flat)]
+        self.flat[: self.used] = flat[np.repeat(start - (ends - size), size) + np.arange(self.used)]
+        m = len(keep)
+        self.start[:m], self.size[:m], self.keys[:m] = ends - size, size, keys
+        self.known = dict(zip(keys.tolist(), range(m), strict=True))
 
     def _tokenize(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and their number for each chunk. Many chunks make one text; ids that end a word tell them apart."""
         words = np.fromiter(map(len, map(_WORD.findall, chunks)), "i8", len(chunks))
-        lots = range(0, len(chunks), 512)
         flat, sizes = [], []
-        for lo, e in zip(lots, self.tokenizer.encode_batch_fast([" ".join(chunks[lo : lo + 512]) for lo in lots], add_special_tokens=False), strict=True):
+        for lo in range(0, len(chunks), 512):
+            e = self.tokenizer.encode_batch_fast([" ".join(chunks[lo : lo + 512])], add_special_tokens=False)[0]
             ids, own = np.asarray(e.ids, "<u4"), words[lo : lo + 512]
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == own.sum() and own.all():
@@ -81,10 +97,10 @@ class ChunkTokens:
         while self.used + len(ids) > len(self.flat):
             self.flat = np.r_[self.flat, np.zeros_like(self.flat)]
         while n + m > len(self.start):
-            self.start, self.size = np.r_[self.start, np.zeros_like(self.start)], np.r_[self.size, np.zeros_like(self.size)]
+            self.start, self.size, self.keys, self.hits = (np.r_[x, np.zeros_like(x)] for x in (self.start, self.size, self.keys, self.hits))
         self.flat[self.used : self.used + len(ids)] = ids
         self.start[n : n + m] = self.used + np.cumsum(size) - size
-        self.size[n : n + m] = size
+        self.size[n : n + m], self.keys[n : n + m] = size, keys
         self.used += len(ids)
         self.known.update(zip(keys, range(n, n + m), strict=True))
 
@@ -99,9 +115,9 @@ class ChunkTokens:
         lo, hi = edge[::2], edge[1::2]
         if not len(lo):
             return [np.empty(0, "<u4")] * len(texts)
-        keys, at, inverse = np.unique(Prints(data).of(lo, hi), return_index=True, return_inverse=True)
+        keys, at, inverse, times = np.unique(Prints(data).of(lo, hi), return_index=True, return_inverse=True, return_counts=True)
         if len(self.known) > _CACHE:
-            self._clear()
+            self._thin()
         names = keys.tolist()
         place = list(map(self.known.get, names))
         if None in place:
@@ -109,7 +125,9 @@ class ChunkTokens:
             spots = at[fresh]
             self._learn([names[i] for i in fresh], [joined[a:b].decode() for a, b in zip(lo[spots].tolist(), hi[spots].tolist(), strict=True)])
             place = list(map(self.known.__getitem__, names))
-        chunk = np.array(place, "i8")[inverse]
+        place = np.array(place, "i8")
+        self.hits[place] += times
+        chunk = place[inverse]
         size = self.size[chunk]
         ends = np.cumsum(size)
         ids = self.flat[np.repeat(self.start[chunk] - (ends - size), size) + np.arange(ends[-1])]
@@ -137,7 +155,7 @@ def forget() -> None:
         x._clear()
 
 
-def lots(texts: list[str | None], most: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+def lots(texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
     """Texts in runs of at most about `most` characters, with the number of the first."""
     lo, held, some = 0, 0, []
     for i, t in enumerate(texts):
