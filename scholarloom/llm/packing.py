@@ -32,7 +32,7 @@ WINDOW = 2048
 _PLAIN = regex.compile(r"[\x09-\x0d\x20-\x7e\xa1-įı-ɏ]*")
 #: The pre-tokenizer's pattern, as its file states it.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_CACHE = 200_000
+_CACHE, _KEPT = 600_000, 200_000
 _loaded: dict[str, "ChunkTokens"] = {}
 
 
@@ -59,9 +59,10 @@ class ChunkTokens:
         self.start, self.size, self.keys, self.hits = (np.zeros(1 << 18, t) for t in ("i8", "i8", "u8", "i8"))
 
     def _thin(self) -> None:
-        """Keep the chunks that came up most often, at most half of the cache."""
+        """Keep the chunks that came up most often, at most _KEPT of them."""
         n = len(self.known)
-        least = max(2, int(np.partition(self.hits[:n], n - _CACHE // 2)[n - _CACHE // 2]) + 1)
+        over = n - _KEPT
+        least = max(2, int(np.partition(self.hits[:n], over)[over]) + 1) if over > 0 else 2
         keep = np.flatnonzero(self.hits[:n] >= least)
         start, size, keys, flat = self.start[keep], self.size[keep], self.keys[keep], self.flat
         self._clear()
@@ -150,12 +151,12 @@ def tokens_of(path: str) -> ChunkTokens:
 
 
 def forget() -> None:
-    """Drop what the tokenizers of this worker have kept of their texts."""
+    """Keep only the chunks that the tokenizers of this worker have met most often."""
     for x in _loaded.values():
-        x._clear()
+        x._thin()
 
 
-def lots(texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
+def lots(texts: list[str | None], most: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
     """Texts in runs of at most about `most` characters, with the number of the first."""
     lo, held, some = 0, 0, []
     for i, t in enumerate(texts):
