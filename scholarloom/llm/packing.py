@@ -29,7 +29,10 @@ from .hashing import Prints
 
 WINDOW = 2048
 #: Characters for which lower-casing, NFC and the classes of the two regex engines agree.
-_PLAIN = regex.compile(r"[\x09-\x0d\x20-\x7e\xa1-įı-ɏ]*")
+_PLAIN = regex.compile(r"[\x09-\x0d\x20-\x7eÀ-ÖØ-öø-įı-ɏ]*")
+#: Bytes of such texts: 0 white space, 1 letters and digits, 2 other signs, 3 the apostrophe, which may belong to either side.
+_KIND = np.ones(256, "u1")
+_KIND[:128] = [0 if c in b" \t\n\x0b\x0c\r" else 3 if c == 39 else 1 if chr(c).isalnum() else 2 for c in range(128)]
 #: The pre-tokenizer's pattern, as its file states it.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _CACHE, _KEPT = 600_000, 200_000
@@ -39,7 +42,7 @@ _loaded: dict[str, "ChunkTokens"] = {}
 class ChunkTokens:
     """Token ids of a word-level BPE file.
 
-    Texts are cut at white space, which no token crosses. Each distinct chunk is tokenized by the
+    Texts are cut at white space and around signs, which no token crosses. Each distinct chunk is tokenized by the
     library once and kept in one flat array of ids; a text's ids are gathered from there by the
     chunks' fingerprints. Texts with unusual characters go to the library whole.
     """
@@ -111,9 +114,11 @@ class ChunkTokens:
         joined = b"\n".join(raw)
         data = np.frombuffer(joined, "u1")
         first = np.cumsum([0, *(len(r) + 1 for r in raw)])
-        inside = np.r_[False, (data != 32) & ((data > 13) | (data < 9)), False]
-        edge = np.flatnonzero(inside[1:] != inside[:-1])
-        lo, hi = edge[::2], edge[1::2]
+        kind = np.r_[np.uint8(0), _KIND[data], np.uint8(0)]
+        before, after = kind[:-1], kind[1:]
+        # White space ends a chunk, and so does a change between letters or digits and other signs.
+        edge = (before != after) & ((before == 0) | (after == 0) | (before + after == 3) & (before != 0) & (after != 0))
+        lo, hi = np.flatnonzero(edge & (after != 0)), np.flatnonzero(edge & (before != 0))
         if not len(lo):
             return [np.empty(0, "<u4")] * len(texts)
         keys, at, inverse, times = np.unique(Prints(data).of(lo, hi), return_index=True, return_inverse=True, return_counts=True)
