@@ -35,7 +35,7 @@ _KIND = np.ones(256, "u1")
 _KIND[:128] = [0 if c in b" \t\n\x0b\x0c\r" else 3 if c == 39 else 1 if chr(c).isalnum() else 2 for c in range(128)]
 #: The pre-tokenizer's pattern, as its file states it.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_CACHE, _KEPT = 600_000, 200_000
+_CACHE, _KEPT = 300_000, 30_000
 _loaded: dict[str, "ChunkTokens"] = {}
 
 
@@ -61,10 +61,10 @@ class ChunkTokens:
         self.flat, self.used = np.zeros(1 << 20, "<u4"), 0
         self.start, self.size, self.keys, self.hits = (np.zeros(1 << 18, t) for t in ("i8", "i8", "u8", "i8"))
 
-    def _thin(self) -> None:
-        """Keep the chunks that came up most often, at most _KEPT of them."""
+    def _thin(self, most: int) -> None:
+        """Keep the chunks that came up most often, at most so many of them."""
         n = len(self.known)
-        over = n - _KEPT
+        over = n - most
         least = max(2, int(np.partition(self.hits[:n], over)[over]) + 1) if over > 0 else 2
         keep = np.flatnonzero(self.hits[:n] >= least)
         start, size, keys, flat = self.start[keep], self.size[keep], self.keys[keep], self.flat
@@ -123,7 +123,7 @@ class ChunkTokens:
             return [np.empty(0, "<u4")] * len(texts)
         keys, at, inverse, times = np.unique(Prints(data).of(lo, hi), return_index=True, return_inverse=True, return_counts=True)
         if len(self.known) > _CACHE:
-            self._thin()
+            self._thin(_CACHE // 3)
         names = keys.tolist()
         place = list(map(self.known.get, names))
         if None in place:
@@ -158,10 +158,10 @@ def tokens_of(path: str) -> ChunkTokens:
 def forget() -> None:
     """Keep only the chunks that the tokenizers of this worker have met most often."""
     for x in _loaded.values():
-        x._thin()
+        x._thin(_KEPT)
 
 
-def lots(texts: list[str | None], most: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+def lots(texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
     """Texts in runs of at most about `most` characters, with the number of the first."""
     lo, held, some = 0, 0, []
     for i, t in enumerate(texts):
