@@ -1,10 +1,11 @@
 """Near-duplicate classes by ProbMinHash.
 
-A text's words (lower-cased, split at white space) give shingles of five words, weighted 1 + ln of
-their count. ProbMinHash assigns each shingle a Poisson process of rate its weight whose arrivals
+A text's words (lower-cased, split at white space) give a set of shingles of five words, all of
+weight 1. ProbMinHash assigns each shingle a Poisson process of rate its weight whose arrivals
 fall on random components of the signature; each component keeps its earliest arrival, and a
 process ends once it is later than every component's best. Components of two signatures agree with
-the probability Jaccard of the weighted shingle sets. Signatures are cut into bands.
+the probability Jaccard of the weighted sets, which for equal weights is the Jaccard similarity that
+links are verified by. Signatures are cut into bands.
 
 Documents with the same words are one node. In every bucket of a band the nodes are compared with
 the bucket's smallest node first. Buckets whose nodes are then still in several components are
@@ -120,13 +121,14 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 def text_signatures(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Signatures and the number of different shingles."""
-    owner, value, weight = [], [], []
+    owner, value = [], []
     for i, t in enumerate(texts):
-        v, n = np.unique(shingles(t), return_counts=True)
+        v = np.unique(shingles(t))
         owner.append(np.full(len(v), i, "i8"))
         value.append(v)
-        weight.append(1 + np.log(n))
-    sig = signatures(np.concatenate(owner), np.concatenate(value), np.concatenate(weight), len(texts))
+    h = np.concatenate(value)
+    # Counts stay out: with other weights components would not agree with the Jaccard similarity of the sets.
+    sig = signatures(np.concatenate(owner), h, np.ones(len(h)), len(texts))
     return sig, np.array([len(v) for v in value], "i4")
 
 

@@ -66,6 +66,19 @@ def test_blocks(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_same_shingles_in_very_different_counts(spark):
+    # The second text of a pair repeats a fifth of the first 20 or 100 times.
+    rows = []
+    for i in range(24):
+        text = words(f"counts {i}", 400).split(" ")
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(text[:80] * (20 if i % 2 else 100) + text[80:]))]
+    want = brute(rows)
+    assert {n for *_, n in want} == {2}
+    sig, _ = nd.text_signatures([t for _, t in rows])
+    assert (sig[::2] == sig[1::2]).mean(axis=1).min() > 0.9
+    assert run(spark, rows) == want
+
+
 def test_signatures_estimate_probability_jaccard():
     r = np.random.default_rng(5)
     h = r.integers(1, 2**63, 300).astype(np.uint64)
