@@ -190,10 +190,10 @@ def agreement(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array((a == b).mean(axis=1))
 
 
-def candidates(root: np.ndarray, head: np.ndarray, side: np.ndarray, size: np.ndarray, sig: np.ndarray, band: int, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+def candidates(root: np.ndarray, head: np.ndarray, side: np.ndarray, size: np.ndarray, sig: np.ndarray, bands: np.ndarray, band: int, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
     """(a, others): pairs of a block that may be links between components, likeliest first.
 
-    Each pair comes up in the first band that holds it. Pairs with a bucket's head were compared before.
+    Each pair comes up in the first band whose key, all 64 bits of it, is the same for both. Pairs with a bucket's head were compared before.
     """
     across = np.where(side == 2, 2, 1 - side)
     largest = np.bincount(root).argmax()  # one end of any pair between components lies outside it
@@ -202,16 +202,15 @@ def candidates(root: np.ndarray, head: np.ndarray, side: np.ndarray, size: np.nd
         others = np.flatnonzero((root != root[a]) & (side == across[a]) & fits & ~head)
         if not len(others):
             continue
-        equal = sig[others] == sig[a]
-        share = equal.mean(axis=1)
-        first = equal.reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1)
-        good = np.flatnonzero((share >= threshold - SLACK) & (first == band))
+        share = (sig[others] == sig[a]).mean(axis=1)
+        good = np.flatnonzero(share >= threshold - SLACK)
+        good = good[(bands[others[good]] == bands[a]).argmax(axis=1) == band]
         if len(good):
             yield a, others[good[np.argsort(-share[good], kind="stable")]]
 
 
 def _in_blocks(threshold: float, verify: bool):
-    """Rows (band, b, i, j, side, key, root, head, size, sig[, norm]) sorted by (band, i, j).
+    """Rows (band, b, i, j, side, key, root, head, size, sig, bands[, norm]) sorted by (band, i, j).
 
     Without texts: the rows that still have something to compare, as (band, i, j, u, null).
     With texts: links found, as (band, i, j, u, v), no more than join the block's components.
@@ -224,7 +223,7 @@ def _in_blocks(threshold: float, verify: bool):
         side, size = np.array([r[4] for r in rows]), np.array([r[8] for r in rows])
         sig = np.frombuffer(b"".join(r[9] for r in rows), "u1").reshape(len(rows), -1)
         head = np.array([r[7] for r in rows])
-        found = candidates(root, head, side, size, sig, rows[0][1], threshold)
+        found = candidates(root, head, side, size, sig, np.array([r[10] for r in rows]), rows[0][1], threshold)
         if not verify:
             wanted = set()
             for a, others in found:
@@ -242,7 +241,7 @@ def _in_blocks(threshold: float, verify: bool):
 
         def own(x: int) -> np.ndarray:
             if x not in sets:
-                sets[x] = np.unique(shingles(rows[x][10]))
+                sets[x] = np.unique(shingles(rows[x][11]))
             return sets[x]
 
         out = []
@@ -266,7 +265,8 @@ def _in_blocks(threshold: float, verify: bool):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["band", "i", "j", "u", "v"])
 
         for batch in (b.slice(lo, 1000) for b in batches for lo in range(0, b.num_rows, 1000)):
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            cols = [c.flatten().to_numpy().reshape(-1, BANDS) if pa.types.is_list(c.type) else c.to_pylist() for c in batch.columns]
+            for row in zip(*cols, strict=True):
                 key = (row[0], row[2], row[3])
                 if key != group:
                     found += settle(group, held)
@@ -338,13 +338,14 @@ class NearDuplicates:
             "band", "b", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
             F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "key", "root", (F.col("key") == F.col("head")).alias("first"),
         )
-        full = written(spread.join(self.sigs, "key").select("band", "b", "i", "j", "side", "key", "root", "first", "size", "sig"), "blocks")
+        sigs = self.nodes.select("key", "size", "sig", "bands")
+        full = written(spread.join(sigs, "key").select("band", "b", "i", "j", "side", "key", "root", "first", "size", "sig", "bands"), "blocks")
         schema = "band long, i int, j int, u binary, v binary"
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         dealt = lambda df: df.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
         wanted = written(dealt(full).mapInArrow(tidy(_in_blocks(self.threshold, False)), schema).select("band", "i", "j", F.col("u").alias("key")), "wanted")
         some = full.join(wanted, ["band", "i", "j", "key"], "left_semi").join(self.texts, "key")
-        some = some.select("band", "b", "i", "j", "side", "key", "root", "first", "size", "sig", "norm")
+        some = some.select("band", "b", "i", "j", "side", "key", "root", "first", "size", "sig", "bands", "norm")
         return dealt(some).mapInArrow(tidy(_in_blocks(self.threshold, True)), schema).select("u", "v")
 
 

@@ -2,6 +2,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from scholarloom.llm import graph
@@ -79,6 +80,22 @@ def test_same_shingles_in_very_different_counts(spark):
     assert run(spark, rows) == want
 
 
+def test_equal_bytes_are_no_common_band():
+    # Two texts differ in a component of the first band whose byte is the same in both: they meet in the second band first.
+    sig = np.repeat(np.random.default_rng(3).integers(1, 2**63, (1, nd.M)).astype(np.uint64), 2, axis=0)
+    byte = lambda x: (nd.mix(x) & np.uint64(255)).astype("u1")
+    others = np.arange(1, 10_000, dtype=np.uint64)
+    sig[1, 0] = others[(byte(others) == byte(sig[:1, 0])) & (others != sig[0, 0])][0]
+    bands, low = nd.band_keys(sig), byte(sig)
+    assert bands[0, 0] != bands[1, 0] and (bands[0, 1:] == bands[1, 1:]).all() and (low[0] == low[1]).all()
+
+    def kept(b):
+        rows = [{"band": int(bands[0, b]), "b": b, "i": 0, "j": 0, "side": 2, "key": k, "root": k, "first": False, "size": 300, "sig": low[x].tobytes(), "bands": bands[x].tolist()} for x, k in enumerate((b"u", b"v"))]
+        return {r["u"] for out in nd._in_blocks(0.8, False)(iter([pa.RecordBatch.from_pylist(rows)])) for r in out.to_pylist()}
+
+    assert kept(1) == {b"u", b"v"} and kept(2) == set()
+
+
 def test_signatures_estimate_probability_jaccard():
     r = np.random.default_rng(5)
     h = r.integers(1, 2**63, 300).astype(np.uint64)
