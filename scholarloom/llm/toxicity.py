@@ -251,10 +251,12 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     sample = F.broadcast(spark.createDataFrame([tuple(r) for r in chosen], f"id {dict(labels.dtypes)[id_col]}, y int"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(sample, "id").select("text", "y")
     counts = rows.mapInArrow(tidy(_count), "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    likely = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") * F.lit(2) > F.col("clean"))).orderBy(F.desc("toxic"), "feature").limit(50 * MAX_LEXICON).collect()
     per = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     entries = seed_entries()
     if per.get(0) and per.get(1):
+        # By the rates that choose() tests, whatever the share of toxic rows; it decides again, so rounding is given room.
+        odds = F.log((F.col("toxic") + 0.5) / (per[1] + 1)) - F.log((F.col("clean") + 0.5) / (per[0] + 1))
+        likely = counts.where((F.col("toxic") >= LEAST_DOCS) & (odds >= LEAST_ODDS - 1e-9)).orderBy(F.desc("toxic"), "feature").limit(50 * MAX_LEXICON).collect()
         entries |= choose([tuple(r) for r in likely], per[1], per[0])
     model = Model(entries, PRIOR.copy())
 

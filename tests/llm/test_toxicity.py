@@ -1,4 +1,5 @@
 import random
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -72,3 +73,11 @@ def test_civil_rows(spark):
     assert out.columns == df.columns
     ids = {r.doc_id for r in out.collect()}
     assert len(ids & {i for i, t in labels if not t}) == 160 and len(ids & {i for i, t in labels if t}) <= 2
+
+
+def test_few_toxic_labels(spark):
+    # 3% toxic: the word is in half of the toxic and a thirtieth of the clean texts, in more clean ones by number.
+    ids = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 3 != 1][:1000]
+    rows = [(i, words(i, 40) + (" grumblix" if (k % 2 if k < 30 else k % 30 == 0) else "")) for k, i in enumerate(ids)]
+    model = tox.train(docs(spark, rows), labelled(spark, [(i, int(k < 30)) for k, i in enumerate(ids)]))
+    assert any("grumblix".startswith(e) for e in set(model.entries) - set(tox.seed_entries()))
