@@ -177,7 +177,7 @@ def block_features(found: list[Block]) -> list[list[str]]:
         f.append("up:" + "/".join(b.path[-3:]))
         if t[-1] in ".!?:;…»”\"'":
             f.append("ends")
-        if "©" in t or "all rights" in t.lower()[:200]:
+        if "©" in t or "all rights" in t.lower():
             f.append("rights")
         if "." in t or "," in t:
             f.append("points")

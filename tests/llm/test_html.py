@@ -37,3 +37,7 @@ def test_query(spark):
     by = {r.page_id: r for r in got}
     assert by[2].text == by[3].text == "" and by[2].url is None and by[None].n_chars == 17 * 20_000 - 1
     assert he.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_rights_anywhere_in_a_block():
+    assert "rights" in he.block_features(he.blocks(f"<div>{'Published by a house of many names. ' * 10}All rights reserved.</div>"))[0]
