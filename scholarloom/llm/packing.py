@@ -5,6 +5,7 @@ partition. The partition totals, one number a partition, are summed up on the dr
 sums give every partition its global offset. Second pass: each document is cut where the windows
 of the stream end; the records at a window's border are the only ones in two sequences. All
 sequences but the last are full; the last is padded to `window` unless its length is a power of two.
+The bases of the partitions, one number each, come to the documents by a broadcast join.
 
 Defined cases: a null text counts as empty and is the end token alone; rows are never merged, so
 repeated rows are packed twice; a null doc_id is carried; an empty table gives an empty result.
@@ -16,6 +17,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +38,30 @@ _KIND[:128] = [0 if c in b" \t\n\x0b\x0c\r" else 3 if c == 39 else 1 if chr(c).i
 #: The pre-tokenizer's pattern, as its file states it.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _CACHE, _KEPT = 300_000, 30_000
+#: Chunks of up to _SHORT bytes are their own keys; those over _LONG are never kept.
+_SHORT, _LONG = 7, 256
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(_SHORT + 1)], np.uint64)
 _loaded: dict[str, "ChunkTokens"] = {}
 
 
+def words_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number."""
+    return np.ndarray(max(0, len(data) - 7), "<u8", data, strides=(1,))[at]
+
+
+def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start .. start + size of each range, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 class ChunkTokens:
     """Token ids of a word-level BPE file.
 
     Texts are cut at white space and around signs, which no token crosses. Each distinct chunk is tokenized by the
-    library once and kept in one flat array of ids; a text's ids are gathered from there by the
-    chunks' fingerprints. Texts with unusual characters go to the library whole.
+    library once and kept in one flat array of ids; a text's ids are gathered from there. A short chunk is found by
+    its own bytes, a longer one by a fingerprint and a comparison of all its bytes with the kept chunk's: one that
+    differs, and any very long one, is tokenized by itself. Texts with unusual characters go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -59,7 +76,9 @@ class ChunkTokens:
     def _clear(self) -> None:
         self.known: dict[int, int] = {}
         self.flat, self.used = np.zeros(1 << 20, "<u4"), 0
-        self.start, self.size, self.keys, self.hits = (np.zeros(1 << 18, t) for t in ("i8", "i8", "u8", "i8"))
+        self.text, self.filled = np.zeros(1 << 20, "u1"), 0
+        # Of each kept chunk: where its ids start and their number, where its bytes start and their number, key, uses.
+        self.start, self.size, self.at, self.bytes, self.keys, self.hits = (np.zeros(1 << 18, t) for t in ("i8", "i8", "i8", "i8", "u8", "i8"))
 
     def _thin(self, most: int) -> None:
         """Keep the chunks that came up most often, at most so many of them."""
@@ -67,16 +86,27 @@ class ChunkTokens:
         over = n - most
         least = max(2, int(np.partition(self.hits[:n], over)[over]) + 1) if over > 0 else 2
         keep = np.flatnonzero(self.hits[:n] >= least)
-        start, size, keys, flat = self.start[keep], self.size[keep], self.keys[keep], self.flat
+        keys, size, length = self.keys[keep], self.size[keep], self.bytes[keep]
+        ids, text = self.flat[spread(self.start[keep], size)], self.text[spread(self.at[keep], length)]
         self._clear()
-        ends = np.cumsum(size)
-        self.used = int(ends[-1]) if len(ends) else 0
-        while self.used > len(self.flat):
+        self._keep(keys, ids, size, text, length)
+
+    def _keep(self, keys: np.ndarray, ids: np.ndarray, size: np.ndarray, text: np.ndarray, length: np.ndarray) -> None:
+        n, m = len(self.known), len(keys)
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.r_[self.flat, np.zeros_like(self.flat)]
-        self.flat[: self.used] = flat[np.repeat(start - (ends - size), size) + np.arange(self.used)]
-        m = len(keep)
-        self.start[:m], self.size[:m], self.keys[:m] = ends - size, size, keys
-        self.known = dict(zip(keys.tolist(), range(m), strict=True))
+        while self.filled + len(text) > len(self.text):
+            self.text = np.r_[self.text, np.zeros_like(self.text)]
+        while n + m > len(self.start):
+            self.start, self.size, self.at, self.bytes, self.keys, self.hits = (np.r_[x, np.zeros_like(x)] for x in (self.start, self.size, self.at, self.bytes, self.keys, self.hits))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.text[self.filled : self.filled + len(text)] = text
+        own = slice(n, n + m)
+        self.start[own], self.size[own] = self.used + np.cumsum(size) - size, size
+        self.at[own], self.bytes[own], self.keys[own] = self.filled + np.cumsum(length) - length, length, keys
+        self.used += len(ids)
+        self.filled += len(text)
+        self.known.update(zip(keys.tolist(), range(n, n + m), strict=True))
 
     def _tokenize(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and their number for each chunk. Many chunks make one text; ids that end a word tell them apart."""
@@ -95,50 +125,68 @@ class ChunkTokens:
                 sizes.append(np.array([len(x) for x in each], "i8"))
         return np.concatenate(flat), np.concatenate(sizes)
 
-    def _learn(self, keys: list[int], chunks: list[str]) -> None:
-        ids, size = self._tokenize(chunks)
-        n, m = len(self.known), len(chunks)
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.r_[self.flat, np.zeros_like(self.flat)]
-        while n + m > len(self.start):
-            self.start, self.size, self.keys, self.hits = (np.r_[x, np.zeros_like(x)] for x in (self.start, self.size, self.keys, self.hits))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.start[n : n + m] = self.used + np.cumsum(size) - size
-        self.size[n : n + m], self.keys[n : n + m] = size, keys
-        self.used += len(ids)
-        self.known.update(zip(keys, range(n, n + m), strict=True))
+    def _keys(self, data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """The bytes of short chunks, and fingerprints with the top bit set for the others."""
+        size = hi - lo
+        long = np.flatnonzero(size > _SHORT)
+        keys = words_at(data, lo) & _MASK[np.minimum(size, _SHORT)]
+        keys[long] = Prints(data).of(lo[long], hi[long]) | np.uint64(1 << 63)
+        return keys
+
+    def _differing(self, data: np.ndarray, lo: np.ndarray, hi: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Numbers of the chunks that aren't byte for byte the ones kept at `place`; all have 8 bytes or more."""
+        size, held = hi - lo, self.at[place]
+        unlike = self.bytes[place] != size
+        left, step = np.flatnonzero(~unlike), 0
+        while len(left):
+            at = np.minimum(step, size[left] - 8)  # the last word overlaps the one before
+            same = words_at(data, lo[left] + at) == words_at(self.text, held[left] + at)
+            unlike[left[~same]] = True
+            step += 8
+            left = left[same & (size[left] > step)]
+        return np.flatnonzero(unlike)
 
     def _gathered(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of plain texts."""
         raw = [t.lower().encode() for t in texts]
-        joined = b"\n".join(raw)
+        joined = b"\n".join(raw) + bytes(8)
         data = np.frombuffer(joined, "u1")
         first = np.cumsum([0, *(len(r) + 1 for r in raw)])
-        kind = np.r_[np.uint8(0), _KIND[data], np.uint8(0)]
+        kind = np.r_[np.uint8(0), _KIND[data[:-8]], np.uint8(0)]
         before, after = kind[:-1], kind[1:]
         # White space ends a chunk, and so does a change between letters or digits and other signs.
         edge = (before != after) & ((before == 0) | (after == 0) | (before + after == 3) & (before != 0) & (after != 0))
         lo, hi = np.flatnonzero(edge & (after != 0)), np.flatnonzero(edge & (before != 0))
         if not len(lo):
             return [np.empty(0, "<u4")] * len(texts)
-        keys, at, inverse, times = np.unique(Prints(data).of(lo, hi), return_index=True, return_inverse=True, return_counts=True)
+        usual = hi - lo <= _LONG
+        some = slice(None) if usual.all() else np.flatnonzero(usual)
+        a, b = lo[some], hi[some]
         if len(self.known) > _CACHE:
             self._thin(_CACHE // 3)
-        names = keys.tolist()
-        place = list(map(self.known.get, names))
-        if None in place:
-            fresh = [i for i, x in enumerate(place) if x is None]
-            spots = at[fresh]
-            self._learn([names[i] for i in fresh], [joined[a:b].decode() for a, b in zip(lo[spots].tolist(), hi[spots].tolist(), strict=True)])
-            place = list(map(self.known.__getitem__, names))
-        place = np.array(place, "i8")
+        keys, at, inverse, times = np.unique(self._keys(data, a, b), return_index=True, return_inverse=True, return_counts=True)
+        place = np.fromiter((self.known.get(k, -1) for k in keys.tolist()), "i8", len(keys))
+        fresh = np.flatnonzero(place < 0)
+        if len(fresh):
+            x, y = a[at[fresh]], b[at[fresh]]
+            ids, size = self._tokenize([joined[i:j].decode() for i, j in zip(x.tolist(), y.tolist(), strict=True)])
+            place[fresh] = len(self.known) + np.arange(len(fresh))
+            self._keep(keys[fresh], ids, size, data[spread(x, y - x)], y - x)
         self.hits[place] += times
+        where, count = np.zeros(len(lo), "i8"), np.zeros(len(lo), "i8")
         chunk = place[inverse]
-        size = self.size[chunk]
-        ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[chunk] - (ends - size), size) + np.arange(ends[-1])]
-        cuts = np.r_[0, ends][np.searchsorted(lo, first)]
-        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        where[some], count[some] = self.start[chunk], self.size[chunk]
+        long = np.flatnonzero(b - a > _SHORT)
+        unlike = long[self._differing(data, a[long], b[long], chunk[long])]
+        alone = np.r_[np.flatnonzero(~usual), np.arange(len(lo))[some][unlike]]
+        flat = self.flat
+        if len(alone):
+            ids, size = self._tokenize([joined[i:j].decode() for i, j in zip(lo[alone].tolist(), hi[alone].tolist(), strict=True)])
+            where[alone], count[alone] = self.used + np.cumsum(size) - size, size
+            flat = np.r_[flat[: self.used], ids]
+        ids = flat[spread(where, count)]
+        cuts = np.r_[0, np.cumsum(count)][np.searchsorted(lo, first)]
+        return [ids[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         plain = [bool(_PLAIN.fullmatch(t)) and "<|" not in t for t in texts]
@@ -189,7 +237,7 @@ def _tokenized(tokenizer_path: str, end_id: int):
     return run
 
 
-def _cut(bases: dict[int, int], total: int, window: int):
+def _cut(total: int, window: int):
     last = total // window if total % window else -1
     short = total % window
     padded_last = short if short & (short - 1) == 0 else window
@@ -197,7 +245,7 @@ def _cut(bases: dict[int, int], total: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.column(3).to_numpy()
-            start = batch.column(2).to_numpy() + np.array([bases[p] for p in batch.column(1).to_pylist()], "i8")
+            start = batch.column(2).to_numpy() + batch.column(1).to_numpy()
             pieces = (start + n - 1) // window - start // window + 1
             row = np.repeat(np.arange(len(n)), pieces)
             nth = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -225,12 +273,11 @@ def pack(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW, end_id:
     path = fresh_path(spark, "tokens")
     rows.mapInArrow(tidy(_tokenized(tokenizer_path, end_id), forget), f"doc_id {kind}, part int, local long, n long, ids binary").write.parquet(path)
     held = spark.read.schema(f"doc_id {kind}, part int, local long, n long, ids binary").parquet(path)
-    totals = sorted(held.groupBy("part").agg(F.max(F.col("local") + F.col("n"))).collect())  # one row a partition
-    bases, total = {}, 0
-    for part, n in totals:
-        bases[part] = total
-        total += n
-    if not total:
+    totals = sorted(held.groupBy("part").agg(F.max(F.col("local") + F.col("n"))).collect())  # one number a partition
+    ends = list(accumulate((n for _, n in totals), initial=0))
+    if not ends[-1]:
         drop_path(spark, path)
         held = spark.createDataFrame([], held.schema)
-    return held.mapInArrow(tidy(_cut(bases, total, window)), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long")
+    bases = spark.createDataFrame([(p, base) for (p, _), base in zip(totals, ends, strict=False)], "part int, base long")
+    placed = held.join(F.broadcast(bases), "part").select("doc_id", "base", "local", "n", "ids")
+    return placed.mapInArrow(tidy(_cut(ends[-1], window)), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long")

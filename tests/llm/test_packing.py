@@ -69,3 +69,41 @@ def test_power_of_two_and_empty(spark):
 @given(st.lists(st.text(alphabet="aB'stréİΣ1½ \n\t\xa0\x1c\x85.,<|>中😀́", max_size=30), max_size=8))
 def test_ids_like_the_library(texts):
     assert [x.tolist() for x in packing.ChunkTokens(PATH).encode(texts)] == [ids_of(t) for t in texts]
+
+
+def thue_morse(n):
+    return "".join("ab"[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [8, 64, 256, 257, 1024, 4096])
+def test_words_with_equal_polynomials(n):
+    """Polynomial fingerprints modulo a power of two agree on this pair from 1,024 letters on, whatever the base."""
+    one = thue_morse(n)
+    texts = [one, one.translate(str.maketrans("ab", "ba")), f"{one} {one[::-1]} x"]
+    own = packing.ChunkTokens(PATH)
+    for _ in range(2):
+        assert [x.tolist() for x in own.encode(texts)] == [ids_of(t) for t in texts]
+
+
+def test_equal_fingerprints_are_told_apart(monkeypatch):
+    monkeypatch.setattr(packing.Prints, "of", lambda self, lo, hi: np.zeros(len(lo), np.uint64))
+    r = random.Random(3)
+    texts = [" ".join("".join(r.choice("abcde") for _ in range(r.choice([3, 7, 8, 9, 15, 16, 17, 300]))) for _ in range(50)) for _ in range(20)]
+    own = packing.ChunkTokens(PATH)
+    for lot in (texts[:10], texts, texts[::-1]):
+        assert [x.tolist() for x in own.encode(lot)] == [ids_of(t) for t in lot]
+
+
+def test_random_words_of_any_length():
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choice("abcdefghij") for _ in range(r.randrange(1, 5000))) for _ in range(4)) for _ in range(25)]
+    own = packing.ChunkTokens(PATH)
+    assert [x.tolist() for x in own.encode(texts)] == [ids_of(t) for t in texts]
+
+
+def test_chunks_stay_right_after_thinning(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHE", 60)
+    own = packing.ChunkTokens(PATH)
+    for seed in range(30):
+        texts = [words(seed, 40, 90).replace("w", "wordlike") + " " + words(seed, 40, 30)]
+        assert [x.tolist() for x in own.encode(texts)] == [ids_of(t) for t in texts]
