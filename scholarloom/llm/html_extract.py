@@ -10,8 +10,9 @@ notices, adverts, forms and reader comments around and inside.
 
 Defined cases: a null or empty page has empty text; a page without main blocks too; text outside
 any tag is a block; unclosed, stray and nested tags are handled as browsers do in outline; very
-long pages are read whole; a null id or url is carried; repeated rows are extracted each; an empty
-table gives an empty result.
+long and deeply nested pages are read whole in linear time; formulas and noscript content count like any text, scripts, templates
+and drawings don't; a null id or url is carried; repeated rows are extracted each; an empty table gives an
+empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +37,10 @@ BLOCK = frozenset(
     " iframe label legend li main menu nav object ol option p pre section select summary table tbody td tfoot th thead title tr ul video".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math noembed noframes xmp".split())
+#: Content of these is no markup; without an end tag it goes on to the end of the page.
+RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
+#: Content of these isn't text of the page; without an end tag they are like any other element.
+HIDDEN = frozenset("template svg".split())
 #: An opening tag ends the open elements named, up to the nearest of the barriers.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
@@ -51,10 +55,52 @@ _NAME = re.compile(r"[a-z]+")
 
 
 class Block:
-    __slots__ = ("path", "names", "text", "linked")
+    """path: the last three block-level ancestors. context: features of all ancestors, shared by blocks in the same place."""
 
-    def __init__(self, path: tuple[str, ...], names: tuple[str, ...], text: str, linked: int):
-        self.path, self.names, self.text, self.linked = path, names, text, linked
+    __slots__ = ("path", "context", "text", "linked")
+
+    def __init__(self, path: tuple[str, ...], context: tuple[str, ...], text: str, linked: int):
+        self.path, self.context, self.text, self.linked = path, context, text, linked
+
+
+class Open:
+    """The open elements. Each knows what all elements up to it say together; places by tag answer what is open in constant time."""
+
+    def __init__(self, known: frozenset[str] | None):
+        self.known = known
+        self.stack: list[tuple[str, tuple[str, ...], tuple[str, ...], frozenset[str]]] = [("", (), (), frozenset())]
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = [0]
+        self.scopes: list[int] = [0]
+
+    def last(self, *tags: str) -> int:
+        """Place of the last open element of these tags, 0 if none is open."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        _, path, context, held = self.stack[-1]
+        found = ["name:" + x for x in names]
+        if tag in BLOCK:
+            path = (*path[-2:], tag)
+            found.append("in:" + tag)
+            self.blocks.append(len(self.stack))
+        if tag in _SCOPE:
+            self.scopes.append(len(self.stack))
+        new = {x for x in found if x not in held and (self.known is None or x in self.known)}
+        if new:
+            held = held | new
+            context = (*context, *sorted(new))
+        self.at.setdefault(tag, []).append(len(self.stack))
+        self.stack.append((tag, path, context, held))
+
+    def cut(self, place: int) -> None:
+        """Close the element at this place and all in it."""
+        for tag, *_ in self.stack[place:]:
+            self.at[tag].pop()
+        del self.stack[place:]
+        for places in (self.blocks, self.scopes):
+            while places[-1] >= place:
+                places.pop()
 
 
 def attributes(raw: str) -> tuple[str, ...]:
@@ -70,94 +116,77 @@ def attributes(raw: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def blocks(page: str | None) -> list[Block]:
-    """Leaf blocks in page order."""
+def blocks(page: str | None, known: frozenset[str] | None = None) -> list[Block]:
+    """Leaf blocks in page order. known: the ancestors' features of interest, all if null."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    tree = Open(known)
     text: list[str] = []
     linked: list[str] = []
-    links = 0
-    seen: dict[tuple, tuple] = {}
 
     def flush() -> None:
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                key = tuple(stack)
-                if key not in seen:
-                    seen[key] = (tuple(t for t, _ in key if t in BLOCK), tuple(n for _, names in key for n in names))
-                path, names = seen[key]
-                out.append(Block(path, names, joined, min(len(joined), len(" ".join(html.unescape("".join(linked)).split())))))
+                _, path, context, _ = tree.stack[-1]
+                out.append(Block(path, context, joined, min(len(joined), len(" ".join(html.unescape("".join(linked)).split())))))
             text.clear()
         linked.clear()
 
-    def close(tag: str) -> None:
-        nonlocal links
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                links -= sum(t == "a" for t, _ in stack[i:])
-                del stack[i:]
-                return
-
-    page = page or ""
-    at = 0
-    while True:
-        m = _TAG.search(page, at)
-        piece = page[at : m.start()] if m else page[at:]
+    def say(piece: str) -> None:
         if piece:
             text.append(piece)
-            if links:
+            if tree.at.get("a"):
                 linked.append(piece)
-        if not m:
-            break
+
+    page = page or ""
+    at, end = 0, page.rfind(">") + 1  # behind it there is no tag
+    endless: set[str] = set()  # tags without a further end tag
+    while m := _TAG.search(page, at, end):
+        say(page[at : m.start()])
         at = m.end()
         tag = m[2]
         if tag is None:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(page)  # an open comment
             continue  # a comment, a declaration or a broken tag
         tag = tag.lower()
+        place = tree.last(tag)
         if m[1]:
             if tag in BLOCK:
                 flush()
-            if any(t == tag for t, _ in stack):
-                if tag in BLOCK or tag == "a" or not any(t in BLOCK for t, _ in stack[max(i for i, (t, _) in enumerate(stack) if t == tag) :]):
-                    close(tag)
+            if place and (tag in BLOCK or tag == "a" or tree.blocks[-1] < place):
+                tree.cut(place)
             continue
         if tag == "br":
             text.append(" ")
             continue
         if tag in BLOCK:
             flush()
-            if tag not in ("option",):
-                for i in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph
-                    if stack[i][0] == "p":
-                        links -= sum(t == "a" for t, _ in stack[i:])
-                        del stack[i:]
-                        break
-                    if stack[i][0] in _SCOPE:
-                        break
+            paragraph = tree.last("p")  # a block ends an open paragraph
+            if tag != "option" and paragraph > tree.scopes[-1]:
+                tree.cut(paragraph)
         if tag in ENDS:
             ended, barriers = ENDS[tag]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ended:
-                    links -= sum(t == "a" for t, _ in stack[i:])
-                    del stack[i:]
-                    if tag not in ("tr",):
-                        break
-                elif stack[i][0] in barriers:
+            while (inner := tree.last(*ended)) > tree.last(*barriers):
+                tree.cut(inner)
+                if tag != "tr":
                     break
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
             continue
-        if tag in RAW:
-            end = re.compile(f"</{re.escape(tag)}", re.I).search(page, at)
-            at = end.start() if end else len(page)
-            stop = page.find(">", at)
-            at = stop + 1 if end and stop >= 0 else len(page)
-            continue
-        if tag == "a":
-            if links:
-                close("a")
-            links += 1
-        stack.append((tag, attributes(m[3]) if m[3] else ()))
+        if tag in RAW or tag in HIDDEN:
+            found = None if tag in endless else re.compile(f"</{re.escape(tag)}", re.I).search(page, at)
+            stop = page.find(">", found.start()) if found else -1
+            if stop >= 0:
+                at = stop + 1
+                continue
+            endless.add(tag)
+            if tag in RAW:
+                at = len(page)
+                continue
+        if tag == "a" and place:
+            tree.cut(place)
+        tree.push(tag, attributes(m[3]) if m[3] else ())
+    say(page[at:].partition("<!--")[0])
     flush()
     return out
 
@@ -172,8 +201,7 @@ def block_features(found: list[Block]) -> list[list[str]]:
         share = b.linked / size
         last = b.path[-1] if b.path else "none"
         f = ["bias", "leaf:" + last, "len:" + str(min(9, size.bit_length())), "words:" + str(min(7, words.bit_length())), "link:" + ("0" if share == 0 else "some" if share < 0.5 else "most")]
-        f += ["in:" + x for x in set(b.path)]
-        f += ["name:" + x for x in set(b.names)]
+        f += b.context
         f.append("up:" + "/".join(b.path[-3:]))
         if t[-1] in ".!?:;…»”\"'":
             f.append("ends")
@@ -328,6 +356,7 @@ class Field:
 
     def __init__(self, weights: dict[str, float], pairs: list[list[float]], start: list[float]):
         self.weights, self.pairs, self.start = weights, pairs, start
+        self.known = frozenset(x for x in weights if x.startswith(("in:", "name:")))
 
     def label(self, found: list[Block]) -> list[int]:
         """Viterbi."""
@@ -416,7 +445,7 @@ def trained_field(max_pages: int = MAX_PAGES, seed: int = 7) -> Field:
 
 
 def main_text(page: str | None, field: Field) -> str:
-    found = blocks(page)
+    found = blocks(page, field.known)
     return "\n\n".join(b.text for b, y in zip(found, field.label(found), strict=True) if y)
 
 

@@ -1,3 +1,8 @@
+import time
+import tracemalloc
+
+import pytest
+
 from scholarloom.llm import html_extract as he
 
 FIELD = he.trained_field()
@@ -28,6 +33,18 @@ def test_parser_on_odd_pages():
     assert [b.path[-1] for b in he.blocks("<table><tr><td>1<td>2<tr><td>3</table>")] == ["td"] * 3
     assert [b.linked for b in he.blocks("<p><a href=x>ab</a> cd")] == [2]
     assert len(he.blocks("<div>" * 3000 + "x" + "<p>y" * 2000)) == 2001
+    assert text("<p>energy <math><mi>E</mi></math> is<noscript> small</noscript>") == ["energy E is small"]
+    assert text("<p>a<svg><text>no</text></svg>b") == ["ab"] and text("<div>a<svg>b</div><p>c") == ["ab", "c"]
+    assert text("<p>a<template>b") == ["ab"] and text("<p>a<iframe>b") == ["a"] and text("<p>a<!-- b > c") == ["a"] and text("<p>a <!-- b") == ["a"]
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 50_000, '<div class="c%d">x' * 20_000 % tuple(range(20_000)), "<b>" * 30_000 + "<ul></ul>x" * 30_000, "<a" * 100_000, "<svg>x" * 50_000, "<i>" * 30_000 + "</p>x" * 30_000, "<ul>" + "<li>x<b>" * 50_000, "<!--" * 50_000])
+def test_long_and_deep_pages_take_linear_time(page):
+    tracemalloc.start()
+    start = time.process_time()
+    he.main_text(page, FIELD)
+    assert time.process_time() - start < 12 and tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
 
 
 def test_query(spark):
