@@ -20,6 +20,8 @@ from .common import ascii_lower, written
 
 RESULT = ("keep_id", "group_size", "kept")
 DIGEST = "__digest"
+#: Summaries that are merged in one task: at most SUMMARIES / support counters.
+SUMMARIES = 1024
 
 
 def text_digest(text: str = "text") -> Column:
@@ -28,8 +30,11 @@ def text_digest(text: str = "text") -> Column:
 
 
 def frequent_keys(rows: DataFrame, key: Column, support: float) -> list[int]:
-    """At most about 1/support values of a long key; none held by over support of all rows is missing."""
-    found = rows.select(key.alias("k")).stat.freqItems(["k"], support).first()
+    """At most about 1/support values of a long key; none held by over support of all rows is missing.
+
+    One task merges the summaries of all partitions, so there are at most SUMMARIES of them, each over several partitions.
+    """
+    found = rows.select(key.alias("k")).coalesce(SUMMARIES).stat.freqItems(["k"], support).first()
     return [k for k in (found[0] if found else None) or [] if k is not None]
 
 
@@ -79,10 +84,25 @@ def dedup_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_first_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: float = 0.001) -> DataFrame:
-    """The rows that stay, with the columns of docs."""
+    """The rows that stay, with the columns of docs.
+
+    Decided on (id, digest) alone. Texts meet the marks of rows that may go: the join is on both id and
+    digest, so no group of copies meets in one task, and it is a broadcast where the marks are small.
+    """
     names = docs.columns
     # Clashing names step aside while the decision is made.
     held = docs.toDF(*[f"__c{i}" for i in range(len(names))])
-    id_at, text_at = names.index(id_col), names.index(text_col)
-    out = exact_dedup(held, id_col=f"__c{id_at}", text_col=f"__c{text_at}", support=support)
-    return out.where("kept").select(*[F.col(f"__c{i}").alias(n) for i, n in enumerate(names)])
+    own, text = f"__c{names.index(id_col)}", f"__c{names.index(text_col)}"
+    narrow = written(held.select(F.col(own).alias("id"), text_digest(text).alias(DIGEST)), "digests")
+    decided = exact_dedup(narrow, id_col="id", support=support, digests=narrow).where("group_size > 1")
+    # Rows that repeat both id and text are alike in all that is decided on: one of the winning ones stays.
+    marks = decided.groupBy("id", DIGEST).agg(F.max("kept").alias("wins"), F.count("*").alias("n")).where("n > 1 or not wins")
+    marks = written(marks.select(F.col("id").alias("__id"), F.col(DIGEST).alias("__d"), "wins"), "marks")
+    rows = held.withColumn(DIGEST, text_digest(text))
+    same = F.col(own).eqNullSafe(F.col("__id")) & (F.col(DIGEST) == F.col("__d"))
+    stay = rows.join(marks, same, "left_anti")
+    if not marks.where("wins").isEmpty():
+        twice = rows.join(marks.where("wins"), same, "left_semi")
+        first = F.row_number().over(Window.partitionBy(own, DIGEST).orderBy(F.lit(1)))
+        stay = stay.unionByName(twice.withColumn("__n", first).where("__n = 1").drop("__n"))
+    return stay.select(*[F.col(f"__c{i}").alias(n) for i, n in enumerate(names)])

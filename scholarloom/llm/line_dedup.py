@@ -36,7 +36,9 @@ def line_key(line: Column) -> Column:
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(doc, th, pos, h) for each line with a key long enough; th tells apart rows with one doc_id."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    lines = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+    # The hash is taken below the generator: beside it, it would be taken anew for each line.
+    texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("th"), text.alias("text"))
+    lines = texts.select("doc", "th", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     keyed = lines.select("doc", "th", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
     return keyed.select("doc", "th", "pos", F.unhex(F.md5(F.col("key").cast("binary"))).alias("h"))
 
@@ -71,10 +73,11 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, *, id_col: str = "doc_id"
     """id_col, n_lines, n_dropped and the kept text of each row of docs."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc"), text.alias("t")).withColumn("th", F.xxhash64("t"))
-    # Unpacked below the join, so that it is done once a document: dense[i >> 6] is then constant-time.
+    # Unpacked below the join, so that it is done once a document: dense[i >> 6] is then constant-time. The words
+    # are sorted; zeros fill the gap before each, so unpacking is linear in the lines.
     dense = bitmaps.select(
         F.col("doc").alias("bdoc"), F.col("th").alias("bth"),
-        F.expr("transform(sequence(0, words[size(words) - 1].w), i -> coalesce(try_element_at(map_from_entries(words), i), 0L))").alias("dense"),
+        F.expr("flatten(transform(words, (x, i) -> concat(array_repeat(0L, x.w - if(i = 0, 0, words[i - 1].w + 1)), array(x.bits))))").alias("dense"),
         F.expr("aggregate(words, 0L, (n, x) -> n + bit_count(x.bits))").alias("n_dropped"),
     )
     joined = rows.join(dense, F.col("doc").eqNullSafe(F.col("bdoc")) & (F.col("th") == F.col("bth")), "left")

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 from scholarloom.llm import line_dedup as ld
 
@@ -61,3 +62,12 @@ def test_empty(spark):
 def test_native_plan(spark):
     plan = ld.line_report(docs(spark, ROWS))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_million_lines(spark):
+    text = "\n".join(f"line number {i} of the long one" if i % 3 else "x" for i in range(1_000_000))
+    rows = [(1, text), (2, text), (3, "line number 4 of the long one\nown line of three")]
+    start = time.monotonic()
+    got = {r.doc_id: (r.n_lines, r.n_dropped) for r in ld.line_report(docs(spark, rows, clashing=False)).collect()}
+    assert got == {1: (1_000_000, 0), 2: (1_000_000, 666_666), 3: (2, 1)}
+    assert time.monotonic() - start < 60
