@@ -4,9 +4,10 @@ Vectors are scaled to norms of at most one and get one more component that makes
 the largest inner product is the smallest Euclidean distance. A table hashes a vector by
 floor((a.x - m) / W) for several Gaussian directions a. Instead of adding tables, a query visits in
 each table, besides its own bucket, the buckets with perturbed hash values in the order of the
-estimated probability of holding a neighbour, until these add up to the wanted success. The vectors
-of visited buckets are ranked by their inner product, the best again by the exact one, and the
-tables' candidates are merged.
+estimated probability of holding a neighbour, until these add up to the wanted success. Vectors lie
+sorted by bucket, and a query is multiplied with the slices of its visited buckets alone. All that come
+within rounding of its k best are ranked again by the exact inner product, and the tables' candidates
+are merged.
 
 Directions come from a seed; medians, widths, how a neighbour's projections follow the query's, and
 with it the wanted success, are fitted on a sample of at most `sample` vectors (smallest hash of vec_id). Every vector is indexed. Buckets are
@@ -36,7 +37,8 @@ from .common import written
 SAMPLE = 20_000
 GROUP = 8192
 BUCKET = 16
-LEAST_SAMPLE = 100
+#: A bucket's hash values share one 64-bit number.
+MOST_FUNCTIONS = 30
 
 
 @dataclass
@@ -94,7 +96,7 @@ def fit_index(sample: np.ndarray, scale: float, total: int, k: int, *, tables: i
     """functions: so many that a bucket holds about BUCKET vectors. The rule is fitted to the k nearest, in the
     sample, of some of its vectors: these lie further off than the k nearest in the whole table."""
     rng = np.random.default_rng(seed)
-    functions = int(np.clip(round(math.log2(max(1, total / BUCKET))), 2, 16))
+    functions = int(np.clip(round(math.log2(max(1, total / BUCKET))), 2, MOST_FUNCTIONS))
     directions = rng.standard_normal((tables, functions, sample.shape[1] + 1))
     one = np.ones((tables, functions))
     index = Index(directions, 0 * one, one, scale, one, 0 * one, one, 1.0, int(np.clip(math.ceil(math.log2(max(1, total / group))), 0, functions)))
@@ -106,8 +108,8 @@ def fit_index(sample: np.ndarray, scale: float, total: int, k: int, *, tables: i
     near = sample[asked] @ sample.T
     near[np.arange(len(asked)), asked] = -np.inf
     m = min(k, len(sample) - 1)
-    if len(sample) < LEAST_SAMPLE:
-        return index  # too few to fit to: all buckets are visited
+    if m >= len(sample) - 1:
+        return index  # every other vector is one of the k nearest: all buckets are visited
     found = np.argpartition(-near, m - 1, axis=1)[:, :m]
     q = index.projections(sample[asked], True)
     x, y = np.repeat(q, m, axis=0), p[found.ravel()]
@@ -216,52 +218,76 @@ def _probe(index: Index, splits: dict[tuple[int, int], int]):
     return run
 
 
+class Group:
+    """The vectors of a group of buckets, sorted by bucket and divided by the largest norm."""
+
+    def __init__(self, index: Index, ids: np.ndarray, bucket: np.ndarray, matrix: np.ndarray):
+        order = np.argsort(bucket, kind="stable")
+        self.index, self.ids, self.matrix = index, ids[order], matrix[order]
+        kinds, first = np.unique(bucket[order], return_index=True)
+        self.cuts = np.r_[first, len(bucket)].tolist()
+        self.flat = (self.matrix / index.scale).astype("f4").T.copy()
+        digits = kinds[None, :] >> (np.int64(2) * np.arange(index.functions))[:, None] & 3
+        # Buckets as columns of ones for their hash values.
+        self.hot = (digits[:, None, :] == np.arange(4)[None, :, None]).reshape(index.functions * 4, -1).astype("f8")
+
+    def visited(self, queries: np.ndarray, table: int) -> np.ndarray:
+        """queries x buckets."""
+        logs = self.index.log_success(self.index.projections(queries, True))[:, table]
+        return logs.reshape(len(logs), -1) @ self.hot >= least_visited(logs, self.index.wanted)[:, None]
+
+    def scores(self, queries: np.ndarray, visited: np.ndarray) -> tuple[np.ndarray, int]:
+        """queries x vectors in single precision, -inf outside visited buckets, and how many products were taken."""
+        unit = (queries / np.linalg.norm(queries, axis=1, keepdims=True)).astype("f4")
+        out = np.full((len(queries), len(self.ids)), -np.inf, "f4")
+        taken = 0
+        for bucket, (lo, hi) in enumerate(zip(self.cuts, self.cuts[1:], strict=False)):
+            asking = np.flatnonzero(visited[:, bucket])
+            if len(asking):
+                out[asking, lo:hi] = unit[asking] @ self.flat[:, lo:hi]
+                taken += len(asking) * (hi - lo)
+        return out, taken
+
+    def best(self, queries: np.ndarray, table: int, k: int) -> tuple[list[list[int]], list[list[float]]]:
+        """Ids and exact scores of each query's k best in its visited buckets."""
+        scores, _ = self.scores(queries, self.visited(queries, table))
+        m = min(k, scores.shape[1])
+        # The products of vectors of norm one at most are off by less than this; what comes so near to the last is compared exactly.
+        off = (queries.shape[1] + 8) * 2.0**-23
+        last = -np.partition(-scores, m - 1, axis=1)[:, m - 1]
+        near = np.isfinite(scores) & (scores >= last[:, None] - 2 * off)
+        ids, found = [], []
+        for q, row in zip(queries, near, strict=True):
+            own = np.flatnonzero(row)
+            exact = (q * self.matrix[own]).sum(axis=1)
+            top = np.lexsort((self.ids[own], -exact))[:k]
+            ids.append(self.ids[own[top]].tolist())
+            found.append(exact[top].tolist())
+        return ids, found
+
+
 def _search(index: Index, k: int):
     """Rows sorted by (table, grp, part, side) to each query's best k classes of the part: (query, ids, scores)."""
-    shifts = np.int64(2) * np.arange(index.functions)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, pending, block = None, [], None
-
-        def ready():
-            """Ids, vectors, each vector's bucket by number, and the buckets as columns of ones for their hash values."""
-            ids, bucket, matrix = (np.concatenate(x) for x in zip(*pending, strict=True))
-            kinds, inverse = np.unique(bucket, return_inverse=True)
-            hot = np.zeros((index.functions, 4, len(kinds)))
-            hot[np.arange(index.functions)[:, None], kinds[None, :] >> shifts[:, None] & 3, np.arange(len(kinds))[None, :]] = 1
-            return ids, matrix, matrix.astype("f4").T.copy(), inverse, hot.reshape(index.functions * 4, -1)
-
+        where, pending, group = None, [], None
         for batch in batches:
             key = np.stack([batch.column(i).to_numpy().astype("i8") for i in range(4)], axis=1)
             cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(key)], strict=True):
-                where, side = tuple(key[a, :3].tolist()), key[a, 3]
-                if where != group:
-                    group, pending, block = where, [], None
-                if side == 0:
+                if tuple(key[a, :3].tolist()) != where:
+                    where, pending, group = tuple(key[a, :3].tolist()), [], None
+                if key[a, 3] == 0:
                     some = batch.slice(a, b - a)
                     pending.append((some.column(4).to_numpy(), some.column(5).to_numpy(), _vectors(some.column(6))))
                     continue
                 if not pending:
                     continue
-                block = block or ready()
-                ids, matrix, flat, inverse, hot = block
+                group = group or Group(index, *(np.concatenate(x) for x in zip(*pending, strict=True)))
                 for lo in range(a, b, 256):
                     some = batch.slice(lo, min(256, b - lo))
-                    queries = _vectors(some.column(6))
-                    logs = index.log_success(index.projections(queries, True))[:, where[0]]
-                    visited = logs.reshape(len(logs), -1) @ hot >= least_visited(logs, index.wanted)[:, None]
-                    scores = np.where(visited[:, inverse], queries.astype("f4") @ flat, np.float32(-np.inf))
-                    m = min(2 * k, scores.shape[1])
-                    near = np.argpartition(-scores, m - 1, axis=1)[:, :m]
-                    out_ids, out_scores = [], []
-                    for i, own in enumerate(near):
-                        own = own[np.isfinite(scores[i, own])]
-                        exact = (queries[i] * matrix[own]).sum(axis=1)
-                        best = np.lexsort((ids[own], -exact))[:k]
-                        out_ids.append(ids[own[best]].tolist())
-                        out_scores.append(exact[best].tolist())
-                    yield pa.RecordBatch.from_arrays([some.column(4), pa.array(out_ids, pa.list_(pa.int64())), pa.array(out_scores, pa.list_(pa.float64()))], ["query", "ids", "scores"])
+                    ids, scores = group.best(_vectors(some.column(6)), where[0], k)
+                    yield pa.RecordBatch.from_arrays([some.column(4), pa.array(ids, pa.list_(pa.int64())), pa.array(scores, pa.list_(pa.float64()))], ["query", "ids", "scores"])
 
     return run
 

@@ -1,9 +1,12 @@
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from scholarloom.llm import ann
+from scholarloom.llm.queries import QUERIES
 
 
 def table(spark, rows):
@@ -74,3 +77,56 @@ def test_visited_buckets_reach_the_wanted_success():
         assert 0.8 <= mass < 0.93  # in order of probability, and not many more than needed
         want = {int(c) % 16 for c in codes[lp >= least[q]]}
         assert set(ann.visited_groups(logs[q], least[q], 2).tolist()) == want
+
+
+def test_recall_on_embeddings(spark):
+    folder = Path("/root/testdata/sf0.01")
+    if not folder.exists():
+        pytest.skip("no tables")
+    t = pq.read_table(folder / "embeddings.parquet").to_pydict()
+    good = [(i, v) for i, v in zip(t["vec_id"], t["embedding"], strict=True) if v and None not in v and np.isfinite(v).all() and np.any(v)]
+    ids, x = np.array([i for i, _ in good]), np.array([v for _, v in good], "f4").astype("f8")
+    got = lists(QUERIES["op7_ann"](spark, str(folder)).collect())
+    hits = total = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        s = x @ x[q]
+        s[q] = -np.inf
+        want = set(ids[np.lexsort((ids, -s))[:20]].tolist())
+        hits += len(want & {i for i, _ in got[ids[q]]})
+        total += len(want)
+    assert hits / total >= 0.9
+
+
+def clustered(n, centres, dims, seed):
+    r = np.random.default_rng(seed)
+    c = r.standard_normal((centres, dims))
+    return c[r.integers(0, centres, n)] + 0.05 * r.standard_normal((n, dims))
+
+
+def test_only_visited_buckets_are_scored():
+    x = clustered(6000, 60, 16, 1)
+    scale = np.linalg.norm(x, axis=1).max()
+    index = ann.fit_index(x[:2000], scale, len(x), 20)
+    weights = np.int64(4) ** np.arange(index.functions)
+    bucket = index.cells(index.projections(x, False))[:, 0] @ weights
+    group = ann.Group(index, np.arange(len(x)), bucket, x)
+    queries = x[::20]
+    visited = group.visited(queries, 0)
+    scores, taken = group.scores(queries, visited)
+    size = dict(zip(*np.unique(bucket, return_counts=True), strict=True))
+    assert taken == sum(visited[:, j].sum() * size[b] for j, b in enumerate(sorted(size)))
+    assert taken == np.isfinite(scores).sum() < 0.2 * len(queries) * len(x)
+    found = [set(ids) for ids, _ in zip(*group.best(queries, 0, 21), strict=True)]
+    near = np.argsort(-(queries @ x.T), axis=1)[:, :21]
+    assert np.mean([len(f & set(w.tolist())) / 21 for f, w in zip(found, near, strict=True)]) >= 0.8  # of one table
+
+
+def test_vectors_within_rounding_are_ranked_exactly():
+    r = np.random.default_rng(2)
+    base = r.standard_normal(16)
+    x = np.array([base + 1e-7 * r.standard_normal(16) for _ in range(300)], "f4").astype("f8")
+    index = ann.fit_index(x[:15], np.linalg.norm(x, axis=1).max(), len(x), 20)
+    group = ann.Group(index, np.arange(len(x)), np.zeros(len(x), "i8"), x)
+    [ids], [scores] = group.best(x[:1], 0, 20)
+    exact = (x[0] * x).sum(axis=1)
+    assert ids == np.lexsort((np.arange(len(x)), -exact))[:20].tolist() and scores == exact[ids].tolist()
