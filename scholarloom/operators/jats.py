@@ -7,7 +7,6 @@ function that returns everything later columns need.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from xml.etree import ElementTree as ET
 
@@ -307,24 +306,22 @@ def read_article(source: str | bytes | None) -> dict:
 
 
 def _map(df: DataFrame, column: str, read, schema: str) -> DataFrame:
-    """df with the fields that read returns for a column's value, in Arrow batches."""
-    from pyspark.sql.pandas.types import to_arrow_schema
+    """df with the fields that read returns for a column's value. Only that column travels to Python, in Arrow batches.
+
+    Marked as non-deterministic, the function runs once a row, whichever fields are used or filtered on later.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructType
 
     extra = StructType.fromDDL(schema)
-    fields = to_arrow_schema(extra)
-    names = df.columns
-    at = names.index(column)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                some = batch.slice(lo, 128)
-                rows = [read(v) for v in some.column(at).to_pylist()]
-                cols = [pa.array([r[f.name] for r in rows], f.type) for f in fields]
-                yield pa.RecordBatch.from_arrays([*some.columns, *cols], [*names, *fields.names])
-
-    return df.mapInArrow(run, StructType([*df.schema.fields, *extra.fields]))
+    kind = to_arrow_type(extra)
+
+    @F.arrow_udf(extra)
+    def run(values: pa.Array) -> pa.Array:
+        return pa.array([read(v) for v in values.to_pylist()], kind)
+
+    out = df.withColumn("__read", run.asNondeterministic()(column))
+    return out.select(*df.columns, *[F.col(f"__read.{f.name}").alias(f.name) for f in extra.fields])
 
 
 def read_jats(df: DataFrame, xml: str = "xml") -> DataFrame:

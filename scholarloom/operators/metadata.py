@@ -18,92 +18,109 @@ LISTS = ("authors", "keywords")
 FIELDS = ("title", "authors", "journal", "publication_date", "volume", "issue", "pages", "publisher", "abstract", "keywords", "open_access", "copyright", "url")
 
 
-def _v(record: Column, key: str) -> Column:
-    return F.variant_get(record, f"$.{key}", "variant")
+#: The keys of a record that fields are read from.
+KEYS = (
+    "title", "creators", "authors", "journalTitle", "publicationName", "publicationDate", "onlineDate", "volume", "issue", "number", "startingPage", "startPage", "firstPage", "endingPage", "endPage", "lastPage",
+    "publisherName", "publisher", "abstract", "keyword", "keywords", "openaccess", "copyright", "rights", "url",
+)
+
+
+def _variants(*keys: str) -> str:
+    return f"struct<{','.join(f'{k}:variant' for k in keys)}>"
+
+
+def _parts(v: Column, *keys: str) -> Column:
+    """The values of an object's keys, each read once; null for anything but an object."""
+    return F.try_variant_get(v, "$", _variants(*keys))
 
 
 def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def _string(v: Column) -> Column:
-    """A JSON string's text, stripped; null for anything else or a blank one."""
-    return F.when(_kind(v) == "STRING", nonempty(F.try_variant_get(v, "$", "string")))
+def _raw(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "string")
 
 
-def text_field(record: Column, *keys: str) -> Column:
-    return F.coalesce(*[_string(_v(record, k)) for k in keys])
+def _string(v: Column) -> Column:
+    """A JSON string's text, stripped; null for anything else or a blank one."""
+    return F.when(_kind(v) == "STRING", nonempty(_raw(v)))
 
 
-def scalar_field(record: Column, *keys: str) -> Column:
+def _scalar(v: Column) -> Column:
     """A string, or a boolean or number as text."""
-    one = lambda v: F.coalesce(_string(v), F.when(_kind(v).rlike("^(BOOLEAN|BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(v, "$", "string")))
-    return F.coalesce(*[one(_v(record, k)) for k in keys])
+    return F.when(_kind(v).rlike("^(STRING|BOOLEAN|BIGINT|DECIMAL|DOUBLE|FLOAT)"), nonempty(_raw(v)))
 
 
 def _items(v: Column) -> Column:
     return F.try_variant_get(v, "$", "array<variant>")
 
 
-def _list_field(record: Column, keys: tuple[str, str], inner: tuple[str, ...]) -> Column:
+def _list_field(v: Column, inner: tuple[str, ...]) -> Column:
     """Distinct texts of a string or of a list of strings and objects."""
-    v = F.coalesce(*[F.when(_kind(_v(record, k)) != "VOID", _v(record, k)) for k in keys])
-    # The first of the object's values that is not empty counts, and only if it is a string.
-    def of(item: Column) -> Column:
-        filled = lambda x: x.isNotNull() & ~_kind(x).isin("VOID") & (F.coalesce(F.try_variant_get(x, "$", "string"), F.lit("x")) != "") & ~((_kind(x) == "BOOLEAN") & (F.try_variant_get(x, "$", "string") == "false"))
-        chosen = F.coalesce(*[F.when(filled(_v(item, k)), _v(item, k)) for k in inner])
-        return F.when(_kind(item) == "STRING", _string(item)).when(_kind(item).startswith("OBJECT"), _string(chosen))
-
-    many = F.array_distinct(F.filter(F.transform(_items(v), of), lambda x: x.isNotNull()))
-    return F.when(_kind(v) == "STRING", F.array_compact(F.array(_string(v)))).otherwise(F.coalesce(many, F.array().cast("array<string>")))
+    # An item's kind and text, and the same of an object's values; the first value that is not empty counts, and only if it is a string.
+    value = lambda x: F.struct(_kind(x).alias("kind"), _raw(x).alias("text"))
+    opened = F.transform(_items(v), lambda i: F.struct(value(i).alias("own"), _parts(i, *inner).alias("parts")))
+    read = F.transform(opened, lambda x: F.struct(x["own"].alias("own"), F.array(*[value(x["parts"][k]) for k in inner]).alias("values")))
+    filled = lambda y: (y["kind"] != "VOID") & (F.coalesce(y["text"], F.lit("x")) != "") & ~((y["kind"] == "BOOLEAN") & F.coalesce(y["text"] == "false", F.lit(False)))
+    text = lambda y: F.when(y["kind"] == "STRING", nonempty(y["text"]))
+    chosen = F.transform(read, lambda x: F.when(x["own"]["kind"] == "STRING", x["own"]).otherwise(F.get(F.filter(x["values"], filled), F.lit(0))))
+    many = F.array_distinct(F.filter(F.transform(chosen, text), lambda x: x.isNotNull()))
+    return F.when(_kind(v) == "STRING", F.array_compact(F.array(nonempty(_raw(v))))).otherwise(F.coalesce(many, F.array().cast("array<string>")))
 
 
 def joined_pages(first: Column, last: Column) -> Column:
     return F.when(first.isNotNull() & last.isNotNull() & (first != last), F.concat_ws("-", first, last)).otherwise(F.coalesce(first, last))
 
 
-def _url(record: Column) -> Column:
-    v = _v(record, "url")
+def _url(v: Column) -> Column:
     web = lambda x: F.when(x.rlike("^https?://"), x)
-    entries = F.transform(_items(v), lambda i: F.struct(
-        web(F.when(_kind(i) == "STRING", _string(i)).when(_kind(i).startswith("OBJECT"), _string(_v(i, "value")))).alias("url"),
-        F.when(_kind(i).startswith("OBJECT"), F.lower(_string(_v(i, "format")))).alias("format"),
-    ))
+    opened = F.transform(_items(v), lambda i: F.struct(_string(i).alias("own"), _parts(i, "value", "format").alias("parts")))
+    entries = F.transform(opened, lambda x: F.struct(web(F.coalesce(x["own"], _string(x["parts"]["value"]))).alias("url"), F.lower(_string(x["parts"]["format"])).alias("format")))
     good = F.filter(entries, lambda e: e["url"].isNotNull())
-    html = F.filter(good, lambda e: F.coalesce(e["format"] == "html", F.lit(False)))
-    return F.when(_kind(v) == "STRING", web(_string(v))).otherwise(F.coalesce(F.get(html, F.lit(0))["url"], F.get(good, F.lit(0))["url"]))
-
-
-def record_doi(record: Column) -> Column:
-    bare = lambda x: normalize_doi(F.regexp_replace(x, r"(?i)^doi:\s*", ""))
-    return F.coalesce(bare(_string(_v(record, "doi"))), bare(_string(_v(record, "identifier"))))
+    # An entry marked as HTML comes before any other.
+    best = F.array_sort(F.transform(good, lambda e, n: F.struct((~F.coalesce(e["format"] == "html", F.lit(False))).alias("later"), n.alias("n"), e["url"].alias("url"))))
+    return F.coalesce(web(_string(v)), F.get(best, F.lit(0))["url"])
 
 
 def select_record(df: DataFrame, payload: str = "payload", doi: str = "doi") -> DataFrame:
     """Adds record, the first of the response's records that has the DOI, and metadata_error."""
-    body = F.try_parse_json(F.col(payload))
-    records = _items(_v(body, "records"))
-    own = F.filter(records, lambda r: F.when(_kind(r).startswith("OBJECT"), record_doi(r) == F.col(doi)).otherwise(False))
-    out = df.withColumn("record", F.get(own, F.lit(0)))
+    bare = lambda x: normalize_doi(F.regexp_replace(x, r"(?i)^doi:\s*", ""))
+    out = df.withColumn("__body", F.try_parse_json(F.col(payload)))
+    out = out.withColumn("__records", F.try_variant_get("__body", "$.records", "variant"))
+    opened = F.transform(_items(F.col("__records")), lambda r: F.struct(r.alias("record"), _parts(r, "doi", "identifier").alias("ids")))
+    named = F.transform(opened, lambda x: F.struct(x["record"].alias("record"), _string(x["ids"]["doi"]).alias("a"), _string(x["ids"]["identifier"]).alias("b")))
+    own = F.filter(named, lambda x: F.coalesce(F.coalesce(bare(x["a"]), bare(x["b"])) == F.col(doi), F.lit(False)))
+    out = out.withColumn("record", F.get(own, F.lit(0))["record"])
     error = (
-        F.when(body.isNull(), "not_json").when(~_kind(body).startswith("OBJECT"), "unexpected_structure")
-        .when(~_kind(_v(body, "records")).startswith("ARRAY") | _v(body, "records").isNull(), "no_records_list").when(F.col("record").isNull(), "doi_not_in_response")
+        F.when(F.col("__body").isNull(), "not_json").when(~_kind(F.col("__body")).startswith("OBJECT"), "unexpected_structure")
+        .when(F.col("__records").isNull() | ~_kind(F.col("__records")).startswith("ARRAY"), "no_records_list").when(F.col("record").isNull(), "doi_not_in_response")
     )
-    return out.withColumn("metadata_error", error)
-
-
-def meta_fields(record: Column | str) -> Column:
-    """The thirteen fields of a metadata record."""
-    r = col(record)
-    return F.struct(
-        text_field(r, "title").alias("title"), _list_field(r, ("creators", "authors"), ("creator", "name", "author")).alias("authors"),
-        text_field(r, "journalTitle", "publicationName").alias("journal"), text_field(r, "publicationDate", "onlineDate").alias("publication_date"),
-        scalar_field(r, "volume").alias("volume"), scalar_field(r, "issue", "number").alias("issue"),
-        joined_pages(text_field(r, "startingPage", "startPage", "firstPage"), text_field(r, "endingPage", "endPage", "lastPage")).alias("pages"),
-        text_field(r, "publisherName", "publisher").alias("publisher"), text_field(r, "abstract").alias("abstract"),
-        _list_field(r, ("keyword", "keywords"), ("keyword", "value", "subject")).alias("keywords"),
-        scalar_field(r, "openaccess", "openAccess").alias("open_access"), text_field(r, "copyright", "rights").alias("copyright"), _url(r).alias("url"),
+    return out.withColumn("metadata_error", error).drop("__body", "__records")
+
+
+def meta_fields(df: DataFrame, record: str = "record", name: str = "fields") -> DataFrame:
+    """Adds the thirteen fields of a metadata record, null without one.
+
+    All keys are read in one go into a column of their own, which the optimiser doesn't copy into the fields' expressions.
+    """
+    out = df.withColumn("__parts", _parts(F.col(record), *KEYS))
+    at = lambda key: F.col("__parts")[key]
+    some = lambda *keys: F.coalesce(*[F.when(_kind(at(k)) != "VOID", at(k)) for k in keys])
+    out = out.withColumns({"__authors": some("creators", "authors"), "__keywords": some("keyword", "keywords")})
+    text = lambda *keys: F.coalesce(*[_string(at(k)) for k in keys])
+    scalar = lambda *keys: F.coalesce(*[_scalar(at(k)) for k in keys])
+    out = out.withColumns({"__first": text("startingPage", "startPage", "firstPage"), "__last": text("endingPage", "endPage", "lastPage")})
+    fields = F.struct(
+        text("title").alias("title"), _list_field(F.col("__authors"), ("creator", "name", "author")).alias("authors"),
+        text("journalTitle", "publicationName").alias("journal"), text("publicationDate", "onlineDate").alias("publication_date"),
+        scalar("volume").alias("volume"), scalar("issue", "number").alias("issue"), joined_pages(F.col("__first"), F.col("__last")).alias("pages"),
+        text("publisherName", "publisher").alias("publisher"), text("abstract").alias("abstract"),
+        _list_field(F.col("__keywords"), ("keyword", "value", "subject")).alias("keywords"),
+        # A struct's fields can't differ in case alone, so the second spelling is read by itself.
+        F.coalesce(scalar("openaccess"), _scalar(F.try_variant_get(record, "$.openAccess", "variant"))).alias("open_access"), text("copyright", "rights").alias("copyright"), _url(at("url")).alias("url"),
     )
+    return out.withColumn(name, F.when(F.col("__parts").isNotNull(), fields)).drop("__parts", "__authors", "__keywords", "__first", "__last")
 
 
 def safe_artifact(payload: Column | str, record: Column | str) -> Column:

@@ -87,7 +87,7 @@ def restricted_route(papers: DataFrame, artifacts: DataFrame, options: Options)
     meta = artifacts.where("kind = 'metadata_json'").select("doi", F.col("content").cast("string").alias("payload"))
     xml = artifacts.where("kind = 'jats_xml'").select("doi", F.col("content").alias("xml"))
     rows = metadata.select_record(own.join(meta, "doi", "left").join(xml, "doi", "left"))
-    rows = metadata.read_partial(rows).withColumn("meta", F.when(F.col("record").isNotNull(), metadata.meta_fields("record")))
+    rows = metadata.meta_fields(metadata.read_partial(rows), name="meta")
     rows = paper_paths(rows.withColumn("fields", metadata.merge_fields("partial", "meta")), options.root)
     rerun = F.concat(F.lit("process "), F.col("doi"), F.lit(f' --library-root "{options.root}"'))
     out = rows.withColumn("markdown", metadata.partial_markdown("doi", "fields", "directory", rerun))

@@ -199,8 +199,7 @@ def q11_block_scan(spark, sf_dir):
 
 @query(f"WITH {BLOCKS_SQL} SELECT doc_id, type, count(*) AS n FROM b GROUP BY doc_id, type")
 def q12_block_histogram(spark, sf_dir):
-    out = blocks.render(_content(spark, sf_dir)).select("doc_id", F.explode("block_counts").alias("type", "n"))
-    return out.withColumn("n", F.col("n").cast("long"))
+    return blocks.histogram(_content(spark, sf_dir), "doc_id")
 
 
 TITLE = "CASE p_partkey % 5 WHEN 0 THEN concat(p_size, '.', p_partkey % 9, '.1 ', p_name) WHEN 1 THEN concat(p_size, ' ', p_name) WHEN 2 THEN concat('Note A', p_size, ' ', p_name) WHEN 3 THEN concat('1.2.3.4.5.6.7 ', p_name) ELSE p_name END"
@@ -371,11 +370,14 @@ def q28_mention_anchor(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", markdown_clean.mention_end(F.expr(MENTION), F.concat(F.lit("t"), "o_orderkey")).alias("paragraph_end"))
 
 
-MATH = "concat('A ', doc_id, chr(10), CASE WHEN doc_id % 2 = 0 THEN concat('<a id=\"e', doc_id, '\"></a>', chr(10)) ELSE '' END, CASE WHEN doc_id % 5 = 0 THEN '' ELSE concat('$$', chr(10), 'x = y', chr(10), '$$ (', doc_id, ')', chr(10)) END, 'B', chr(10), '  $$', chr(10), 'z', chr(10), '  $$', chr(10), 'C')"
+# Display formulas behind and within the whole text: a line between its halves and two blocks at its end.
+MATH = """concat(coalesce(text, ''), chr(10), CASE WHEN doc_id % 2 = 0 THEN concat('<a id="e', doc_id, '"></a>', chr(10)) ELSE '' END, CASE WHEN doc_id % 5 = 0 THEN '' ELSE concat('$$', chr(10), 'x = y', chr(10), coalesce(text, ''), chr(10), '$$ (', doc_id, ')', chr(10)) END,
+    'B', chr(10), '  $$', chr(10), 'z', chr(10), '  $$', chr(10), 'C ', coalesce(text, ''))"""
+# The same blocks as RE2 reads them.
+MATH_RE2 = r"""(?m)(?:^[ \t]*<a id="e[^"]+"></a>[ \t]*\r?\n)?^[ \t]*\$\$[ \t]*\r?\n(?s:.*?)^[ \t]*\$\$(?:[ \t]+\([^)]+\))?[ \t]*(?:\r?\n)?"""
 
 
-@query("""SELECT doc_id, CAST(CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 2 END AS BIGINT) AS removed, 'A ' || doc_id || chr(10) || CASE WHEN doc_id % 5 = 0 THEN CASE WHEN doc_id % 2 = 0 THEN '<a id="e' || doc_id || '"></a>' || chr(10) ELSE '' END ELSE chr(10) || chr(10) END
-    || 'B' || chr(10) || chr(10) || chr(10) || 'C' AS markdown FROM documents""")
+@query(f"""SELECT doc_id, CAST(len(regexp_extract_all(m, '{MATH_RE2}')) AS BIGINT) AS removed, regexp_replace(m, '{MATH_RE2}', chr(10) || chr(10), 'g') AS markdown FROM (SELECT doc_id, {MATH} AS m FROM documents)""")
 def q29_display_math(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id", F.expr(MATH).alias("m"))
     return d.select("doc_id", markdown_clean.display_math_count("m").alias("removed"), markdown_clean.remove_display_math("m").alias("markdown"))
@@ -430,14 +432,14 @@ def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT c_custkey, c_custkey % 7 > 1 AS found, CASE c_custkey % 7 WHEN 0 THEN 'no_records_list' WHEN 1 THEN 'not_json' END AS metadata_error, CASE WHEN c_custkey % 7 > 1 THEN c_name END AS title FROM customer""")
 def q33_meta_select(spark, sf_dir):
-    m = _meta(spark, sf_dir)
-    return m.select("c_custkey", F.col("record").isNotNull().alias("found"), "metadata_error", metadata.meta_fields("record")["title"].alias("title"))
+    m = metadata.meta_fields(_meta(spark, sf_dir))
+    return m.select("c_custkey", F.col("record").isNotNull().alias("found"), "metadata_error", "fields.title")
 
 
 @query("""SELECT c_custkey, c_name AS title, 'A, B; C' AS authors, CAST(c_nationkey AS VARCHAR) AS volume, CASE WHEN c_custkey % 2 = 0 THEN 'true' ELSE 'false' END AS open_access, c_mktsegment AS keywords,
     CASE WHEN c_custkey % 3 = 0 THEN '1' ELSE '1-9' END AS pages, 'http://h/' || c_custkey AS url, CAST(NULL AS VARCHAR) AS journal FROM customer WHERE c_custkey % 7 > 1""")
 def q34_meta_fields(spark, sf_dir):
-    m = _meta(spark, sf_dir).where("record is not null").withColumn("f", metadata.meta_fields("record"))
+    m = metadata.meta_fields(_meta(spark, sf_dir).where("record is not null"), name="f")
     return m.select("c_custkey", "f.title", F.array_join("f.authors", "; ").alias("authors"), "f.volume", "f.open_access", F.array_join("f.keywords", "; ").alias("keywords"), "f.pages", "f.url", "f.journal")
 
 

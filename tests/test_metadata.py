@@ -16,7 +16,7 @@ def select(spark, *payloads):
 
 def test_selection_and_fields(spark):
     df = select(spark, {"query": "q", "apiKey": "secret", "records": [{"doi": "10.1/x"}, RECORD, {"doi": "10.1007/s1"}]})
-    f = df.select(md.meta_fields("record").alias("f"), md.safe_artifact("payload", "record").alias("a")).first()
+    f = md.meta_fields(df, name="f").select("f", md.safe_artifact("payload", "record").alias("a")).first()
     assert f.f.asDict() == {
         "title": "T", "authors": ["Smith, Alice", "Bob"], "journal": "J", "publication_date": "2020", "volume": "5", "issue": "2", "pages": "1", "publisher": "P", "abstract": None,
         "keywords": ["k", "v"], "open_access": "false", "copyright": "c", "url": "https://b",
