@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,13 +18,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors reach.
+    """The folder that the driver and all executors reach: the cluster's spark.checkpoint.dir.
 
-    It is the cluster's spark.checkpoint.dir. Only where that is unset (tests on one machine)
-    a temporary folder takes its place.
+    Only a local master may leave it unset; a temporary folder then takes its place.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("scholarloom.shared.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="scholarloom-")
         spark.conf.set("scholarloom.shared.dir", found)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -30,15 +33,35 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's folder in the shared one. It goes when the driver's process ends: results are read from it until then."""
+    key = "scholarloom.run.dir"
+    found = spark.conf.get(key, None)
+    if not found:
+        found = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+        spark.conf.set(key, found)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+        def remove() -> None:
+            with suppress(Exception):  # the JVM may be gone
+                _delete(jvm, conf, found)
+
+        atexit.register(remove)
+    return found
+
+
 def bound_batches(spark: SparkSession, most: str = "8m") -> None:
-    """Arrow batches of texts by bytes, not only by rows: their copies on both sides count against an executor's memory. A setting other than Spark's own stays."""
+    """Arrow batches of texts by bytes, not only by rows: their copies on both sides count against an executor's memory.
+
+    The setting is the session's and is read when a result is computed, so it can't be put back here; one other than Spark's own stays.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key, None) in ("67108864b", "64MB", "67108864"):
         spark.conf.set(key, most)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -48,11 +71,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(jvm, conf, path: str) -> None:
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of the shared store through Spark's own file system layer."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _delete(spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path)
+
+
+class Scratch:
+    """Intermediate tables of one job, removed together once what they are for is written."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, fresh_path(spark, name)
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        drop_path(self.spark, self.folder)
 
 
 def ascii_lower(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -27,8 +27,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """edges (u, v) of any orderable type, either direction. Returns (node, root), root being the smallest node of the component; roots are left out."""
+    written = (scratch or Scratch(edges.sparkSession, "components")).written
     edges = written(edges.select("u", "v").where("u <> v").distinct(), "edges")
     state = None
     while (now := _state(edges)) != state:

@@ -8,9 +8,10 @@ the probability Jaccard of the weighted sets, which for equal weights is the Jac
 links are verified by. Signatures are cut into bands.
 
 Documents with the same words are one node. In every bucket of a band the nodes are compared with
-the bucket's smallest node first. Buckets whose nodes are then still in several components are
-compared in full: in blocks, by signatures, and then by texts for the likely pairs between
-components, until the block's components are joined or all these pairs are refuted.
+the bucket's smallest node first. Where a bucket's nodes are then still in several components, all
+pairs between components are left to compare: the nodes outside the largest component, in blocks,
+with all nodes, in blocks, by signatures, and then by texts for the likely pairs, until the blocks'
+components are joined or all these pairs are refuted.
 A link counts if the Jaccard similarity of the two shingle sets, computed from the texts, is at
 least 0.8. Classes are the connected components of the links; the smallest doc_id stays.
 
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import bound_batches, tidy, written
+from .common import Scratch, bound_batches, tidy, written
 from .graph import components
 from .hashing import mix
 
@@ -40,7 +41,7 @@ BANDS, ROWS = 26, 5
 M = BANDS * ROWS
 #: Signatures whose share of equal components is lower than the threshold by more are not compared: over four standard errors.
 SLACK = 0.15
-BLOCK = 2048
+BLOCK = 512
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -190,16 +191,20 @@ def agreement(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array((a == b).mean(axis=1))
 
 
-def candidates(root: np.ndarray, head: np.ndarray, side: np.ndarray, size: np.ndarray, sig: np.ndarray, bands: np.ndarray, band: int, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
-    """(a, others): pairs of a block that may be links between components, likeliest first.
+#: What a row is in a pair of blocks: outside the largest component on the left, in it on the right, outside on both sides, outside on the right.
+LEFT, LARGEST, BOTH, RIGHT = 0, 1, 2, 3
 
-    Each pair comes up in the first band whose key, all 64 bits of it, is the same for both. Pairs with a bucket's head were compared before.
+
+def candidates(root: np.ndarray, key: np.ndarray, head: np.ndarray, side: np.ndarray, size: np.ndarray, sig: np.ndarray, bands: np.ndarray, band: int, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(a, others): pairs of two blocks that may be links between components, likeliest first.
+
+    Each pair comes up in the first band whose key, all 64 bits of it, is the same for both, and there once: with two ends
+    outside the largest component the smaller key stands on the left. Pairs with a bucket's head were compared before.
     """
-    across = np.where(side == 2, 2, 1 - side)
-    largest = np.bincount(root).argmax()  # one end of any pair between components lies outside it
-    for a in np.flatnonzero((root != largest) & ~head).tolist():
+    right = (side != LEFT) & ~head
+    for a in np.flatnonzero(((side == LEFT) | (side == BOTH)) & ~head).tolist():
         fits = np.minimum(size, size[a]) >= threshold * np.maximum(size, size[a])
-        others = np.flatnonzero((root != root[a]) & (side == across[a]) & fits & ~head)
+        others = np.flatnonzero(right & (root != root[a]) & fits & ((side == LARGEST) | (key > key[a])))
         if not len(others):
             continue
         share = (sig[others] == sig[a]).mean(axis=1)
@@ -219,11 +224,12 @@ def _in_blocks(threshold: float, verify: bool):
     def settle(key: tuple, rows: list[tuple]) -> list[tuple]:
         if len(rows) < 2:
             return []
-        root = np.unique(np.array([r[6].hex() for r in rows]), return_inverse=True)[1]
+        number = lambda at: np.unique(np.array([r[at].hex() for r in rows]), return_inverse=True)[1]
+        root = number(6)
         side, size = np.array([r[4] for r in rows]), np.array([r[8] for r in rows])
         sig = np.frombuffer(b"".join(r[9] for r in rows), "u1").reshape(len(rows), -1)
         head = np.array([r[7] for r in rows])
-        found = candidates(root, head, side, size, sig, np.array([r[10] for r in rows]), rows[0][1], threshold)
+        found = candidates(root, number(5), head, side, size, sig, np.array([r[10] for r in rows]), rows[0][1], threshold)
         if not verify:
             wanted = set()
             for a, others in found:
@@ -292,7 +298,8 @@ class NearDuplicates:
         self.signed = written(self.rows.mapInArrow(tidy(_sign, forget), f"doc {kind}, key binary, sig binary, bands array<bigint>, size int"), "signatures")
         # One node for each text; of the copies one row's text is read later, the smallest doc_id's.
         nodes = self.signed.where("size > 0").groupBy("key")
-        self.nodes = written(nodes.agg(F.min("doc").alias("doc"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.first("size").alias("size")), "nodes")
+        self.scratch = Scratch(self.spark, "near")
+        self.nodes = self.scratch.written(nodes.agg(F.min("doc").alias("doc"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.first("size").alias("size")), "nodes")
         self.sigs = self.nodes.select("key", "sig", "size")
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
@@ -311,39 +318,43 @@ class NearDuplicates:
         """(node, root) of nodes that aren't their component's root."""
         member = self.nodes.select("key", F.posexplode("bands").alias("b", "band"))
         # Counts combine before the shuffle; a bucket of one node ends here.
-        heads = written(member.groupBy("band").agg(F.min("key").alias("head"), F.count("*").alias("n")).where("n > 1"), "buckets")
-        members = written(member.join(heads, "band").select("band", "b", "key", "head", "n"), "members")
+        heads = self.scratch.written(member.groupBy("band").agg(F.min("key").alias("head"), F.count("*").alias("n")).where("n > 1"), "buckets")
+        members = self.scratch.written(member.join(heads, "band").select("band", "b", "key", "head", "n"), "members")
         # The texts of all nodes that share a bucket, fetched once. (key, doc) spreads the copies of a text; one of them is wanted.
         wanted = members.select("key").distinct().join(self.nodes.select("key", "doc"), "key")
         same = (self.rows["key"] == wanted["key"]) & self.rows["doc"].eqNullSafe(wanted["doc"])
-        self.texts = written(self.rows.join(wanted, same).select(wanted["key"], "norm").dropDuplicates(["key"]), "texts")
+        self.texts = self.scratch.written(self.rows.join(wanted, same).select(wanted["key"], "norm").dropDuplicates(["key"]), "texts")
         star = members.where("key <> head").select(F.col("head").alias("u"), F.col("key").alias("v")).distinct()
-        links = written(self.verified(written(self.estimated(star), "pairs")), "links")
-        root = components(links)
-        more = written(self.between(members, root), "links")
+        links = self.scratch.written(self.verified(self.scratch.written(self.estimated(star), "pairs")), "links")
+        root = components(links, self.scratch)
+        more = self.scratch.written(self.between(members, root), "links")
         if more.isEmpty():
             return root
-        return components(root.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+        return components(root.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more), self.scratch)
 
     def between(self, members: DataFrame, root: DataFrame) -> DataFrame:
         """Links (u, v) between components within the buckets, all pairs but those with a head being looked at."""
         now = members.where("n > 2").join(root.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        now = written(now, "rooted")
-        open_ = now.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select("band")
-        # A large bucket is dealt out in blocks; each pair of blocks is a group of its own.
-        rows = now.join(open_, "band").withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
-        rows = rows.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        spread = rows.select(
-            "band", "b", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "key", "root", (F.col("key") == F.col("head")).alias("first"),
-        )
+        now = self.scratch.written(now, "rooted")
+        shares = now.groupBy("band", "root").agg(F.count("*").alias("m"))
+        open_ = shares.groupBy("band").agg(F.max(F.struct("m", "root")).alias("most"), F.sum("m").alias("all")).where("all > most.m")
+        deal = lambda c: F.greatest(F.lit(1), F.ceil(c / F.lit(BLOCK))).cast("int")
+        open_ = open_.select("band", F.col("most.root").alias("largest"), deal(F.col("all") - F.col("most.m")).alias("is"), deal(F.col("all")).alias("js"))
+        rows = now.join(open_, "band").withColumns({"outside": F.col("root") != F.col("largest"), "i": F.pmod(F.xxhash64("key", F.lit(1)), F.col("is")).cast("int"), "j": F.pmod(F.xxhash64("key"), F.col("js")).cast("int")})
+        # Each block of the nodes outside meets each block of all nodes.
+        places = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        right = F.transform(places("is"), lambda i: F.struct(i.alias("i"), F.col("j").alias("j")))
+        left = F.transform(places("js"), lambda j: F.struct(F.col("i").alias("i"), j.alias("j")))
+        at = F.explode(F.when(F.col("outside"), F.array_distinct(F.concat(left, right))).otherwise(right))
+        on_left, on_right = F.col("at.i") == F.col("i"), F.col("at.j") == F.col("j")
+        side = F.when(~F.col("outside"), LARGEST).when(on_left & on_right, BOTH).when(on_left, LEFT).otherwise(RIGHT)
+        spread = rows.withColumn("at", at).select("band", "b", F.col("at.i").alias("i"), F.col("at.j").alias("j"), side.alias("side"), "key", "root", (F.col("key") == F.col("head")).alias("first"))
         sigs = self.nodes.select("key", "size", "sig", "bands")
-        full = written(spread.join(sigs, "key").select("band", "b", "i", "j", "side", "key", "root", "first", "size", "sig", "bands"), "blocks")
+        full = self.scratch.written(spread.join(sigs, "key").select("band", "b", "i", "j", "side", "key", "root", "first", "size", "sig", "bands"), "blocks")
         schema = "band long, i int, j int, u binary, v binary"
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         dealt = lambda df: df.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-        wanted = written(dealt(full).mapInArrow(tidy(_in_blocks(self.threshold, False)), schema).select("band", "i", "j", F.col("u").alias("key")), "wanted")
+        wanted = self.scratch.written(dealt(full).mapInArrow(tidy(_in_blocks(self.threshold, False)), schema).select("band", "i", "j", F.col("u").alias("key")), "wanted")
         some = full.join(wanted, ["band", "i", "j", "key"], "left_semi").join(self.texts, "key")
         some = some.select("band", "b", "i", "j", "side", "key", "root", "first", "size", "sig", "bands", "norm")
         return dealt(some).mapInArrow(tidy(_in_blocks(self.threshold, True)), schema).select("u", "v")
@@ -359,6 +370,7 @@ def near_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     per_key = per_key.join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
     per_class = per_key.groupBy("root").agg(F.sum("n").alias("class_size"), F.min("first").alias("class_id"))
     of = written(per_key.join(per_class, "root").select("key", "class_id", "class_size"), "classes")
+    job.scratch.close()
     out = rows.join(of, "key", "left")
     lone = F.col("class_size").isNull()
     return out.select(
