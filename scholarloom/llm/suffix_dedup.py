@@ -4,16 +4,20 @@ Every byte covered by a string of `length` bytes that also starts elsewhere is r
 byte positions would shuffle many times the input a round, so suffixes are sampled: of the
 length - GRAM + 1 strings of GRAM bytes that start in a window of `length` bytes, the one with the
 smallest hash is the window's anchor. Equal windows have equal anchors at equal places, so only
-windows whose anchors agree can be equal. Spark ranks (position, rank) pairs of the anchors:
-round 0 by the first GRAM bytes; each further round pairs a rank with the rank at twice the offset.
-Ranks that are unique leave, and what length they reached bounds which of their windows can still
-repeat. Past the threshold, an anchor's windows as a whole (one string) are ranked; a repeated one
-is settled. What is left are anchors near the ends of repeats: their few hundred bytes of context
-meet by rank and each window is compared by a 128-bit fingerprint.
+windows whose anchors agree can be equal. Anchors start with the rank of their first GRAM bytes, and
+unique ranks leave. Each round pairs a rank with that of the string which follows at the present
+offset, ranks the pairs anew (equal pairs, equal rank) and drops what has become unique; offsets
+double until twice the offset is past the threshold. A rank is a 64-bit fingerprint instead of an
+ordinal number, so a round needs a count of each pair and no total order; the rank at the offset, where
+mostly no anchor stands, is taken from the text, for all rounds in one pass. What length a unique one
+had reached bounds which of its windows can still repeat. Past the threshold, an anchor's windows as a
+whole (one string) are ranked by a 128-bit digest; a repeated one is settled. What is left are anchors
+near the ends of repeats: their few hundred bytes of context meet by rank and each window is compared
+by a 128-bit fingerprint.
 
 Documents are first written as shards to the shared folder; later passes stream a shard beside the
 sorted rows that belong to it, so texts are never shuffled. Copies of a whole text are represented
-by one of them. Very large groups of contexts are compared as single (window, fingerprint) rows.
+by one of them. Groups of more than GROUP contexts are compared as single (window, fingerprint) rows.
 
 Defined cases: a null text is empty; texts shorter than `length` bytes lose nothing; a text that is
 a copy of another of at least `length` bytes loses everything, repeated rows too; a null doc_id is
@@ -33,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, drop_path, fresh_path, tidy, written
+from .common import Scratch, bound_batches, drop_path, fresh_path, tidy, written
 from .hashing import BASE, Prints, mix
 from .warc import open_store
 
@@ -187,8 +191,8 @@ def _anchor_pass(folder: str, text_at: int, length: int, k: int):
     return run
 
 
-def _rank_pass(folder: str, text_at: int, length: int, k: int):
-    """Sorted (shard, ord, rank, span) to the ranks at the next offsets and of all the anchor's windows."""
+def _rank_pass(folder: str, text_at: int, length: int, offsets_at: list[int]):
+    """Sorted (shard, ord, rank, span) to the ranks at each offset, of as many bytes, and a digest of all the anchor's windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, n, some, own in _beside(folder, batches):
@@ -202,7 +206,7 @@ def _rank_pass(folder: str, text_at: int, length: int, k: int):
                     if not parts or parts[-1][0] != i or a - parts[-1][1] > 1 << 20:
                         parts.append((i, a - (span & 255), []))
                     parts[-1][2].append((rank, span))
-            reach = max(length, 4 * k)
+            reach = max(length, 2 * offsets_at[-1])
             texts = [raw[i - n][lo : (rows[-1][1] >> 16) + reach] for i, lo, rows in parts]
             for first, held, data, offsets in _laid(texts):
                 now = parts[first : first + len(held)]
@@ -214,13 +218,14 @@ def _rank_pass(folder: str, text_at: int, length: int, k: int):
                 a, near, far = base + (span >> 16), span >> 8 & 255, span & 255
                 p = Prints(data)
                 nexts = []
-                for lo, hi in ((k, 2 * k), (2 * k, 4 * k)):
-                    fits = a + hi <= end
-                    value = p.of(np.where(fits, a + lo, 0), np.where(fits, a + hi, 0)).view("i8")
+                for h in offsets_at:
+                    fits = a + 2 * h <= end
+                    value = p.of(np.where(fits, a + h, 0), np.where(fits, a + 2 * h, 0)).view("i8")
                     nexts.append(pa.array(value, mask=~fits))
-                whole = p.of(a - far, a - near + length).view("i8")
+                laid = data.tobytes()
+                whole = [hashlib.blake2b(laid[x:y], digest_size=16).digest() for x, y in zip((a - far).tolist(), (a - near + length).tolist(), strict=True)]
                 loc = np.int64(shard) << 32 | np.repeat(np.array([i for i, _, _ in now], "i8"), count)
-                yield pa.RecordBatch.from_arrays([pa.array(rank), pa.array(loc), pa.array(span), *nexts, pa.array(whole)], ["rank", "loc", "span", "next1", "next2", "whole"])
+                yield pa.RecordBatch.from_arrays([pa.array(rank), pa.array(loc), pa.array(span), *nexts, pa.array(whole, pa.binary())], ["rank", "loc", "span", *(f"next{h}" for h in offsets_at), "whole"])
 
     return run
 
@@ -324,7 +329,10 @@ class Repeats:
     """The passes over one table; `starts` are the repeated strings found, `gone` the copies of whole texts."""
 
     def __init__(self, docs: DataFrame, text_col: str, length: int = LENGTH, gram: int = GRAM):
+        if not gram <= length <= gram + 255:
+            raise ValueError(f"length must be {gram} to {gram + 255}: the places of an anchor in its windows take one byte")
         self.spark, self.docs, self.length, self.k = docs.sparkSession, docs, length, gram
+        self.scratch = Scratch(self.spark, "repeats")
         bound_batches(self.spark)
         self.text_at = docs.columns.index(text_col)
         self.folder = fresh_path(self.spark, "shards")
@@ -352,13 +360,13 @@ class Repeats:
         """Places of copies of whole texts, and of those that represent none. Texts under the length take no part."""
         long = self.rows.where(F.col("bytes") >= self.length)
         firsts = long.groupBy("digest").agg(F.min(F.struct("shard", "ord")).alias("best"), F.count("*").alias("n")).where("n > 1")
-        firsts = written(firsts.select("digest", "best"), "copies")
-        gone = written(long.join(firsts, "digest").select("shard", "ord", ((F.col("shard") == F.col("best.shard")) & (F.col("ord") == F.col("best.ord"))).alias("first")), "gone")
+        firsts = self.scratch.written(firsts.select("digest", "best"), "copies")
+        gone = self.scratch.written(long.join(firsts, "digest").select("shard", "ord", ((F.col("shard") == F.col("best.shard")) & (F.col("ord") == F.col("best.ord"))).alias("first")), "gone")
         return gone, gone.where(~F.col("first")).select("shard", "ord")
 
     def find(self) -> DataFrame:
         """(loc, lo, hi): every string of the length that starts in lo..hi of a document is repeated."""
-        length, k = self.length, self.k
+        length, k, written = self.length, self.k, self.scratch.written
         self.gone, skip = self.copies()
         # Round 0.
         path = fresh_path(self.spark, "anchors")
@@ -368,24 +376,27 @@ class Repeats:
         alive = written(found.join(again, "rank").select("rank", "loc", "span"), "alive")
         drop_path(self.spark, path)
         # The ranks at the next offsets, for those alone.
+        offsets = [k]
+        while 4 * offsets[-1] <= length:
+            offsets.append(2 * offsets[-1])
         ranked = self.beside(
-            self._placed(alive, "rank", "span"), _rank_pass(self.folder, self.text_at, length, k),
-            "rank long, loc long, span long, next1 long, next2 long, whole long",
+            self._placed(alive, "rank", "span"), _rank_pass(self.folder, self.text_at, length, offsets),
+            f"rank long, loc long, span long, {', '.join(f'next{h} long' for h in offsets)}, whole binary",
         )
-        ranked = written(ranked, "ranked")
-        # Rounds 1 and 2: pairs of ranks at doubled offsets; a unique one has reached less than that length.
-        one = F.when(F.col("next1").isNotNull(), F.xxhash64("rank", "next1"))
-        two = F.when(F.col("next2").isNotNull(), F.xxhash64("rank", "next1", "next2"))
-        ranked = ranked.withColumn("r1", one).withColumn("r2", two)
-        twice = lambda *c: ranked.where(F.col(c[0]).isNotNull()).groupBy(*c).agg(F.count("*").alias("n")).where("n > 1").drop("n")
-        at1 = written(twice("r1").withColumn("far1", F.lit(True)), "round")
-        at2 = written(twice("r2").withColumn("far2", F.lit(True)), "round")
-        rows = ranked.join(at1, "r1", "left").join(at2, "r2", "left")
+        rows = written(ranked.withColumns({"now": F.col("rank"), "reach": F.lit(2 * k - 1)}), "ranked")
+        for h in offsets:
+            # Pairs (rank, rank at the offset) of those still alive; a unique one, or one whose text ends, has reached less than twice the offset.
+            going = F.col("now").isNotNull() & F.col(f"next{h}").isNotNull()
+            rows = rows.withColumn("now", F.when(going, F.xxhash64("now", f"next{h}")))
+            again = rows.where("now is not null").groupBy("now").agg(F.count("*").alias("n")).where("n > 1")
+            again = written(again.select("now", F.lit(True).alias("goes_on")), "round")
+            rows = rows.join(again, "now", "left").withColumn("reach", F.when(F.col("goes_on"), length if h == offsets[-1] else 4 * h - 1).otherwise(F.col("reach")))
+            rows = rows.withColumn("now", F.when(F.col("goes_on"), F.col("now"))).drop("goes_on", f"next{h}")
+            rows = written(rows, "ranked") if h != offsets[-1] else rows
         # A window at distance d needs length - d bytes from the anchor on.
-        reach = F.when(F.col("far2"), length).when(F.col("far1"), 4 * k - 1).otherwise(2 * k - 1)
         near = F.shiftright("span", 8).bitwiseAND(255)
         far = F.col("span").bitwiseAND(255)
-        rows = rows.select("rank", "loc", "span", "whole", F.greatest(near, F.lit(length) - reach).alias("low"), far.alias("far"), near.alias("near"))
+        rows = rows.select("rank", "loc", "span", "whole", F.greatest(near, F.lit(length) - F.col("reach")).alias("low"), far.alias("far"), near.alias("near"))
         # Past the threshold: all windows of an anchor as one string.
         shape = F.col("span").bitwiseAND(65535)
         rows = written(rows.withColumn("shape", shape), "reached")
@@ -416,7 +427,9 @@ class Repeats:
         """run over all shards beside the removed runs (ord, lo, hi); hi -1 is a whole text."""
         starts = self._placed(self.find(), F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"))
         gone = self.gone.select("shard", "ord", F.lit(0).cast("long").alias("lo"), F.lit(-1).cast("long").alias("hi"))
-        return self.beside(written(starts.unionByName(gone), "removed"), run, schema)
+        removed = written(starts.unionByName(gone), "removed")
+        self.scratch.close()
+        return self.beside(removed, run, schema)
 
 
 def removed_runs(rows: list[tuple[int, int]], n: int, length: int) -> list[tuple[int, int]]:

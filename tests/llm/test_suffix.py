@@ -90,3 +90,14 @@ def test_fingerprints_and_minimum():
     assert len(set(same.values())) == len(same)
     v = r.integers(0, 2**63, 500).astype(np.uint64)
     assert [int(np.argmin(v[i : i + 9])) + i for i in range(492)] == sd.leftmost_minimum(v, 9).tolist()
+
+
+@pytest.mark.parametrize("length", [47, 304])
+def test_lengths_that_do_not_fit(spark, length):
+    with pytest.raises(ValueError, match="length must be 48 to 303"):
+        sd.repeat_report(docs(spark, [(1, "x")]), length=length)
+
+
+def test_several_rounds(spark):
+    rows = [*corpus(7), *SPECIAL]
+    assert run(spark, rows, length=300) == brute(rows, 300)
