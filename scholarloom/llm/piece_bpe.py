@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from .common import bound_batches, tidy
 
 SPACE = "▁"
-_CACHE_WORDS = 500_000
+#: Words that a worker keeps, and their characters with those of their ids and decoded forms.
+_CACHE_WORDS, _CACHE_CHARS = 500_000, 32_000_000
 _NONE = np.int32(2**31 - 1)
 _loaded: dict[str, "PieceModel"] = {}
 
@@ -82,6 +83,7 @@ class PieceModel:
         self.cut = re.compile(f"{SPACE}+[^{SPACE}\\n]*|[^{SPACE}\\n]+|\\n")
         #: A word's ids joined by commas, their number, and what they decode to.
         self.words: dict[str, tuple[str, int, str]] = {}
+        self.held = 0
 
     def _slot(self, key):
         return (key * 0x9E3779B1 >> 15) % self.slots
@@ -186,14 +188,17 @@ class PieceModel:
         return self.cut.findall((SPACE + text).replace(" ", SPACE)) if text else []
 
     def learn(self, split: list[list[str]]) -> None:
-        if len(self.words) > _CACHE_WORDS:
+        if len(self.words) > _CACHE_WORDS or self.held > _CACHE_CHARS:
             self.words.clear()
+            self.held = 0
         fresh = list(set().union(*split).difference(self.words))
         digits, text, raw = self.digits, self.text, self.byte_of
         for w, ids in zip(fresh, self.encode_words(fresh) if fresh else [], strict=True):
             plain = raw.keys().isdisjoint(ids) and self.special.isdisjoint(ids)
             back = "".join([text[i] for i in ids]) if plain else self.decode(ids, False)
-            self.words[w] = ",".join([digits[i] for i in ids]), len(ids), back
+            joined = ",".join([digits[i] for i in ids])
+            self.words[w] = joined, len(ids), back
+            self.held += len(w) + len(joined) + len(back)
 
     def encode(self, text: str) -> list[int]:
         ws = self.words_of(text)
@@ -253,6 +258,7 @@ def forget() -> None:
     """Drop what this worker has kept of its texts' words."""
     for m in _loaded.values():
         m.words.clear()
+        m.held = 0
 
 
 def _report(model_path: str):

@@ -10,12 +10,15 @@ Insults are learned from labels: whole words and word stems whose share among to
 higher beyond chance (log-likelihood ratio), besides a short seed list. How much each mode counts
 is a logistic fit with a Gaussian prior at the grammar's hand-set weights. Both use a sample of at
 most `max_train` labelled rows, those with the smallest hash of doc_id; rows with
-crc32(doc_id as text) mod 3 = 1 are never learned from. Only the text enters a score.
+crc32(doc_id as text) mod 3 = 1 are never learned from. Only the text enters a score. Bounds of the fit
+besides `max_train`: of the words and stems with the wanted odds the `max_candidates` in the most toxic
+rows are tested, and the best `max_lexicon` of them become entries.
 
 Defined cases: null or empty texts get the score of a text without matches; labels that are null
 or of unknown documents are ignored, of several labels for a document the largest counts; without
-usable labels the seed list and the prior stand; a null doc_id is not held out; repeated rows are
-scored each; an empty table gives an empty result; extra columns are ignored.
+usable labels the seed list and the prior stand; of several rows with a labelled doc_id the one whose
+text has the smallest hash is learned from; labelled rows with the same hash of doc_id are taken by doc_id;
+a null doc_id is not held out; repeated rows are scored each; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, tidy
+from .common import Scratch, bound_batches, tidy
 
 MAX_TRAIN = 20_000
-MAX_LEXICON = 4_000
+MAX_CANDIDATES, MAX_LEXICON = 200_000, 4_000
 #: A feature needs this log-likelihood ratio (two-sided chance about 3e-6), documents and log odds.
 LEAST_G2, LEAST_DOCS, LEAST_ODDS = 22.0, 3, 2.0
 STEMS = range(3, 9)
@@ -197,7 +200,7 @@ def log_ratio(a: float, b: float, m: float, n: float) -> float:
     return 2 * (part(a, m, p1) + part(b, n, p2) - part(a, m, p) - part(b, n, p))
 
 
-def choose(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, tuple[bool, int, float]]:
+def choose(counts: list[tuple[str, int, int]], toxic: int, clean: int, most: int = MAX_LEXICON) -> dict[str, tuple[bool, int, float]]:
     """The learned entries: best first, none that is a stem or an extension of a better one."""
     found = []
     for f, a, b in counts:
@@ -217,7 +220,7 @@ def choose(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[s
         if not whole:
             stems.add(text)
         above.update(text[:k] for k in STEMS if k < len(text))
-        if len(out) >= MAX_LEXICON:
+        if len(out) >= most:
             break
     return out
 
@@ -240,7 +243,7 @@ def remainder(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % 3
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train: int = MAX_TRAIN) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_train: int = MAX_TRAIN, max_candidates: int = MAX_CANDIDATES, max_lexicon: int = MAX_LEXICON) -> Model:
     spark = docs.sparkSession
     bound_batches(spark)
     usable = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)").where(remainder(F.col("id")) != 1)
@@ -249,15 +252,18 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         return Model(seed_entries(), PRIOR.copy())
     # At most max_train rows.
     sample = F.broadcast(spark.createDataFrame([tuple(r) for r in chosen], f"id {dict(labels.dtypes)[id_col]}, y int"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(sample, "id").select("text", "y")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(sample, "id")
+    # One row an id; written, so that the documents are read once.
+    scratch = Scratch(spark, "training")
+    rows = scratch.written(rows.groupBy("id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("y").alias("y")).select("text", "y"), "rows")
     counts = rows.mapInArrow(tidy(_count), "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     per = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     entries = seed_entries()
     if per.get(0) and per.get(1):
         # By the rates that choose() tests, whatever the share of toxic rows; it decides again, so rounding is given room.
         odds = F.log((F.col("toxic") + 0.5) / (per[1] + 1)) - F.log((F.col("clean") + 0.5) / (per[0] + 1))
-        likely = counts.where((F.col("toxic") >= LEAST_DOCS) & (odds >= LEAST_ODDS - 1e-9)).orderBy(F.desc("toxic"), "feature").limit(50 * MAX_LEXICON).collect()
-        entries |= choose([tuple(r) for r in likely], per[1], per[0])
+        likely = counts.where((F.col("toxic") >= LEAST_DOCS) & (odds >= LEAST_ODDS - 1e-9)).orderBy(F.desc("toxic"), "feature").limit(max_candidates).collect()
+        entries |= choose([tuple(r) for r in likely], per[1], per[0], max_lexicon)
     model = Model(entries, PRIOR.copy())
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,8 +272,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             x = [features(lexicon, t).tolist() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
 
-    # Rows of seven numbers; repeated doc_ids may give more than max_train, which the limit bounds.
-    data = rows.mapInArrow(tidy(featurise), "x array<double>, y int").limit(2 * max_train).collect()
+    # At most max_train rows of seven numbers, in an order that doesn't depend on the tasks.
+    data = rows.mapInArrow(tidy(featurise), "x array<double>, y int").sort("x", "y").collect()
+    scratch.close()
     if per.get(0) and per.get(1):
         model.weights = fit_weights(np.array([r["x"] for r in data]), np.array([r["y"] for r in data], float))
     return model

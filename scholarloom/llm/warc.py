@@ -11,8 +11,9 @@ with; the rows of a finished task say which files count. A task holds one record
 
 Defined cases: a null payload is empty; equal payloads of at least `min_bytes` bytes have one
 response, the smallest page_id (a null one is largest; of equal ids the first written); a null
-page_id or url is left out of the record; control characters of a url are percent-encoded; repeated
-rows are records of their own; an empty table gives an empty result; extra columns are ignored.
+page_id or url is left out of the record; control characters of a url are percent-encoded, and so is
+everything but plain characters of a page_id, which is decoded when it is read; repeated rows are
+records of their own; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,10 @@ from pyspark.sql import functions as F
 from .common import bound_batches, drop_path, fresh_path, written
 
 CHUNK = 1 << 20
+#: Compressed bytes that are inflated at a time: a thousandfold expansion still fits.
+SLICE = 1 << 14
+#: Archives are dealt out over at most so many tasks, of several archives then.
+MOST_TASKS = 100_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 
@@ -46,18 +52,27 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def coded(page_id: object) -> str:
+    """A page_id as it stands in a header; unquote is the way back."""
+    return quote(str(page_id), safe="", errors="surrogatepass")
+
+
+def decoded(value: str | None) -> str | None:
+    return None if value is None else unquote(value, errors="surrogatepass")
+
+
 def record(kind: str, page_id: object, url: str | None, digest: str, payload: bytes | None, size: int, refers_to: object = None) -> bytes:
     """One WARC/1.1 record. A revisit has the HTTP head alone, which keeps the full payload's length."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest}')}>", f"WARC-Date: {DATE}"]
     if page_id is not None:
-        head.append(f"WARC-Page-ID: {page_id}")
+        head.append(f"WARC-Page-ID: {coded(page_id)}")
     if url is not None:
         head.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
     if kind == "revisit":
         head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{refers_to} {digest}')}>"]
         if refers_to is not None:
-            head.append(f"WARC-Refers-To-Page-ID: {refers_to}")
+            head.append(f"WARC-Refers-To-Page-ID: {coded(refers_to)}")
     body = http + (payload or b"")
     head += [f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(body)}"]
     return "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + body + b"\r\n\r\n"
@@ -79,7 +94,7 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes, int]:
 def records(chunks: Iterator[bytes]) -> Iterator[bytes]:
     """Whole records of a gzip file read once: one stream or many members."""
     inflate, buffer, at, need = zlib.decompressobj(31), bytearray(), 0, -1
-    for chunk in chunks:
+    for chunk in (c[lo : lo + SLICE] for c in chunks for lo in range(0, len(c), SLICE)):
         while chunk:
             buffer += inflate.decompress(chunk)
             chunk = b""
@@ -171,7 +186,7 @@ def _normaliser(folder: str, to: str, level: int):
                 fields, _, size = parse(raw)
                 kind = fields["warc-type"]
                 if mark is not None and mark[0] == n:
-                    raw = record("revisit", fields.get("warc-page-id"), fields.get("warc-target-uri"), fields["warc-payload-digest"].removeprefix("sha1:"), None, size, mark[1])
+                    raw = record("revisit", decoded(fields.get("warc-page-id")), fields.get("warc-target-uri"), fields["warc-payload-digest"].removeprefix("sha1:"), None, size, mark[1])
                     kind, mark = "revisit", marks()
                 squeeze = zlib.compressobj(level, wbits=31)
                 member = squeeze.compress(raw) + squeeze.flush()
@@ -207,7 +222,7 @@ def normalise(index: DataFrame, marked: DataFrame, folder: str, to: str, *, leve
     store, base = open_store(to)
     store.create_dir(base, recursive=True)
     names = index.select("archive").distinct()
-    n = max(1, min(names.count(), 100_000))
+    n = max(1, min(names.count(), MOST_TASKS))
     kind = dict(marked.dtypes)["refers_to"]
     todo = names.select("archive", F.lit(-1).cast("long").alias("rec"), F.lit(None).cast(kind).alias("refers_to")).unionByName(marked)
     dealt = todo.repartition(n, "archive").sortWithinPartitions("archive", "rec")
@@ -217,7 +232,7 @@ def normalise(index: DataFrame, marked: DataFrame, folder: str, to: str, *, leve
 def _reader(folder: str, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_store(folder)
-        cast = (lambda x: None if x is None else int(x)) if pa.types.is_integer(id_type) else (lambda x: x)
+        cast = (lambda x: None if x is None else int(x)) if pa.types.is_integer(id_type) else decoded
         for name, _ in _each(batches):
             rows = []
             with store.open_input_file(f"{base}/{name}.warc.gz") as archive, store.open_input_stream(f"{base}/{name}.index.jsonl") as sidecar:
@@ -252,7 +267,7 @@ def read_archives(archives: DataFrame, folder: str, id_kind: str = "bigint") ->
     """One row per record of normalised archives, fetched member by member through the sidecar index."""
     types = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}
     kind = id_kind if id_kind in types else "string"
-    n = max(1, min(archives.count(), 100_000))
+    n = max(1, min(archives.count(), MOST_TASKS))
     return archives.repartition(n, "archive").mapInArrow(
         _reader(folder, types.get(kind, pa.string())),
         f"page_id {kind}, payload_bytes long, payload_digest string, record_type string, refers_to {kind}, archive string, offset long, length long",

@@ -43,3 +43,12 @@ def test_report(spark):
         want.append((i, len(ids), sha(",".join(map(str, ids))), sha(LIBRARY.decode(ids))))
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     assert piece_bpe.encode_report(docs(spark, []), PATH).collect() == []
+
+
+def test_kept_words_are_bounded_by_their_characters(monkeypatch):
+    monkeypatch.setattr(piece_bpe, "_CACHE_CHARS", 20_000)
+    model = piece_bpe.PieceModel(PATH)
+    for seed in range(12):
+        text = words(seed, 50) + " " + "".join(chr(97 + (seed * i * i) % 26) for i in range(3000))
+        assert model.encode(text) == LIBRARY.encode(text)
+        assert model.held < 20_000 + 40_000

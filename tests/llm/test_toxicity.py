@@ -1,9 +1,12 @@
 import random
 import zlib
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from scholarloom.llm import toxicity as tox
+from scholarloom.llm.queries import QUERIES
 
 from .helpers import docs, words
 
@@ -81,3 +84,21 @@ def test_few_toxic_labels(spark):
     rows = [(i, words(i, 40) + (" grumblix" if (k % 2 if k < 30 else k % 30 == 0) else "")) for k, i in enumerate(ids)]
     model = tox.train(docs(spark, rows), labelled(spark, [(i, int(k < 30)) for k, i in enumerate(ids)]))
     assert any("grumblix".startswith(e) for e in set(model.entries) - set(tox.seed_entries()))
+
+
+def test_repeated_ids_and_one_row_an_id(spark):
+    rows, labels = corpus(200)
+    one = tox.train(docs(spark, rows), labelled(spark, labels))
+    two = tox.train(docs(spark, rows[::-1] * 3).repartition(7), labelled(spark, labels * 2))
+    assert one.entries == two.entries and (one.weights == two.weights).all()
+
+
+def test_held_out_documents_of_the_tables(spark):
+    folder = Path("/root/testdata/sf0.1")
+    if not folder.exists():
+        pytest.skip("no tables")
+    got = {r.doc_id: r for r in QUERIES["op4_toxicity"](spark, str(folder)).collect()}
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(str(folder / "labels.parquet")).collect()}
+    held = [(truth[i], r.predicted) for i, r in got.items() if r.held_out and truth.get(i) is not None]
+    toxic, clean = [p for t, p in held if t], [p for t, p in held if not t]
+    assert len(toxic) >= 100 and sum(toxic) / len(toxic) >= 0.85 and sum(clean) / len(clean) <= 0.01

@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import io
 import json
+import tracemalloc
 
 import pytest
 
@@ -71,3 +72,20 @@ def test_stream_parser(chunk):
     with pytest.raises(ValueError):
         list(warc.records(iter([gzip.compress(rows[0] + rows[1][:-9])])))
     assert list(warc.records(iter(io.BytesIO(b"")))) == []
+
+
+def test_string_ids_of_any_characters(spark):
+    ids = ["a\r\nWARC-Type: revisit", " padded ", "100%25", "é\xa0", "", None, "x"]
+    rows = [(i, "u", f"p{n // 2}") for n, i in enumerate(ids)]
+    got = warc.archive_pages(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert sorted((r.page_id or "none") for r in got) == sorted((i or "none") for i in ids)
+    by = {r.page_id: r for r in got}
+    assert by["a\r\nWARC-Type: revisit"].record_type == "revisit" and by["a\r\nWARC-Type: revisit"].refers_to == " padded "
+
+
+def test_expanding_streams_are_inflated_in_slices():
+    raw = warc.record("response", 1, "u", "D", bytes(50_000_000), 50_000_000)
+    tracemalloc.start()
+    assert [len(r) for r in warc.records(iter([gzip.compress(raw * 4)]))] == [len(raw)] * 4
+    assert tracemalloc.get_traced_memory()[1] < 6 * len(raw)
+    tracemalloc.stop()
