@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import io
 import re
+import subprocess
+import tempfile
 import zipfile
 import zlib
+from functools import reduce
+from pathlib import Path
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -21,23 +26,41 @@ KINDS = {"paper.xml": "publisher_xml", "paper.jats.xml": "jats_xml", "paper.html
 
 def read_doi_list(spark: SparkSession, path: str) -> DataFrame:
     """(pos, doi_raw) of a UTF-8 text file, a byte order mark allowed."""
-    whole = spark.read.text(path, wholetext=True)
-    lines = whole.select(F.posexplode(F.split("value", r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")).alias("pos", "line"))
+    try:
+        whole = spark.read.text(path, wholetext=True)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(f"the work list does not exist: {path}") from None
+        raise
+    lines = whole.select(F.posexplode(F.split("value", r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")).alias("pos", "line"))
     return doi_list(lines)
 
 
+def some_dois(dois: DataFrame, path: str) -> int:
+    """How many entries a work list has; none is an error."""
+    n = dois.count()
+    if not n:
+        raise ValueError(f"no DOI in the work list: {path}")
+    return n
+
+
 def read_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """(paper_id, name, kind, content, bytes): all files below root/<paper_id>/; any *.pdf is a local_pdf."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    name = F.element_at(F.split("path", "/"), -1)
-    kinds = F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv])
-    return files.select(
-        F.element_at(F.split("path", "/"), -2).alias("paper_id"), name.alias("name"),
-        F.when(F.lower(name).endswith(".pdf"), "local_pdf").otherwise(F.try_element_at(kinds, name)).alias("kind"), "content", F.col("length").alias("bytes"),
-    )
+    """(paper_id, name, kind, content, bytes) of all files of known names below root/<paper_id>/; any *.pdf is a local_pdf.
+
+    Each kind is a scan of its own that lists its names only, so a filter on kind reads no other files.
+    """
+
+    def files(pattern: str) -> DataFrame:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+
+    parts = [files(name).withColumn("kind", F.lit(kind)) for name, kind in KINDS.items()]
+    parts.append(files("*.[pP][dD][fF]").withColumn("kind", F.lit("local_pdf")))
+    place = F.split("path", "/")
+    return reduce(DataFrame.unionByName, parts).select(F.element_at(place, -2).alias("paper_id"), F.element_at(place, -1).alias("name"), "kind", "content", F.col("length").alias("bytes"))
 
 
-def _member(content: bytes | None) -> tuple[str | None, str | None]:
+def member_of(content: bytes | None) -> tuple[str | None, str | None]:
+    """The content JSON of an archive, or why there is none."""
     try:
         with zipfile.ZipFile(io.BytesIO(content or b"")) as z:
             return z.read(MEMBER).decode("utf-8"), None
@@ -47,12 +70,12 @@ def _member(content: bytes | None) -> tuple[str | None, str | None]:
         return None, "invalid_zip"
 
 
-def read_content_zips(artifacts: DataFrame, content: str = "content") -> DataFrame:
-    """Adds content_json and zip_error of zipped page content."""
+def read_content_zips(artifacts: DataFrame, content: str = "content", unzip=member_of) -> DataFrame:
+    """Adds content_json and zip_error of zipped page content. Each archive is opened once, whatever is used of it."""
     out = StructType([StructField("content_json", StringType()), StructField("zip_error", StringType())])
 
-    unzip = F.pandas_udf(lambda s: pd.DataFrame([_member(b) for b in s], columns=["content_json", "zip_error"]), out)
-    return artifacts.withColumn("__m", unzip(content)).select("*", "__m.*").drop("__m")
+    run = F.pandas_udf(lambda s: pd.DataFrame([unzip(b) for b in s], columns=["content_json", "zip_error"]), out).asNondeterministic()
+    return artifacts.withColumn("__m", run(content)).select("*", "__m.*").drop("__m")
 
 
 def read_content_json(spark: SparkSession, path: str) -> DataFrame:
@@ -101,5 +124,36 @@ def parse_pdfs(df: DataFrame, parser, content: str = "content") -> DataFrame:
         except Exception as e:  # noqa: BLE001  a row's failure is its value
             return None, f"{type(e).__name__}: {e}"
 
-    run = F.pandas_udf(lambda s: pd.DataFrame([one(b) for b in s], columns=["content_json", "parser_error"]), out)
+    run = F.pandas_udf(lambda s: pd.DataFrame([one(b) for b in s], columns=["content_json", "parser_error"]), out).asNondeterministic()
     return df.withColumn("__p", run(content)).select("*", "__p.*").drop("__p")
+
+
+def external_parser(executable: str, tier: str = "advanced"):
+    """A parser that runs an external program: PDF bytes to content JSON, by way of the archive that it writes into a folder of its own."""
+    if not tier.strip():
+        raise ValueError("the parser's tier is empty")
+
+    def parse(content: bytes) -> str:
+        with tempfile.TemporaryDirectory() as folder:
+            pdf, out = Path(folder) / "paper.pdf", Path(folder) / "out"
+            pdf.write_bytes(content)
+            out.mkdir()
+            done = subprocess.run([executable, "parse", str(pdf), "--pages", "all", "--tier", tier, "--format", "zip", "-o", str(out)], capture_output=True, text=True, encoding="utf-8", errors="replace", check=False)
+            if done.returncode:
+                raise RuntimeError("\n".join(x for x in (f"exit code {done.returncode}", done.stdout.strip(), done.stderr.strip()) if x))
+            text, error = member_of(chosen_zip(out, pdf.stem).read_bytes())
+            if error:
+                raise ValueError(error)
+            return text
+
+    return parse
+
+
+def chosen_zip(folder: Path, stem: str) -> Path:
+    """The archive named after the PDF, else the only one there is."""
+    if (folder / f"{stem}.zip").is_file():
+        return folder / f"{stem}.zip"
+    found = sorted(folder.glob("*.zip"))
+    if len(found) != 1:
+        raise ValueError(f"expected one archive, found {len(found)}: {', '.join(p.name for p in found)}")
+    return found[0]

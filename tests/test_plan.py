@@ -1,14 +1,17 @@
 import io
 import json
+import threading
 import urllib.error
 import zipfile
 import zlib
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 
 from scholarloom.operators import manifest
 from scholarloom.plans.papers import Options, batch_manifest, process, qa_json
 from scholarloom.sources import http, landed
+from scholarloom.sources.requests import SCHEMA
 from scholarloom.streaming import landing
 
 PDF = b"%PDF-1.7\n1 0 obj << /Type /Page >> endobj\n%%EOF"
@@ -112,9 +115,36 @@ def test_fetch_retries():
     assert http.fetch("http://x", {}, opener=refused, sleep=waits.append)[2:] == (403, "HTTP 403") and calls == ["again"]
 
 
-def test_http_source(spark):
+class Handler(BaseHTTPRequestHandler):
+    def do_GET(self):
+        body = {"/p.pdf": PDF, "/page": b"<html>", "/x.xml": b" <a/>"}.get(self.path.partition("?")[0])
+        self.send_response(200 if body else 404)
+        self.end_headers()
+        self.wfile.write(body or b"")
+
+    def log_message(self, *args):
+        pass
+
+
+@pytest.fixture(scope="module")
+def server():
+    s = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{s.server_port}"
+    s.shutdown()
+
+
+def test_http_source(spark, tmp_path, server):
+    rows = [("d1", "public_pdf", f"{server}/p.pdf", None, None, "pdf", 3), ("d2", "public_pdf", f"{server}/page", None, None, "pdf", 3), ("d3", "publisher_xml", f"{server}/x.xml", "text/xml", "metadata", "xml", 1), ("d4", "x", f"{server}/none", None, None, None, 3), ("d5", "x", f"{server}/page", None, "publisher", None, 1)]
+    wanted = spark.createDataFrame(rows, SCHEMA)
+    want = {"d1": (PDF, None), "d2": (None, "body_not_pdf"), "d3": (b" <a/>", None), "d4": (None, "HTTP 404"), "d5": (None, "no key: publisher")}
+    got = http.fetch_rows(wanted, {"metadata": "secret"}).collect()
+    assert {r.doi: (r.content and bytes(r.content), r.error) for r in got} == want
+    assert not any("secret" in str(v) for r in got for v in r)
+    wanted.write.parquet(str(tmp_path / "requests"))
     spark.dataSource.register(http.ArtifactSource)
-    assert spark.read.format("artifact_http").option("urls", "[]").load().count() == 0
+    read = spark.read.format("artifact_http").option("requests", str(tmp_path / "requests")).option("keys", json.dumps({"metadata": "secret"})).load()
+    assert {r.doi: (r.content and bytes(r.content), r.error) for r in read.collect()} == want
 
 
 def test_stream(spark, tmp_path):
