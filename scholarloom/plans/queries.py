@@ -528,3 +528,6 @@ def q40_pub_date(spark, sf_dir):
 def q41_first_occurrence(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id", F.sha2(F.lower(F.coalesce("text", F.lit(""))).cast("binary"), 256).alias("key"))
     return manifest.first_occurrence(d, F.col("key"), "doc_id")
+
+
+from . import article_queries  # noqa: E402, F401  registers more of them
