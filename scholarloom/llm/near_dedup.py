@@ -340,6 +340,8 @@ class NearDuplicates:
         open_ = shares.groupBy("band").agg(F.max(F.struct("m", "root")).alias("most"), F.sum("m").alias("all")).where("all > most.m")
         deal = lambda c: F.greatest(F.lit(1), F.ceil(c / F.lit(BLOCK))).cast("int")
         open_ = open_.select("band", F.col("most.root").alias("largest"), deal(F.col("all") - F.col("most.m")).alias("is"), deal(F.col("all")).alias("js"))
+        # Written, so that both sides of the join are plain exchanges: the engine can split a large bucket.
+        open_ = self.scratch.written(open_, "open")
         rows = now.join(open_, "band").withColumns({"outside": F.col("root") != F.col("largest"), "i": F.pmod(F.xxhash64("key", F.lit(1)), F.col("is")).cast("int"), "j": F.pmod(F.xxhash64("key"), F.col("js")).cast("int")})
         # Each block of the nodes outside meets each block of all nodes.
         places = lambda n: F.sequence(F.lit(0), F.col(n) - 1)

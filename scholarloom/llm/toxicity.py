@@ -273,7 +273,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
 
     # At most max_train rows of seven numbers, in an order that doesn't depend on the tasks.
-    data = rows.mapInArrow(tidy(featurise), "x array<double>, y int").sort("x", "y").collect()
+    data = sorted(rows.mapInArrow(tidy(featurise), "x array<double>, y int").collect())
     scratch.close()
     if per.get(0) and per.get(1):
         model.weights = fit_weights(np.array([r["x"] for r in data]), np.array([r["y"] for r in data], float))

@@ -4,11 +4,13 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
-from scholarloom.llm import packing, toxicity
+from scholarloom.llm import toxicity
 from scholarloom.llm.queries import ORACLE_SQL, QUERIES, tokenizer_file
 
+from .helpers import docs
 from .test_near_dedup import brute as near
 from .test_suffix import brute as repeats
 
@@ -38,12 +40,29 @@ def test_stages(spark):
     whole = [i for i in kept if hashlib.sha256((got[i].text or "").encode()).hexdigest() == kept[i]]
     assert len(whole) >= len(kept) - 2  # the others were cut inside a character
     assert all(r.n_chars == len(r.text) for r in got.values())
-    own = packing.ChunkTokens(tokenizer_file(spark, "word_bpe_49k.json"))
+    library = Tokenizer.from_file(tokenizer_file(spark, "word_bpe_49k.json"))
     pieces = cp.run(spark, SF).collect()
     assert {p.doc_id for p in pieces} == set(kept)
-    for p in pieces[:200]:
-        ids = np.r_[own.encode([got[p.doc_id].text])[0], 1].astype("<u4")
-        assert p.doc_tokens == len(ids) and p.ids_crc32 == zlib.crc32(ids[p.start : p.start + p.length].tobytes())
+    ids = {i: np.r_[library.encode(got[i].text, add_special_tokens=False).ids, 1].astype("<u4") for i in kept}
+    covered = {i: np.zeros(len(x), int) for i, x in ids.items()}
+    for p in pieces:
+        own = ids[p.doc_id]
+        assert p.doc_tokens == len(own) and p.ids_crc32 == zlib.crc32(own[p.start : p.start + p.length].tobytes())
+        covered[p.doc_id][p.start : p.start + p.length] += 1
+    assert all((c == 1).all() for c in covered.values())
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None), (2, ""), (2, ""), (None, None)]])
+def test_stages_on_empty_tables_and_texts(spark, tmp_path, rows):
+    table = docs(spark, rows)
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    held = table
+    for name, stage in cp.STAGES[:-1]:
+        held = stage(spark, held, str(tmp_path))
+        assert held.columns == table.columns, name
+    pieces = cp.run(spark, str(tmp_path)).collect()
+    assert sorted(p.doc_id for p in pieces) == ([2] if rows else []) and all(p.doc_tokens == 1 for p in pieces)
 
 
 def test_registered():
