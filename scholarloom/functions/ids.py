@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote as unquoted
+from urllib.parse import urlsplit
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +35,7 @@ def _doi_parts(value: Column | str) -> tuple[Column, Column, Column]:
     path = F.regexp_replace(F.regexp_extract(text, r"(?i)^https?://[^/?#]*([^?#]*)", 1), "^/+", "")
     known = ~is_url | host.isin(*HOSTS)
     bare = F.when(is_url, path).otherwise(text)
-    bare = F.when(F.lower(bare).startswith("doi:"), strip(F.substring(bare, 5, 1_000_000))).otherwise(bare)
+    bare = F.when(F.lower(bare).startswith("doi:"), strip(F.substr(bare, F.lit(5)))).otherwise(bare)
     return strip(value), known, F.lower(strip(unquote(bare)))
 
 
@@ -41,6 +45,20 @@ def normalize_doi(value: Column | str) -> Column:
     return F.when(known & doi.rlike(r"(?U)^10[.]\d{4,9}/\S+\z"), doi)
 
 
+def plain_doi(text: str | None) -> str | None:
+    """normalize_doi for one text inside a worker."""
+    t = (text or "").strip().strip("<>").strip()
+    if re.match("https?://", t, re.I):
+        parts = urlsplit(t)
+        if (parts.hostname or "").lower() not in HOSTS:
+            return None
+        t = parts.path.lstrip("/")
+    if t[:4].lower() == "doi:":
+        t = t[4:].strip()
+    t = unquoted(t).strip().lower()
+    return t if re.fullmatch(r"10[.]\d{4,9}/\S+", t) else None
+
+
 def doi_error(value: Column | str) -> Column:
     """Why there is no DOI: empty, unsupported_host or invalid; null if there is one."""
     text, known, doi = _doi_parts(value)

@@ -18,6 +18,13 @@ def strip(c: Column | str) -> Column:
     return F.regexp_replace(col(c), r"(?U)^\s+|\s+\z", "")
 
 
+def casefold(c: Column | str) -> Column:
+    """Full case folding: upper case brings together what lower case leaves apart, such as ß and ss, and final with other sigmas."""
+    # The dotless i folds to itself. Its way back stands between the two cases, which the optimiser would otherwise make one.
+    upper = F.translate(F.upper(F.translate(col(c), "\u0131\u1e9e", "\ue0ff\u00df")), "\ue0ff", "\u0131")
+    return F.translate(F.lower(upper), "\u03c2", "\u03c3")
+
+
 def collapse(c: Column | str) -> Column:
     """Runs of white space become one space; ends are stripped."""
     return F.trim(F.regexp_replace(col(c), r"(?U)\s+", " "))

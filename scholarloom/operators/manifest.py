@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import casefold, strip
 
 FIELDS = ("index", "doi", "route", "source", "status", "fallback_used", "llm_markdown", "qa", "error")
 
@@ -20,7 +20,7 @@ def doi_list(lines: DataFrame, line: str = "line", pos: str = "pos") -> DataFram
     """Lines of a work list without blanks, comments and repeats in any case; the first spelling stays."""
     text = strip(F.regexp_replace(F.col(line), "^﻿", ""))
     kept = lines.withColumn("doi_raw", text).where((F.col("doi_raw") != "") & ~F.col("doi_raw").startswith("#"))
-    return first_occurrence(kept, F.lower("doi_raw"), pos).select(pos, "doi_raw")
+    return first_occurrence(kept, casefold("doi_raw"), pos).select(pos, "doi_raw")
 
 
 def choose_source(candidates: DataFrame, key: str = "doi", priority: str = "priority") -> DataFrame:
@@ -30,14 +30,14 @@ def choose_source(candidates: DataFrame, key: str = "doi", priority: str = "prio
 
 
 def find_local_pdf(files: DataFrame, directory: str = "directory", name: str = "name", explicit: str | None = None) -> DataFrame:
-    """Per directory: n_pdf, pdf (the explicit one, else the only one) and error."""
+    """Per directory: n_pdf, pdfs by name, pdf (the explicit one, else the only one) and error."""
     pdf = F.lower(name).endswith(".pdf")
-    found = files.groupBy(directory, *([explicit] if explicit else [])).agg(F.count_if(pdf).alias("n_pdf"), F.min(F.when(pdf, F.col(name))).alias("only"))
+    found = files.groupBy(directory, *([explicit] if explicit else [])).agg(F.count_if(pdf).alias("n_pdf"), F.array_sort(F.collect_list(F.when(pdf, F.col(name)))).alias("pdfs"))
     given = F.col(explicit) if explicit else F.lit(None).cast("string")
     bad = given.isNotNull() & ~F.lower(given).endswith(".pdf")
     return found.select(
-        directory, F.col("n_pdf").cast("long").alias("n_pdf"),
-        F.when(given.isNotNull() & ~bad, given).when(given.isNull() & (F.col("n_pdf") == 1), F.col("only")).alias("pdf"),
+        directory, F.col("n_pdf").cast("long").alias("n_pdf"), "pdfs",
+        F.when(given.isNotNull() & ~bad, given).when(given.isNull() & (F.col("n_pdf") == 1), F.get("pdfs", F.lit(0))).alias("pdf"),
         F.when(bad, "explicit_not_pdf").when(given.isNull() & (F.col("n_pdf") > 1), "multiple_local_pdf").alias("error"),
     )
 

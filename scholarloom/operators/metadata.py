@@ -7,7 +7,7 @@ from xml.etree import ElementTree as ET
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import normalize_doi
+from ..functions.ids import normalize_doi, plain_doi
 from ..functions.text import col, collapse, first_available, longest_available, nonempty, strip
 from ..functions.trees import HREF, below, inside, parse, trimmed
 from .jats import _map
@@ -167,8 +167,8 @@ def partial_fields(source: str | bytes | None, doi: str | None) -> dict | None:
     root = parse(source)
     if root is None:
         return None
-    marks = {trimmed(e).lower().removeprefix("doi:").strip().removeprefix("https://doi.org/") for e in inside(root, "doi", "identifier", "article-id")}
-    if (doi or "").lower() not in marks:
+    wanted = plain_doi(doi) or (doi or "").lower()
+    if not any(wanted in (plain_doi(t), t.lower()) for t in (trimmed(e) for e in inside(root, "doi", "identifier", "article-id"))):
         return None
     one, two = _first(root, "fpage", "startingPage", "startPage"), _first(root, "lpage", "endingPage", "endPage")
     return {

@@ -109,7 +109,7 @@ def q47_jats_front(spark, sf_dir):
     )
 
 
-PARTIAL = """concat('<a><journal-title> J', c_nationkey, '</journal-title><article-id>https://doi.org/10.1/C', c_custkey, '</article-id><article-title>', CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE concat('About <i>', c_name, '</i>') END, '</article-title><title>Other</title>',
+PARTIAL = """concat('<a><journal-title> J', c_nationkey, '</journal-title><article-id>https://doi.org/10.1234/C', c_custkey, '</article-id><article-title>', CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE concat('About <i>', c_name, '</i>') END, '</article-title><title>Other</title>',
     CASE WHEN c_custkey % 2 = 0 THEN '<creator> A, B </creator><creator>C</creator><creator>C</creator>' ELSE '' END, '<contrib contrib-type="Author"><surname>Doe</surname><given-names>Jo</given-names></contrib><contrib contrib-type="editor"><surname>E</surname></contrib><contrib>Group</contrib>',
     '<pub-date><year> </year></pub-date><pub-date><year>2021</year><month>5</month></pub-date><volume>', c_nationkey, '</volume><issueId>i</issueId><fpage>', c_custkey, '</fpage><lpage>', c_custkey + c_custkey % 2, '</lpage><publisher-name>P</publisher-name><abstract><p>Text</p> <p>more</p></abstract>',
     '<kwd>k</kwd><kwd> k </kwd><keyword>', c_mktsegment, '</keyword><openAccess>true</openAccess><license-p>L</license-p><url><format>x</format><value>ftp://no</value></url>', CASE WHEN c_custkey % 5 = 0 THEN '' ELSE concat('<url>http://u/', c_custkey, '</url>') END,
@@ -122,7 +122,7 @@ PARTIAL = """concat('<a><journal-title> J', c_nationkey, '</journal-title><artic
     CASE WHEN c_custkey % 4 > 0 THEN 'k;' || c_mktsegment END AS keywords, CASE WHEN c_custkey % 4 > 0 THEN 'true' END AS open_access, CASE WHEN c_custkey % 4 > 0 THEN 'L' END AS copyright,
     CASE WHEN c_custkey % 4 > 0 THEN CASE WHEN c_custkey % 5 = 0 THEN 'https://self/' || c_custkey ELSE 'http://u/' || c_custkey END END AS url FROM customer""")
 def q48_partial_xml(spark, sf_dir):
-    d = read(spark, sf_dir, "customer").select("c_custkey", F.expr(PARTIAL).alias("xml"), F.expr("concat('10.1/c', c_custkey, if(c_custkey % 4 = 0, 'x', ''))").alias("doi"))
+    d = read(spark, sf_dir, "customer").select("c_custkey", F.expr(PARTIAL).alias("xml"), F.expr("concat('10.1234/c', c_custkey, if(c_custkey % 4 = 0, 'x', ''))").alias("doi"))
     p = metadata.read_partial(d)
     return p.select("c_custkey", F.col("partial").isNotNull().alias("has_doi"), *[(F.array_join(f"partial.{f}", ";") if f in metadata.LISTS else F.col(f"partial.{f}")).alias(f) for f in metadata.FIELDS])
 

@@ -508,10 +508,10 @@ def q38_pdf_state(spark, sf_dir):
 FILE = "concat('f', o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN '.PDF' WHEN 1 THEN '.pdf' WHEN 2 THEN '.xml' ELSE '.txt' END)"
 
 
-@query(f"""WITH x AS (SELECT o_custkey, {FILE} AS name FROM orders), g AS (SELECT o_custkey, count(*) FILTER (WHERE lower(name) LIKE '%.pdf') AS n_pdf, min(name) FILTER (WHERE lower(name) LIKE '%.pdf') AS one FROM x GROUP BY o_custkey)
-    SELECT o_custkey, n_pdf, CASE WHEN n_pdf = 1 THEN one END AS pdf, CASE WHEN n_pdf > 1 THEN 'multiple_local_pdf' END AS error FROM g""")
+@query(f"""WITH x AS (SELECT o_custkey, {FILE} AS name FROM orders), g AS (SELECT o_custkey, count(*) FILTER (WHERE lower(name) LIKE '%.pdf') AS n_pdf, min(name) FILTER (WHERE lower(name) LIKE '%.pdf') AS one, coalesce(string_agg(name, ',' ORDER BY name) FILTER (WHERE lower(name) LIKE '%.pdf'), '') AS pdfs FROM x GROUP BY o_custkey)
+    SELECT o_custkey, n_pdf, pdfs, CASE WHEN n_pdf = 1 THEN one END AS pdf, CASE WHEN n_pdf > 1 THEN 'multiple_local_pdf' END AS error FROM g""")
 def q39_local_pdf_choice(spark, sf_dir):
-    return manifest.find_local_pdf(read(spark, sf_dir, "orders").select("o_custkey", F.expr(FILE).alias("name")), "o_custkey")
+    return manifest.find_local_pdf(read(spark, sf_dir, "orders").select("o_custkey", F.expr(FILE).alias("name")), "o_custkey").withColumn("pdfs", F.array_join("pdfs", ","))
 
 
 @query("""WITH x AS (SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN ' ' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS y, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN 'May' ELSE CAST(month(o_orderdate) AS VARCHAR) END AS m, CAST(day(o_orderdate) AS VARCHAR) AS d FROM orders)

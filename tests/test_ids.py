@@ -47,3 +47,7 @@ def test_join_url(spark):
     df = spark.createDataFrame([("https://h/a/b?x", h) for h in ("c.pdf", "/c.pdf", "//o/c.pdf", "http://o/c", "")], "b string, h string")
     assert [r[0] for r in df.select(ids.join_url("b", "h")).collect()] == ["https://h/a/c.pdf", "https://h/c.pdf", "https://o/c.pdf", "http://o/c", "https://h/a/b?x"]
     assert df.select(ids.directly_in(F.lit("/a/b/c.pdf"), F.lit("/a/b/"))).first()[0]
+
+
+def test_normalize_in_workers():
+    assert {k: ids.plain_doi(k) for k in CASES} == CASES and ids.plain_doi(None) is None

@@ -54,3 +54,11 @@ def test_tex(spark):
     wrapped = r"\documentclass[12pt]{minimal}\usepackage{amsmath}\begin{document}$$ x_1 $$\end{document}"
     got = values(spark, [wrapped, r"\usepackage{a}\setlength{\b}{1pt} $y$", r"\(z\)", "$$"], tx.inline_tex("t"))
     assert got == [("x_1",), ("y",), ("z",), ("$$",)]
+
+
+def test_casefold(spark):
+    letters = [chr(c) for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000 and chr(c).casefold() != chr(c)] + ["ΣΑΣ", "Straße", "İI", "ı"]
+    got = {r.c: r.f for r in spark.createDataFrame([(c,) for c in letters], "c string").select("c", tx.casefold("c").alias("f")).collect()}
+    unlike = {c for c in letters if got[c] != c.casefold()}
+    # Cherokee small letters fold to capitals; a letter or two differ between Unicode versions.
+    assert {c for c in unlike if not ("Ꭰ" <= c <= "ᏽ" or "ꭰ" <= c <= "ꮿ")} == set()
