@@ -7,6 +7,10 @@ all leftmost non-overlapping pairs of that rank in all words at once, and compac
 until no pair is left. Merging equal pairs together is only done where no pair that arises has a
 smaller rank; else that word merges its leftmost pair alone, so the order is always the library's.
 
+Text without breaks is cut further where no piece of the vocabulary holds the two characters side by
+side. A part that is still longer than LONG goes through the same rounds by itself, with links instead
+of compaction and its pairs waiting by rank, so that a round costs what it changes and not the length.
+
 Defined cases: a null text counts as empty and has no ids; repeated rows are encoded each; a null
 doc_id is carried; an empty table gives an empty result; extra columns are ignored.
 """
@@ -14,6 +18,7 @@ doc_id is carried; an empty table gives an empty result; extra columns are ignor
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -28,6 +33,8 @@ SPACE = "▁"
 #: Words that a worker keeps, and their characters with those of their ids and decoded forms.
 _CACHE_WORDS, _CACHE_CHARS = 500_000, 32_000_000
 _NONE = np.int32(2**31 - 1)
+#: Words over CUT characters are cut between characters that no piece holds side by side; parts over LONG are merged by themselves.
+CUT, LONG = 64, 1024
 _loaded: dict[str, "PieceModel"] = {}
 
 
@@ -77,6 +84,7 @@ class PieceModel:
         self.text = [p.replace(SPACE, " ") for p in self.pieces]
         self.digits = [str(i) for i in range(n)]
         self.first = {text[k] + text[k + 1] for text in own for k in range(len(text) - 1)}
+        self.beside = np.unique(np.array([ord(a) << 21 | ord(b) for a, b in self.first], "i8"))
         left = {c for c in map(lambda ab: ab[0], self.first)}
         if any(ab[1] == SPACE and ab[0] != SPACE for ab in self.first) or "\n" in left:
             raise ValueError("pieces cross word borders")
@@ -104,13 +112,107 @@ class PieceModel:
             left = left[~hit & (found >= 0)]
         return rank, made
 
+    def parts_of(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """Words cut where no piece can lie across, and the word of each part."""
+        parts, owner, done = [], [], 0
+        for i in [i for i, w in enumerate(words) if len(w) > CUT]:
+            parts += words[done:i]
+            owner += range(done, i)
+            w, done = words[i], i + 1
+            code = np.frombuffer(w.encode("utf-32-le", "surrogatepass"), "<u4").astype("i8")
+            key = code[:-1] << 21 | code[1:]
+            at = np.minimum(np.searchsorted(self.beside, key), len(self.beside) - 1)
+            cuts = (np.flatnonzero(self.beside[at] != key) + 1).tolist()
+            parts += [w[x:y] for x, y in zip([0, *cuts], [*cuts, len(w)], strict=True)]
+            owner += [i] * (len(cuts) + 1)
+        return parts + words[done:], np.array([*owner, *range(done, len(words))], "i4")
+
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat symbols (an id, or -1 - code point for a character that is no piece) and the word of each."""
-        lengths = np.fromiter(map(len, words), "i8", len(words))
-        code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype("i4")
+        parts, owner = self.parts_of(words)
+        lengths = np.fromiter(map(len, parts), "i8", len(parts))
+        code = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4").astype("i4")
         kinds, inverse = np.unique(code, return_inverse=True)
         sym = np.array([self.own.get(chr(c), -1 - int(c)) for c in kinds.tolist()], "i4")[inverse] if len(code) else code
-        word = np.repeat(np.arange(len(words), dtype="i4"), lengths)
+        part = np.repeat(np.arange(len(parts), dtype="i4"), lengths)
+        found = []
+        if (lengths > LONG).any():
+            ends = np.cumsum(lengths)
+            for i in np.flatnonzero(lengths > LONG).tolist():
+                own = self._merge_long(sym[ends[i] - lengths[i] : ends[i]].copy())
+                found.append((own, np.full(len(own), i, "i4")))
+            short = lengths[part] <= LONG
+            sym, part = sym[short], part[short]
+        found.append(self._merge_rounds(sym, part))
+        sym, part = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(part, kind="stable")
+        return sym[order], owner[part[order]]
+
+    def _merge_long(self, sym: np.ndarray) -> np.ndarray:
+        """The rounds of one long word. Places are linked to the next and the last one still there."""
+        n = len(sym)
+        after, before, there = np.arange(1, n + 1), np.arange(-1, n), np.ones(n, bool)
+        rank, made = np.full(n, _NONE), np.full(n, -1, "i4")
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def look(places: np.ndarray) -> None:
+            rank[places], made[places] = self._ranked(sym[places], sym[after[places]])
+
+        def wait(places: np.ndarray) -> None:
+            places = places[rank[places] < _NONE]
+            if not len(places):
+                return
+            order = np.argsort(rank[places], kind="stable")
+            kinds, first = np.unique(rank[places][order], return_index=True)
+            for r, own in zip(kinds.tolist(), np.split(places[order], first[1:]), strict=True):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(heap, r)
+                waiting[r].append(own)
+
+        def join(at: np.ndarray) -> np.ndarray:
+            """Merges the pairs that start at these places; returns those that start a new pair."""
+            gone = after[at]
+            sym[at] = made[at]
+            there[gone] = False
+            after[at] = after[gone]
+            before[after[at]] = at  # the place behind the end takes part, and is never read
+            left = before[at]
+            return np.unique(np.concatenate([left[left >= 0], at[after[at] < n]]))
+
+        look(np.arange(n - 1))
+        wait(np.arange(n - 1))
+        while heap:
+            r = heapq.heappop(heap)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            at = at[there[at] & (rank[at] == r)]
+            if not len(at):
+                continue
+            near = after[at[:-1]] == at[1:]
+            chain = np.flatnonzero(np.r_[True, ~near])
+            some = at[(np.arange(len(at)) - np.repeat(chain, np.diff(np.r_[chain, len(at)]))) % 2 == 0]
+            gone, old = after[some], sym[some]
+            new = join(some)
+            ranks = self._ranked(sym[new], sym[after[new]])[0]
+            if len(some) > 1 and (ranks <= r).any():  # an early pair arose: only the leftmost one is merged
+                rest, lost = some[1:], gone[1:]
+                sym[rest], there[lost] = old[1:], True
+                for x, y in zip(rest[::-1].tolist(), lost[::-1].tolist(), strict=True):  # from the right, as the links stand
+                    after[y] = after[x]
+                    before[after[y]], before[y], after[x] = y, x, y
+                new = np.array([x for x in (before[some[0]], some[0]) if x >= 0 and after[x] < n], "i8")
+                waiting.setdefault(r, []).append(rest)
+                if r not in heap:
+                    heapq.heappush(heap, r)
+            rank[some] = np.where(after[some] < n, rank[some], _NONE)
+            rank[some[0]] = _NONE
+            look(new)
+            wait(new)
+        return sym[there]
+
+    def _merge_rounds(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rounds of all other words at once."""
         rank, made = np.full(len(sym), _NONE), np.full(len(sym), -1, "i4")
         inner = np.flatnonzero(word[:-1] == word[1:])
         rank[inner], made[inner] = self._ranked(sym[inner], sym[inner + 1])
@@ -140,9 +242,7 @@ class PieceModel:
                 lone = np.r_[True, of[1:] != of[:-1]]
                 merged = self._apply(sym, word, rank, made, where[lone | ~np.isin(of, bad)], bound)
             sym, word, rank, made = merged[:4]
-        sym, word = np.concatenate([*done_sym, sym]), np.concatenate([*done_word, word])
-        order = np.argsort(word, kind="stable")  # a word's symbols leave together and in order
-        return sym[order], word[order]
+        return np.concatenate([*done_sym, sym]), np.concatenate([*done_word, word])  # a word's symbols leave together and in order
 
     def _apply(self, sym, word, rank, made, where, bound):
         """Merge at where; the fifth result names words in which a pair arose that is not later than the one merged."""

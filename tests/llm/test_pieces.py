@@ -1,6 +1,9 @@
 import hashlib
+import random
+import time
 
 import public_tokenizers
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,6 +15,7 @@ from .helpers import docs, words
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PATH)
 MODEL = piece_bpe.PieceModel(PATH)
+FRESH = piece_bpe.PieceModel(PATH)
 
 
 @settings(max_examples=300, deadline=None)
@@ -52,3 +56,24 @@ def test_kept_words_are_bounded_by_their_characters(monkeypatch):
         text = words(seed, 50) + " " + "".join(chr(97 + (seed * i * i) % 26) for i in range(3000))
         assert model.encode(text) == LIBRARY.encode(text)
         assert model.held < 20_000 + 40_000
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "aa", "the", "in", "ing", "tion", "on", "er", "st", "th", "e", "s", "é", "中", "1", "ab", "▁"]), max_size=60), st.sampled_from([2, 5, 1024]))
+def test_long_parts_in_rounds_of_their_own(parts, longest):
+    text = "".join(parts)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(piece_bpe, "LONG", longest)
+        m.setattr(piece_bpe, "CUT", 4)
+        assert piece_bpe.PieceModel.encode(FRESH, text) == LIBRARY.encode(text)
+        FRESH.words.clear()
+
+
+def test_unbroken_text_takes_little_time():
+    r = random.Random(4)
+    prose = "".join(words(7, 40_000).split(" "))
+    for text in ("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000)), "".join(r.choice("etaoinshr") for _ in range(200_000)), "a" * 200_000, prose, "thequickbrownfox" * 12_000):
+        start = time.process_time()
+        ids = MODEL.encode(text)
+        assert time.process_time() - start < 20
+        assert ids == LIBRARY.encode(text)
