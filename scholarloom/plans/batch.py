@@ -11,7 +11,7 @@ from ..functions.ids import dirname, normalize_doi, paper_paths
 from ..operators import audit, blocks
 from ..operators.manifest import FIELDS
 from ..sources import landed, library
-from .papers import Batch, Options, audit_stats, batch_manifest, numbered, qa_json, render_stats, settled
+from .papers import HELD, Batch, Options, audit_stats, batch_manifest, numbered, qa_json, release, render_stats, settled
 
 WAVE = 10_000
 ITEM = "index long, doi string, route string, source string, status string, fallback_used string, llm_markdown string, qa string, error string"
@@ -54,7 +54,7 @@ def run_batch(spark: SparkSession, dois: DataFrame, options: Options, results_pa
     """
     listed = settled(numbered(dois))
     total = landed.some_dois(listed, results_path)
-    parts, done = f"{results_path}.parts", []
+    parts, done, own = f"{results_path}.parts", [], len(HELD)
     try:
         for first in range(1, total + 1, wave):
             part = f"{parts}/from-{first}"
@@ -65,6 +65,7 @@ def run_batch(spark: SparkSession, dois: DataFrame, options: Options, results_pa
                 write_results(batch, results)
                 items = batch_manifest(results, options)
                 items.withColumn("index", F.col("index") + (first - 1)).select(*FIELDS).write.mode("overwrite").parquet(part)
+                release(own)
             done.append(part)
             if on_result is not None:
                 for row in spark.read.schema(ITEM).parquet(part).orderBy("index").toLocalIterator():

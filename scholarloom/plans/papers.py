@@ -50,6 +50,16 @@ class Options:
     fetch: Callable[[DataFrame], DataFrame] | None = None
 
 
+#: What is kept on the executors' disks for a run.
+HELD: list[DataFrame] = []
+
+
+def release(down_to: int = 0) -> None:
+    """Give up what has been kept since there were so many."""
+    while len(HELD) > down_to:
+        HELD.pop().unpersist()
+
+
 def settled(df: DataFrame) -> DataFrame:
     """df computed once: a checkpoint in the shared folder, or kept on the executors' disks where no such folder is set."""
     context = df.sparkSession.sparkContext
@@ -57,7 +67,8 @@ def settled(df: DataFrame) -> DataFrame:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(folder)
         return df.checkpoint()
-    return df.persist(StorageLevel.DISK_ONLY)
+    HELD.append(df.persist(StorageLevel.DISK_ONLY))
+    return HELD[-1]
 
 
 def _none() -> Column:
