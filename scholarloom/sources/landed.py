@@ -85,18 +85,69 @@ def read_content_json(spark: SparkSession, path: str) -> DataFrame:
 
 # PDF pages without a PDF library.
 
+_OBJECT = re.compile(rb"(?<!\d)(\d{1,10})\s+\d{1,5}\s+obj\b(.*?)(?=\bendobj\b)", re.S)
 _STREAM = re.compile(rb"/ObjStm\b.*?stream\r?\n(.*?)\r?\nendstream", re.S)
 _PAGE = re.compile(rb"/Type\s*/Page(?![A-Za-z])")
+_REF = re.compile(rb"(\d+)\s+\d+\s+R\b")
+
+
+def _number(body: bytes, name: bytes) -> int | None:
+    m = re.search(rb"/" + name + rb"\s+(\d+)(?!\s+\d+\s+R)", body)
+    return int(m[1]) if m else None
+
+
+def pdf_objects(data: bytes) -> dict[int, bytes]:
+    """Objects by number, those in compressed object streams included; of several versions the last counts."""
+    out: dict[int, bytes] = {}
+    for m in _OBJECT.finditer(data):
+        number, body = int(m[1]), m[2]
+        out[number] = body
+        packed = _STREAM.search(body + b"\nendstream" if b"/ObjStm" in body and b"endstream" not in body else body)
+        n, first = (_number(body, k) for k in (b"N", b"First")) if packed else (None, None)
+        if n is None or first is None:
+            continue
+        try:
+            text = zlib.decompress(packed[1])
+            head = list(map(int, text[:first].split()))[: 2 * n]
+        except (zlib.error, ValueError):
+            continue
+        places = [*head[1::2], len(text) - first]
+        for own, lo, hi in zip(head[::2], places, places[1:], strict=False):
+            out[own] = text[first + lo : first + hi]
+    return out
+
+
+def page_leaves(objects: dict[int, bytes]) -> int | None:
+    """Pages below the catalogue's page tree; null if there is no such tree."""
+    roots = [m for body in objects.values() if re.search(rb"/Type\s*/Catalog\b", body) and (m := re.search(rb"/Pages\s+(\d+)\s+\d+\s+R", body))]
+    if not roots:
+        return None
+    todo, seen, n = [int(roots[-1][1])], set(), 0
+    while todo:
+        number = todo.pop()
+        if number in seen or number not in objects:
+            continue
+        seen.add(number)
+        body = objects[number]
+        kids = re.search(rb"/Kids\s*(?:\[(.*?)\]|(\d+)\s+\d+\s+R)", body, re.S)
+        if kids:
+            todo += map(int, _REF.findall(kids[1] if kids[1] is not None else objects.get(int(kids[2]), b"")))
+        else:
+            n += bool(_PAGE.search(body))
+    return n
 
 
 def count_pages(content: bytes | None) -> int | None:
-    """Page objects of a PDF, those in compressed object streams included; null if it is no readable PDF.
+    """Pages of a PDF: the leaves of its page tree, or all page objects where it has none; null if it is no readable PDF.
 
     A damaged file, one without an end mark or an encrypted one counts as unreadable.
     """
     data = bytes(content or b"")
     if not data.startswith(b"%PDF-") or b"%%EOF" not in data[-2048:] or b"/Encrypt" in data:
         return None
+    leaves = page_leaves(pdf_objects(data))
+    if leaves is not None:
+        return leaves
     n = len(_PAGE.findall(data))
     for m in _STREAM.finditer(data):
         try:

@@ -47,6 +47,21 @@ def test_page_count():
     assert landed.count_pages(b"%PDF-1 /Encrypt /Type /Page %%EOF") is None
 
 
+def test_page_tree():
+    old = b"3 0 obj << /Type /Page /Parent 2 0 R >> endobj\n"
+    tree = b"%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n2 0 obj << /Type /Pages /Count 3 /Kids [3 0 R 4 0 R] >> endobj\n" + old + b"4 0 obj << /Type /Pages /Kids 7 0 R >> endobj\n5 0 obj << /Type/Page >> endobj\n6 0 obj << /Type /Page >> endobj\n7 0 obj [5 0 R 6 0 R 2 0 R] endobj\n"
+    assert landed.count_pages(tree + b"%%EOF") == 3
+    # An update replaces the root and leaves old pages behind.
+    assert landed.count_pages(tree + b"%%EOF\n2 0 obj << /Type /Pages /Kids [3 0 R] >> endobj\n" + old + b"%%EOF") == 1
+    inner = [b"<< /Type /Catalog /Pages 11 0 R >>", b"<< /Type /Pages /Kids [12 0 R 13 0 R] >>", b"<< /Type /Page >>", b"<< /Type /Page >>", b"<< /Type /Page /Lost true >>"]
+    at, head = 0, b""
+    for i, x in enumerate(inner):
+        head += b"%d %d " % (10 + i, at)
+        at += len(x) + 1
+    packed = zlib.compress(head + b"\n" + b" ".join(inner))
+    assert landed.count_pages(b"%PDF-1.5\n9 0 obj << /Type /ObjStm /N 5 /First " + str(len(head) + 1).encode() + b" /Filter /FlateDecode >> stream\n" + packed + b"\nendstream endobj\n%%EOF") == 2
+
+
 def test_parser_failures_are_values(spark):
     df = spark.createDataFrame([(b"ok",), (b"bad",)], "content binary")
 
