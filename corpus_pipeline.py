@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarloom.llm import exact_dedup, near_dedup, packing, suffix_dedup, toxicity
-from scholarloom.llm.common import table, written
+from scholarloom.llm.common import Scratch, table
 from scholarloom.llm.queries import tokenizer_file
 
 
@@ -77,7 +77,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        own = Scratch(spark, f"stage-{name}")
+        docs = own.written(stage(spark, docs, sf_dir), "documents")
+        if before is not None:
+            before.close()  # its rows have been read
+        before = own
     return STAGES[-1][1](spark, docs, sf_dir)
