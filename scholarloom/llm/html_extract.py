@@ -21,6 +21,7 @@ import html
 import random
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -79,14 +80,14 @@ class Open:
 
     def push(self, tag: str, names: tuple[str, ...]) -> None:
         _, path, context, held = self.stack[-1]
-        found = ["name:" + x for x in names]
+        new = {y for x in names if (y := "name:" + x) not in held and (self.known is None or y in self.known)} if names else set()
         if tag in BLOCK:
             path = (*path[-2:], tag)
-            found.append("in:" + tag)
+            if (y := "in:" + tag) not in held and (self.known is None or y in self.known):
+                new.add(y)
             self.blocks.append(len(self.stack))
         if tag in _SCOPE:
             self.scopes.append(len(self.stack))
-        new = {x for x in found if x not in held and (self.known is None or x in self.known)}
         if new:
             held = held | new
             context = (*context, *sorted(new))
@@ -103,6 +104,11 @@ class Open:
                 places.pop()
 
 
+@lru_cache(4096)
+def _short_attributes(raw: str) -> tuple[str, ...]:
+    return attributes(raw)
+
+
 def attributes(raw: str) -> tuple[str, ...]:
     """Lower-case words of an element's class, id and role, and hidden."""
     out: list[str] = []
@@ -150,7 +156,8 @@ def blocks(page: str | None, known: frozenset[str] | None = None) -> list[Block]
                 at = len(page)  # an open comment
             continue  # a comment, a declaration or a broken tag
         tag = tag.lower()
-        place = tree.last(tag)
+        places = tree.at.get(tag)
+        place = places[-1] if places else 0
         if m[1]:
             if tag in BLOCK:
                 flush()
@@ -162,9 +169,9 @@ def blocks(page: str | None, known: frozenset[str] | None = None) -> list[Block]
             continue
         if tag in BLOCK:
             flush()
-            paragraph = tree.last("p")  # a block ends an open paragraph
-            if tag != "option" and paragraph > tree.scopes[-1]:
-                tree.cut(paragraph)
+            paragraph = tree.at.get("p")  # a block ends an open paragraph
+            if paragraph and tag != "option" and paragraph[-1] > tree.scopes[-1]:
+                tree.cut(paragraph[-1])
         if tag in ENDS:
             ended, barriers = ENDS[tag]
             while (inner := tree.last(*ended)) > tree.last(*barriers):
@@ -185,13 +192,15 @@ def blocks(page: str | None, known: frozenset[str] | None = None) -> list[Block]
                 continue
         if tag == "a" and place:
             tree.cut(place)
-        tree.push(tag, attributes(m[3]) if m[3] else ())
+        raw = m[3]
+        tree.push(tag, () if not raw else _short_attributes(raw) if len(raw) < 256 else attributes(raw))
     say(page[at:].partition("<!--")[0])
     flush()
     return out
 
 
-def block_features(found: list[Block]) -> list[list[str]]:
+def own_features(found: list[Block]) -> list[list[str]]:
+    """Features of the blocks themselves, without those of their ancestors."""
     out = []
     n = len(found)
     for i, b in enumerate(found):
@@ -201,7 +210,6 @@ def block_features(found: list[Block]) -> list[list[str]]:
         share = b.linked / size
         last = b.path[-1] if b.path else "none"
         f = ["bias", "leaf:" + last, "len:" + str(min(9, size.bit_length())), "words:" + str(min(7, words.bit_length())), "link:" + ("0" if share == 0 else "some" if share < 0.5 else "most")]
-        f += b.context
         f.append("up:" + "/".join(b.path[-3:]))
         if t[-1] in ".!?:;…»”\"'":
             f.append("ends")
@@ -217,6 +225,10 @@ def block_features(found: list[Block]) -> list[list[str]]:
     return out
 
 
+def block_features(found: list[Block]) -> list[list[str]]:
+    return [[*f, *b.context] for f, b in zip(own_features(found), found, strict=True)]
+
+
 # Labelled pages.
 
 _MAIN = ["article", "main", "div class=content", "div id=content", "div class=post-body", "div class=entry-content", "section class=article-body", "div class='story text'", "div role=main"]
@@ -366,14 +378,18 @@ class Field:
         (p00, p01), (p10, p11) = self.pairs
         back = []
         s0, s1 = self.start
-        for i, f in enumerate(block_features(found)):
-            e = sum([get(x, 0.0) for x in f])
+        shared: dict[int, float] = {}  # blocks in the same place have one context
+        for i, (b, f) in enumerate(zip(found, own_features(found), strict=True)):
+            place = id(b.context)
+            if place not in shared:
+                shared[place] = sum([get(x, 0.0) for x in b.context])
+            e = shared[place] + sum([get(x, 0.0) for x in f])
             if i == 0:
                 s1 += e
                 continue
-            a, b, c, d = s0 + p00, s1 + p10, s0 + p01, s1 + p11
-            back.append((int(b > a), int(d > c)))
-            s0, s1 = max(a, b), max(c, d) + e
+            x, y, c, d = s0 + p00, s1 + p10, s0 + p01, s1 + p11
+            back.append((int(y > x), int(d > c)))
+            s0, s1 = max(x, y), max(c, d) + e
         y = [int(s1 > s0)]
         for b in reversed(back):
             y.append(b[y[-1]])
