@@ -41,7 +41,8 @@ BANDS, ROWS = 26, 5
 M = BANDS * ROWS
 #: Signatures whose share of equal components is lower than the threshold by more are not compared: over four standard errors.
 SLACK = 0.15
-BLOCK = 512
+#: Nodes of a block; two blocks meet in one task.
+BLOCK = 256
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
