@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 from xml.etree import ElementTree as ET
 
+_DECLARATION = re.compile(r"^\s*<\?xml[^>]*\?>")
 _DOCTYPE = re.compile(r"<!DOCTYPE[^\[>]*(?:\[.*?\]\s*)?>", re.S)
 HREF = "{http://www.w3.org/1999/xlink}href"
 
@@ -15,13 +16,15 @@ def parse(source: str | bytes | None) -> ET.Element | None:
     if source is None:
         return None
     text = bytes(source).decode("utf-8-sig", "replace") if isinstance(source, (bytes, bytearray, memoryview)) else source.lstrip("﻿")
-    text = re.sub(r"^\s*<\?xml[^>]*\?>", "", _DOCTYPE.sub("", text))
+    text = _DOCTYPE.sub("", text) if "<!DOCTYPE" in text else text
+    text = _DECLARATION.sub("", text) if "<?xml" in text else text
     try:
         root = ET.fromstring(text)
     except (ET.ParseError, ValueError):
         return None
-    for e in root.iter():
-        e.tag = e.tag.rpartition("}")[2]
+    if "xmlns" in text:
+        for e in root.iter():
+            e.tag = e.tag.rpartition("}")[2]
     return root
 
 

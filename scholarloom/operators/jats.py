@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import partial
 from xml.etree import ElementTree as ET
 
 import pyarrow as pa
@@ -293,11 +294,13 @@ STATS = "doi string, has_body boolean, section_count long, paragraph_count long,
 SCHEMA = f"error string, stats struct<{STATS.replace(' ', ':').replace(',:', ',')}>, cells array<string>, markdown string, blocks array<struct<kind:string,level:int,text:string>>, render_error string"
 
 
-def read_article(source: str | bytes | None) -> dict:
+def read_article(source: str | bytes | None, markdown: bool = True) -> dict:
     article, error = article_of(source)
     if article is None:
         return {"error": error, "stats": None, "cells": None, "markdown": None, "blocks": None, "render_error": None}
     out = {"error": None, "stats": inspect(article), "cells": table_cells(article), "markdown": None, "blocks": None, "render_error": None}
+    if not markdown:
+        return out
     try:
         done = render_article(article)
     except UnsafeTable as e:
@@ -314,19 +317,20 @@ def _map(df: DataFrame, column: str, read, schema: str) -> DataFrame:
     from pyspark.sql.types import StructType
 
     extra = StructType.fromDDL(schema)
-    kind = to_arrow_type(extra)
+    fields = list(to_arrow_type(extra))
 
     @F.arrow_udf(extra)
     def run(values: pa.Array) -> pa.Array:
-        return pa.array([read(v) for v in values.to_pylist()], kind)
+        rows = [read(v) for v in values.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([r[f.name] for r in rows], f.type) for f in fields], fields=fields)
 
     out = df.withColumn("__read", run.asNondeterministic()(column))
     return out.select(*df.columns, *[F.col(f"__read.{f.name}").alias(f.name) for f in extra.fields])
 
 
-def read_jats(df: DataFrame, xml: str = "xml") -> DataFrame:
-    """Adds error, stats, cells, markdown, blocks and render_error. Malformed XML is an error value, never a failed job."""
-    return _map(df, xml, read_article, SCHEMA)
+def read_jats(df: DataFrame, xml: str = "xml", markdown: bool = True) -> DataFrame:
+    """Adds error, stats, cells, markdown, blocks and render_error, the last three null if no Markdown is wanted. Malformed XML is an error value, never a failed job."""
+    return _map(df, xml, partial(read_article, markdown=markdown), SCHEMA)
 
 
 def pick_articles(df: DataFrame, response: str = "response_xml", doi: str = "doi") -> DataFrame:

@@ -7,6 +7,8 @@ headings; the cleaner in markdown_clean reads exactly that.
 
 from __future__ import annotations
 
+from collections import Counter
+from functools import partial
 from xml.etree import ElementTree as ET
 
 from pyspark.sql import Column, DataFrame
@@ -126,6 +128,9 @@ def to_markdown(root: ET.Element) -> str:
     return "\n\n".join(x for x in out if x) + "\n"
 
 
+NO_EXPECTATION = {"attachment_eid": None, "filename": None, "expected_pages": None, "expected_bytes": None}
+
+
 def expectation(root: ET.Element) -> dict:
     """What the XML says about the main PDF: the first one with purpose MAIN, else the first."""
     found = list(inside(root, "web-pdf"))
@@ -133,7 +138,7 @@ def expectation(root: ET.Element) -> dict:
     whole = lambda x: int(x) if x and x.lstrip("+-").isdigit() else None
     chosen = next((e for e in found if (own(e, "web-pdf-purpose") or "").upper() == "MAIN"), first(found))
     if chosen is None:
-        return {"attachment_eid": None, "filename": None, "expected_pages": None, "expected_bytes": None}
+        return NO_EXPECTATION
     return {"attachment_eid": own(chosen, "attachment-eid"), "filename": own(chosen, "filename"), "expected_pages": whole(own(chosen, "web-pdf-page-count")), "expected_bytes": whole(own(chosen, "filesize"))}
 
 
@@ -143,25 +148,26 @@ SCHEMA = (
 )
 
 
-def read_xml(source: str | bytes | None) -> dict:
+def read_xml(source: str | bytes | None, markdown: bool = True) -> dict:
     root = parse(source)
     if root is None:
         return {"xml_error": "not_well_formed", "root_name": None, "section_count": None, "paragraph_count": None, "reference_count": None, "text_characters": None, "float_table_ids": None, "table_kinds": None, "raw_markdown": None, "expectation": None}
-    count = lambda *names: sum(e.tag in names for e in root.iter())
+    tags = Counter(e.tag for e in root.iter())
+    count = lambda *names: sum(tags[n] for n in names)
     kinds: dict[str, bool] = {}
     for t in root.iter("table"):
         if t.get("id"):
             kinds.setdefault(t.get("id"), is_image_only(t))
     return {
         "xml_error": None, "root_name": root.tag, "section_count": count("section"), "paragraph_count": count("para", "p", "simple-para"),
-        "reference_count": count("bib-reference", "ref"), "text_characters": len(trimmed(root)), "float_table_ids": float_tables(root),
-        "table_kinds": list(kinds.items()), "raw_markdown": to_markdown(root), "expectation": expectation(root),
+        "reference_count": count("bib-reference", "ref"), "text_characters": len(trimmed(root)), "float_table_ids": float_tables(root) if tags["float-anchor"] else [],
+        "table_kinds": list(kinds.items()), "raw_markdown": to_markdown(root) if markdown else None, "expectation": expectation(root) if tags["web-pdf"] else NO_EXPECTATION,
     }
 
 
-def read_publisher_xml(df: DataFrame, xml: str = "xml") -> DataFrame:
-    """Adds statistics, floating tables, raw Markdown, the PDF expectation, reason and is_full_text."""
-    out = _map(df, xml, read_xml, SCHEMA)
+def read_publisher_xml(df: DataFrame, xml: str = "xml", markdown: bool = True) -> DataFrame:
+    """Adds statistics, floating tables, raw Markdown if wanted, the PDF expectation, reason and is_full_text."""
+    out = _map(df, xml, partial(read_xml, markdown=markdown), SCHEMA)
     out = out.withColumn("reason", full_text_reason("root_name", "section_count", "paragraph_count", "text_characters"))
     return out.withColumn("is_full_text", F.col("xml_error").isNull() & (F.col("reason") == ""))
 

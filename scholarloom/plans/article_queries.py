@@ -134,7 +134,7 @@ WEB_PDFS = """concat('<r><web-pdf><web-pdf-purpose>SUPPLEMENT</web-pdf-purpose><
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN 'e' || o_orderkey END AS attachment_eid, CASE WHEN o_orderkey % 3 = 0 THEN 's.pdf' ELSE 'm.pdf' END AS filename,
     CAST(CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 4 > 0 THEN o_orderkey % 50 END AS BIGINT) AS expected_pages, CAST(CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey END AS BIGINT) AS expected_bytes FROM orders""")
 def q49_pdf_expectation(spark, sf_dir):
-    return publisher_xml.read_publisher_xml(read(spark, sf_dir, "orders").select("o_orderkey", F.expr(WEB_PDFS).alias("xml"))).select("o_orderkey", "expectation.*")
+    return publisher_xml.read_publisher_xml(read(spark, sf_dir, "orders").select("o_orderkey", F.expr(WEB_PDFS).alias("xml")), markdown=False).select("o_orderkey", "expectation.*")
 
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS index FROM orders WHERE o_orderkey % 3 > 0")

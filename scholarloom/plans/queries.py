@@ -279,7 +279,7 @@ def q22_table_markdown(spark, sf_dir):
 
 @query(f"""WITH {ROWS_SQL} SELECT l_orderkey, CAST(2 + 3 * count(*) AS BIGINT) AS n_cells, string_agg(qty || ' ' || price, ' ' ORDER BY n) AS tokens FROM r GROUP BY l_orderkey""")
 def q23_table_source_cells(spark, sf_dir):
-    d = jats.read_jats(_rows(spark, sf_dir).select("l_orderkey", F.expr(_table_xml()).alias("xml")))
+    d = jats.read_jats(_rows(spark, sf_dir).select("l_orderkey", F.expr(_table_xml()).alias("xml")), markdown=False)
     return d.select("l_orderkey", F.size("cells").cast("long").alias("n_cells"), F.array_join(F.flatten(F.transform("cells", tx.structured_numbers)), " ").alias("tokens"))
 
 
@@ -333,7 +333,7 @@ def _articles(spark: SparkSession, sf_dir: str, publisher: bool) -> DataFrame:
 @query(f"""WITH {ORDERS_SQL}, s AS (SELECT *, CAST((499 + 1) * n + digits + 4 * n + (n - 1) AS BIGINT) AS chars FROM o)
     SELECT o_custkey, '10.1/a' || o_custkey AS doi, n AS section_count, n AS paragraph_count, CAST(1 AS BIGINT) AS reference_count, n AS figure_count, chars AS body_characters, n >= 10 AND chars >= 5000 AS candidate_full_text FROM s""")
 def q24_jats_stats(spark, sf_dir):
-    return jats.read_jats(_articles(spark, sf_dir, False)).select("o_custkey", *[f"stats.{c}" for c in ("doi", "section_count", "paragraph_count", "reference_count", "figure_count", "body_characters", "candidate_full_text")])
+    return jats.read_jats(_articles(spark, sf_dir, False), markdown=False).select("o_custkey", *[f"stats.{c}" for c in ("doi", "section_count", "paragraph_count", "reference_count", "figure_count", "body_characters", "candidate_full_text")])
 
 
 @query(f"""WITH {ORDERS_SQL}, s AS (SELECT *, CAST((499 + 1) * n + digits + 2 * n + n + 1 AS BIGINT) AS chars FROM o)
@@ -341,7 +341,7 @@ def q24_jats_stats(spark, sf_dir):
            concat_ws('; ', CASE WHEN o_custkey % 5 = 0 THEN 'unexpected root element: abstract-response' END, CASE WHEN n < 2 THEN 'too few sections: ' || n END, CASE WHEN n < 10 THEN 'too few paragraphs: ' || n END,
                      CASE WHEN chars < 5000 THEN 'too little textual content: ' || chars || ' chars' END) AS reason FROM s""")
 def q25_xml_stats(spark, sf_dir):
-    return publisher_xml.read_publisher_xml(_articles(spark, sf_dir, True)).select("o_custkey", "section_count", "paragraph_count", "reference_count", "text_characters", "is_full_text", "reason")
+    return publisher_xml.read_publisher_xml(_articles(spark, sf_dir, True), markdown=False).select("o_custkey", "section_count", "paragraph_count", "reference_count", "text_characters", "is_full_text", "reason")
 
 
 @query("SELECT l_orderkey, NOT (l_orderkey % 4 = 0 AND l_orderkey % 8 <> 0) AS is_simple FROM (SELECT DISTINCT l_orderkey FROM lineitem)")
@@ -357,7 +357,7 @@ FLOAT_MD = "concat('Text (#t1).', chr(10), chr(10), 'More.', chr(10), chr(10), '
 @query("""SELECT o_orderkey, 't1' AS relocated, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 't' || (o_orderkey % 10 + 2) END AS missing, CASE WHEN o_orderkey % 3 = 0 THEN 't' || (o_orderkey % 10 + 2) ELSE '' END AS image_only,
     'Text (#t1).' || chr(10) || chr(10) || '<a id="t1"></a>' || chr(10) || chr(10) || '**Table 1** c' || chr(10) || chr(10) || '| a |' || chr(10) || '| --- |' || chr(10) || '| ' || o_orderkey || ' |' || chr(10) || chr(10) || 'More.' || chr(10) AS markdown FROM orders""")
 def q27_float_table_status(spark, sf_dir):
-    d = publisher_xml.read_publisher_xml(read(spark, sf_dir, "orders").select("o_orderkey", F.expr(FLOATS).alias("xml"), F.expr(FLOAT_MD).alias("md")))
+    d = publisher_xml.read_publisher_xml(read(spark, sf_dir, "orders").select("o_orderkey", F.expr(FLOATS).alias("xml"), F.expr(FLOAT_MD).alias("md")), markdown=False)
     d = publisher_xml.missing_tables(markdown_clean.clean(d, "md"))
     return d.select("o_orderkey", F.array_join("relocated", ",").alias("relocated"), F.array_join("missing_float_table_ids", ",").alias("missing"), F.array_join("image_only_float_table_ids", ",").alias("image_only"), F.col("llm_markdown").alias("markdown"))
 
