@@ -50,7 +50,7 @@ def run_folder(spark: SparkSession) -> str:
     return found
 
 
-def bound_batches(spark: SparkSession, most: str = "8m") -> None:
+def bound_batches(spark: SparkSession, most: str = "4m") -> None:
     """Arrow batches of texts by bytes, not only by rows: their copies on both sides count against an executor's memory.
 
     The setting is the session's and is read when a result is computed, so it can't be put back here; one other than Spark's own stays.

@@ -26,7 +26,7 @@ def powers(n: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
         _powers.append((np.ones(1, np.uint64), np.ones(1, np.uint64)))
     up, down = _powers[which]
     if len(up) < n:
-        n = max(n, 1 << 20)
+        n = 1 << max(16, n.bit_length())
         back = np.uint64(pow(int(BASE[which]), -1, 2**64))
         up = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, BASE[which])])
         down = np.cumprod(np.r_[np.uint64(1), np.full(n - 1, back)])

@@ -38,6 +38,8 @@ _KIND[:128] = [0 if c in b" \t\n\x0b\x0c\r" else 3 if c == 39 else 1 if chr(c).i
 #: The pre-tokenizer's pattern, as its file states it.
 _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _CACHE, _KEPT = 300_000, 30_000
+#: Characters that are tokenized at once.
+_LOT = 1_000_000
 #: Chunks of up to _SHORT bytes are their own keys; those over _LONG are never kept.
 _SHORT, _LONG = 7, 256
 _MASK = np.array([(1 << 8 * n) - 1 for n in range(_SHORT + 1)], np.uint64)
@@ -64,9 +66,10 @@ class ChunkTokens:
     differs, and any very long one, is tokenized by itself. Texts with unusual characters go to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int | None = None):
         from tokenizers import Tokenizer
 
+        self.most = cache or _CACHE
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab(False)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -75,8 +78,8 @@ class ChunkTokens:
 
     def _clear(self) -> None:
         self.known: dict[int, int] = {}
-        self.flat, self.used = np.zeros(1 << 20, "<u4"), 0
-        self.text, self.filled = np.zeros(1 << 20, "u1"), 0
+        self.flat, self.used = np.zeros(1 << 19, "<u4"), 0
+        self.text, self.filled = np.zeros(1 << 19, "u1"), 0
         # Of each kept chunk: where its ids start and their number, where its bytes start and their number, key, uses.
         self.start, self.size, self.at, self.bytes, self.keys, self.hits = (np.zeros(1 << 18, t) for t in ("i8", "i8", "i8", "i8", "u8", "i8"))
 
@@ -162,8 +165,8 @@ class ChunkTokens:
         usual = hi - lo <= _LONG
         some = slice(None) if usual.all() else np.flatnonzero(usual)
         a, b = lo[some], hi[some]
-        if len(self.known) > _CACHE:
-            self._thin(_CACHE // 3)
+        if len(self.known) > self.most:
+            self._thin(self.most // 3)
         keys, at, inverse, times = np.unique(self._keys(data, a, b), return_index=True, return_inverse=True, return_counts=True)
         place = np.fromiter((self.known.get(k, -1) for k in keys.tolist()), "i8", len(keys))
         fresh = np.flatnonzero(place < 0)
@@ -195,11 +198,12 @@ class ChunkTokens:
         return [next(easy) if p else np.asarray(next(odd).ids, "<u4") for p in plain]
 
 
-def tokens_of(path: str) -> ChunkTokens:
+def tokens_of(path: str, cache: int | None = None) -> ChunkTokens:
     """One for each Python worker and file."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _loaded:
-        _loaded[path] = ChunkTokens(path)
+        _loaded[path] = ChunkTokens(path, cache)
+    _loaded[path].most = cache or _CACHE
     return _loaded[path]
 
 
@@ -209,7 +213,7 @@ def forget() -> None:
         x._thin(_KEPT)
 
 
-def lots(texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
+def lots(texts: list[str | None], most: int = _LOT) -> Iterator[tuple[int, list[str]]]:
     """Texts in runs of at most about `most` characters, with the number of the first."""
     lo, held, some = 0, 0, []
     for i, t in enumerate(texts):
@@ -220,13 +224,13 @@ def lots(texts: list[str | None], most: int = 1_000_000) -> Iterator[tuple[int,
             lo, held, some = i + 1, 0, []
 
 
-def _tokenized(tokenizer_path: str, end_id: int):
+def _tokenized(tokenizer_path: str, end_id: int, cache: int | None, lot: int):
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, at, part = tokens_of(tokenizer_path), 0, TaskContext.get().partitionId()
+        own, at, part = tokens_of(tokenizer_path, cache), 0, TaskContext.get().partitionId()
         for batch in batches:
-            for lo, texts in lots(batch.column(1).to_pylist()):
+            for lo, texts in lots(batch.column(1).to_pylist(), lot):
                 some = batch.slice(lo, len(texts))
                 ids = [x.tobytes() + end for x in own.encode(texts)]
                 n = np.array([len(x) // 4 for x in ids], "i8")
@@ -264,14 +268,17 @@ def _cut(total: int, window: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, padded_length."""
+def pack(docs: DataFrame, tokenizer_path: str, *, window: int = WINDOW, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", cache: int | None = None, lot: int = _LOT) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, padded_length.
+
+    cache: chunks that a worker keeps; lot: characters that it tokenizes at once. Less of both takes less memory and more time.
+    """
     spark = docs.sparkSession
     bound_batches(spark)
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     path = fresh_path(spark, "tokens")
-    rows.mapInArrow(tidy(_tokenized(tokenizer_path, end_id), forget), f"doc_id {kind}, part int, local long, n long, ids binary").write.parquet(path)
+    rows.mapInArrow(tidy(_tokenized(tokenizer_path, end_id, cache, lot), forget), f"doc_id {kind}, part int, local long, n long, ids binary").write.parquet(path)
     held = spark.read.schema(f"doc_id {kind}, part int, local long, n long, ids binary").parquet(path)
     totals = sorted(held.groupBy("part").agg(F.max(F.col("local") + F.col("n"))).collect())  # one number a partition
     ends = list(accumulate((n for _, n in totals), initial=0))

@@ -46,6 +46,8 @@ SHARD_BYTES = 48 << 20
 CHUNK_BYTES = 1 << 19
 #: Contexts of one rank that are compared in one task; more go by single windows.
 GROUP = 4_000
+#: Contexts whose windows are compared at once; of more only some distances at a time.
+SETTLED = 1_000
 
 def leftmost_minimum(h: np.ndarray, w: int) -> np.ndarray:
     """For each p the place of the smallest of h[p : p + w], the leftmost of equal ones by their upper 38 bits."""
@@ -282,10 +284,27 @@ def _starts(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["loc", "lo", "hi"])
 
 
+def clipped(rows: list[tuple], lo: int, hi: int) -> list[tuple]:
+    """Rows (rank, loc, span, active, bytes) with their windows at distances lo to hi only."""
+    out = []
+    for rank, loc, span, active, data in rows:
+        near, far = span >> 8 & 255, span & 255
+        a, b = max(near, lo), min(far, hi)
+        if a <= b:
+            out.append((rank, loc, span >> 16 << 16 | a << 8 | b, active, data[far - b : len(data) - (a - near)]))
+    return out
+
+
 def _compare(length: int):
-    """Contexts sorted by rank to the repeated starts of the active ones."""
+    """Contexts sorted by rank to the repeated starts of the active ones. Only windows at the same distance can be equal, so many contexts are compared distance by distance."""
 
     def settle(rows: list[tuple]) -> list[tuple[int, int, int]]:
+        if len(rows) <= SETTLED:
+            return settled(rows)
+        width = max(1, 256 * SETTLED // len(rows))
+        return [x for lo in range(0, 256, width) if (some := clipped(rows, lo, lo + width - 1)) for x in settled(some)]
+
+    def settled(rows: list[tuple]) -> list[tuple[int, int, int]]:
         row, distance, one, two = window_prints(rows, length)
         order = np.lexsort((two, one))
         same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
@@ -299,7 +318,7 @@ def _compare(length: int):
         held: list[tuple] = []
         last = None
         for rank, loc, span, active, data in _rows(batches):
-            if rank != last and len(held) > 4000:
+            if rank != last and len(held) > SETTLED:
                 yield _starts(settle(held))
                 held = []
             held.append((rank, loc, span, active, data))

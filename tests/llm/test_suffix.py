@@ -59,6 +59,14 @@ def test_other_length_and_large_groups(spark, monkeypatch):
     assert run(spark, rows, length=120) == brute(rows, 120)
 
 
+def test_many_contexts_by_distance(spark, monkeypatch):
+    rows = [*corpus(9), *SPECIAL]
+    monkeypatch.setattr(sd, "SETTLED", 2)  # before the functions are sent to the workers
+    held = [(1, 7, 5 << 16 | 3 << 8 | 9, True, bytes(range(200)) + bytes(6)), (1, 8, 5 << 16 | 0 << 8 | 0, False, bytes(200))]
+    assert sd.clipped(held, 4, 6) == [(1, 7, 5 << 16 | 4 << 8 | 6, True, (bytes(range(200)) + bytes(6))[3:205])]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_empty(spark):
     assert run(spark, []) == [] and run(spark, [(1, None)]) == brute([(1, None)])
 
