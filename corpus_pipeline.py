@@ -61,7 +61,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null or empty text is its end token; repeated rows are packed each; a null doc_id is carried; other columns end here.
     """
-    return packing.pack(docs, tokenizer_file(spark, "word_bpe_49k.json"))
+    # Workers of the stages before may still be there: less memory for kept chunks than where packing runs alone.
+    return packing.pack(docs, tokenizer_file(spark, "word_bpe_49k.json"), cache=100_000, lot=300_000)
 
 
 STAGES = [
