@@ -79,9 +79,9 @@ def without_images(c: Column | str) -> Column:
 
 
 def heading_level(title: Column | str) -> Column:
-    """Markdown level of a section title: the depth of its number plus one, 3 for a lettered note, else 2."""
+    """Markdown level of a section title: the depth of its number plus one, also where the title is the number alone, 3 for a lettered note, else 2."""
     c = col(title)
-    number = F.regexp_extract(c, r"(?U)^\s*(\d+(?:\.\d+)*)\s+", 1)
+    number = F.regexp_extract(c, r"(?U)^\s*(\d+(?:\.\d+)*)(?:\s|\z)", 1)
     depth = F.size(F.split(number, "[.]"))
     return F.when(number != "", F.least(depth + 1, F.lit(6))).when(c.rlike(r"(?iU)^\s*Note\s+[A-Z]\d+"), 3).otherwise(2)
 

@@ -37,6 +37,11 @@ def test_heading_level(spark, title, level):
     assert values(spark, [title], tx.heading_level("t")) == [(level,)]
 
 
+@pytest.mark.parametrize("title, level", [("0.1", 3), ("3.7.1", 4), ("7", 2), ("1.2x", 2)])
+def test_heading_level_of_a_number_alone(spark, title, level):
+    assert values(spark, [title], tx.heading_level("t")) == [(level,)]
+
+
 def test_headings(spark):
     got = values(spark, ["# 5.1 results \nx", "## Conclusions", "### References", "# Bibliography\n", "References"], tx.has_heading("t", "Results"), tx.has_heading("t", "Conclusion"), tx.has_references("t"))
     assert got == [(True, False, False), (False, False, False), (False, False, True), (False, False, True), (False, False, False)]
