@@ -103,11 +103,15 @@ def markdown(pieces: Column | str) -> Column:
 
 
 def paragraphs(pieces_df: DataFrame, key: str) -> DataFrame:
-    """One row per rendered item: key, item (from 0), kind, text, joined pieces merged."""
-    p = F.filter("pieces", lambda x: x["text"] != "")
-    marked = F.transform(p, lambda x: F.concat(F.when(x["joins"], F.lit(" ")).otherwise(F.concat(F.lit("\u0001"), x["kind"], F.lit("\u0002"))), x["text"]))
-    items = pieces_df.select(key, F.posexplode(F.split(F.substring(F.array_join(marked, ""), 2, 2**31 - 1), "\u0001")).alias("item", "x"))
-    return items.where("x <> ''").select(key, F.col("item").cast("long").alias("item"), F.substring_index("x", "\u0002", 1).alias("kind"), F.expr("substring(x, locate('\u0002', x) + 1)").alias("text"))
+    """One row per rendered item: key, item (from 0), kind, text, joined pieces merged. An outer explode, see histogram."""
+    held = pieces_df.select(key, F.filter("pieces", lambda x: x["text"] != "").alias("p"))
+    # Places where an item begins, and the place behind the last one; an item is a slice between two of them.
+    begins = F.filter(F.transform("p", lambda x, i: F.when(~x["joins"], i + 1)), lambda i: i.isNotNull())
+    ends = F.concat(F.slice("b", 2, F.greatest(F.size("b") - 1, F.lit(0))), F.array(F.size("p") + 1))
+    held = held.withColumn("b", begins).withColumn("e", ends)
+    one = lambda n, i: F.struct(F.element_at("p", n)["kind"].alias("kind"), F.array_join(F.transform(F.slice("p", n, F.get("e", i) - n), lambda x: x["text"]), " ").alias("text"))
+    items = held.select(key, F.posexplode_outer(F.transform("b", one)).alias("item", "x")).where("item is not null")
+    return items.select(key, F.col("item").cast("long").alias("item"), "x.kind", "x.text")
 
 
 def counted(values: Column) -> Column:

@@ -68,6 +68,13 @@ def test_paragraphs(spark):
     assert [tuple(r)[1:] for r in blocks.paragraphs(blocks.with_pieces(df), "id").orderBy("item").collect()] == [(0, "text", "a b"), (1, "list", "c")]
 
 
+def test_paragraphs_keep_any_character(spark):
+    """A control character is text, and a document that renders nothing has no items."""
+    docs = [doc(b("text", "a\u0001b\u0002"), b("text", "\u0001c", continues_prev=True), b("paragraph_title", "0.1 ")), doc(b("text", " "))]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "id int, j string").withColumn("content", blocks.parse_content("j"))
+    assert [tuple(r) for r in blocks.paragraphs(blocks.with_pieces(df), "id").orderBy("item").collect()] == [(0, 0, "text", "a\u0001b\u0002 \u0001c"), (0, 1, "heading", "### 0.1")]
+
+
 def test_pdf_states(spark):
     rows = [(b"<html>", None, None, 10), (b"%PDF-1", None, None, None), (b"%PDF-1", 0, None, None), (b"%PDF-1", 3, 3, 12), (b"%PDF-1", 1, 23, None), (b"%PDF-1", 2, None, None), (None, 1, 1, None)]
     got = audit.pdf_state(spark.createDataFrame(rows, "content binary, actual_pages long, expected_pages long, expected_bytes long")).collect()
