@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids
 from ..functions import text as tx
+from ..functions.rows import spread
 from ..operators import audit, blocks, jats, markdown_clean, metadata, publisher_xml
 from ..sources.landed import with_page_count
 from ..sources.requests import KINDS, pdf_requests, requests
@@ -85,8 +86,9 @@ ARTICLE = """concat('<?xml version="1.0"?><!DOCTYPE article><article xmlns:xlink
 PUBLISHED = "'2020-' || lpad(CAST(p_size % 12 + 1 AS VARCHAR), 2, '0') || CASE WHEN p_partkey % 4 = 0 THEN '' ELSE '-03' END"
 
 
-def _part_articles(spark, sf_dir):
-    return jats.read_jats(read(spark, sf_dir, "part").select("p_partkey", F.expr(ARTICLE).alias("xml")))
+def _part_articles(spark, sf_dir, part):
+    p = spread(read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
+    return jats.read_jats(p.select("p_partkey", F.expr(ARTICLE).alias("xml")), parts=(part,))
 
 
 @query(f"""SELECT p_partkey, '# On ' || p_name || x || x || '- DOI: 10.1/' || p_partkey || x || '- Journal: Journal of ' || p_brand || x || '- Published: ' || {PUBLISHED} || x || '- Authors: Jo ' || p_size || ' Doe, Roe' || x || x || '## Abstract' || x || x || 'One <sub>' || p_size || '</sub>.' || x || x || 'Two.'
@@ -94,13 +96,13 @@ def _part_articles(spark, sf_dir):
     || CASE WHEN p_partkey % 2 = 0 THEN '1. ' || p_type || x || '3. last' ELSE '- ' || p_type || x || '- last' END || x || x || 'end' || x || x || '### Deep' || x || x || 'Under.' || x || x || '## Results' || x || x || '**Fig. ' || p_size || '.** Cap b' || x || x || 'Loose ' || p_partkey || '.'
     || x || x || '## Acknowledgements' || x || x || 'Thanks, ' || p_brand || '.' || x || x || '## Data' || x || x || 'None.' || x || x || '## References' || x || x || p_size || ' Doe J et al. On ' || p_name || ' 2020' || x || x || 'S' || x AS markdown FROM part, (SELECT chr(10) AS x)""")
 def q46_jats_markdown(spark, sf_dir):
-    return _part_articles(spark, sf_dir).select("p_partkey", "markdown")
+    return _part_articles(spark, sf_dir, "markdown").select("p_partkey", "markdown")
 
 
 @query(f"""SELECT p_partkey, 'On ' || p_name AS title, '- DOI: 10.1/' || p_partkey || '|- Journal: Journal of ' || p_brand || '|- Published: ' || {PUBLISHED} || '|- Authors: Jo ' || p_size || ' Doe, Roe' AS facts,
     'One <sub>' || p_size || '</sub>.' || chr(10) || chr(10) || 'Two.' AS abstract, '1:On ' || p_name || '|2:Abstract|2:First|3:Deep|2:Results|2:Acknowledgements|2:Data|2:References' AS headings FROM part""")
 def q47_jats_front(spark, sf_dir):
-    d = _part_articles(spark, sf_dir)
+    d = _part_articles(spark, sf_dir, "blocks")
     of = lambda kind: F.filter("blocks", lambda b: b["kind"] == kind)
     text = lambda c: F.transform(c, lambda b: b["text"])
     return d.select(
@@ -122,7 +124,8 @@ PARTIAL = """concat('<a><journal-title> J', c_nationkey, '</journal-title><artic
     CASE WHEN c_custkey % 4 > 0 THEN 'k;' || c_mktsegment END AS keywords, CASE WHEN c_custkey % 4 > 0 THEN 'true' END AS open_access, CASE WHEN c_custkey % 4 > 0 THEN 'L' END AS copyright,
     CASE WHEN c_custkey % 4 > 0 THEN CASE WHEN c_custkey % 5 = 0 THEN 'https://self/' || c_custkey ELSE 'http://u/' || c_custkey END END AS url FROM customer""")
 def q48_partial_xml(spark, sf_dir):
-    d = read(spark, sf_dir, "customer").select("c_custkey", F.expr(PARTIAL).alias("xml"), F.expr("concat('10.1234/c', c_custkey, if(c_custkey % 4 = 0, 'x', ''))").alias("doi"))
+    c = spread(read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    d = c.select("c_custkey", F.expr(PARTIAL).alias("xml"), F.expr("concat('10.1234/c', c_custkey, if(c_custkey % 4 = 0, 'x', ''))").alias("doi"))
     p = metadata.read_partial(d)
     return p.select("c_custkey", F.col("partial").isNotNull().alias("has_doi"), *[(F.array_join(f"partial.{f}", ";") if f in metadata.LISTS else F.col(f"partial.{f}")).alias(f) for f in metadata.FIELDS])
 
@@ -288,4 +291,4 @@ PUBLISHER = """concat('<full-text-retrieval-response><title>On ', p_name, '</tit
     || x || x || '### 1.1 Deep' || x || x || 'd' || x || x || '**Fig. 1 C**' || x || x || '<a id="t1"></a>' || x || x || '**Table 1** Cap' || x || x || '| A | B\\|C |' || x || '| --- | --- |' || x || '| ' || p_size || ' |  |' || x || x || '## References' || x || x || '<a id="b1"></a>' || x || x || 'Ref ' || p_type || x AS markdown
     FROM part, (SELECT chr(10) AS x)""")
 def q63_publisher_markdown(spark, sf_dir):
-    return publisher_xml.read_publisher_xml(read(spark, sf_dir, "part").select("p_partkey", F.expr(PUBLISHER).alias("xml"))).select("p_partkey", F.col("raw_markdown").alias("markdown"))
+    return publisher_xml.read_publisher_xml(spread(read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")).select("p_partkey", F.expr(PUBLISHER).alias("xml"))).select("p_partkey", F.col("raw_markdown").alias("markdown"))
