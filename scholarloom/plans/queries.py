@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids
 from ..functions import text as tx
+from ..functions.rows import selected, spread
 from ..operators import audit, blocks, jats, links, manifest, markdown_clean, metadata, publisher_xml
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -274,18 +275,18 @@ def _table_xml(spanning: bool = False) -> str:
     SELECT l_orderkey, '# Untitled article' || chr(10) || chr(10) || '## T' || chr(10) || chr(10) || '**Table ' || l_orderkey || '.** Rows of the order' || chr(10) || chr(10) || '| Quantity | Flag |  |' || chr(10) || '| --- | --- | --- |' || chr(10)
         || body || chr(10) || chr(10) || 'Note: ' || k || chr(10) AS markdown FROM t""")
 def q22_table_markdown(spark, sf_dir):
-    return jats.read_jats(_rows(spark, sf_dir).select("l_orderkey", F.expr(_table_xml()).alias("xml"))).select("l_orderkey", "markdown")
+    return jats.read_jats(_rows(spark, sf_dir).select("l_orderkey", F.expr(_table_xml()).alias("xml")), parts=("markdown",)).select("l_orderkey", "markdown")
 
 
 @query(f"""WITH {ROWS_SQL} SELECT l_orderkey, CAST(2 + 3 * count(*) AS BIGINT) AS n_cells, string_agg(qty || ' ' || price, ' ' ORDER BY n) AS tokens FROM r GROUP BY l_orderkey""")
 def q23_table_source_cells(spark, sf_dir):
-    d = jats.read_jats(_rows(spark, sf_dir).select("l_orderkey", F.expr(_table_xml()).alias("xml")), markdown=False)
+    d = jats.read_jats(_rows(spark, sf_dir).select("l_orderkey", F.expr(_table_xml()).alias("xml")), parts=("cells",))
     return d.select("l_orderkey", F.size("cells").cast("long").alias("n_cells"), F.array_join(F.flatten(F.transform("cells", tx.structured_numbers)), " ").alias("tokens"))
 
 
 @query(f"""WITH {ROWS_SQL}, t AS (SELECT l_orderkey, count(*) AS k FROM r GROUP BY l_orderkey) SELECT l_orderkey, l_orderkey % 3 <> 0 AS values_match, CAST(2 * k AS BIGINT) AS n_source, CAST(2 * k AS BIGINT) AS n_markdown FROM t""")
 def q19_table_numeric_audit(spark, sf_dir):
-    d = jats.read_jats(_rows(spark, sf_dir).select("l_orderkey", "rows", F.expr(_table_xml()).alias("xml"))).withColumn("source", F.flatten(F.transform("cells", tx.structured_numbers)))
+    d = jats.read_jats(_rows(spark, sf_dir).select("l_orderkey", "rows", F.expr(_table_xml()).alias("xml")), parts=("cells", "markdown")).withColumn("source", F.flatten(F.transform("cells", tx.structured_numbers)))
     # One digit of one price changes in every third order.
     price = F.get("rows", F.lit(0))["price"]
     broken = F.regexp_replace("markdown", F.concat(F.lit(r"\Q"), price, F.lit(r"\E \|")), F.concat(F.lit("9"), price, F.lit(" |")))
@@ -333,7 +334,7 @@ def _articles(spark: SparkSession, sf_dir: str, publisher: bool) -> DataFrame:
 @query(f"""WITH {ORDERS_SQL}, s AS (SELECT *, CAST((499 + 1) * n + digits + 4 * n + (n - 1) AS BIGINT) AS chars FROM o)
     SELECT o_custkey, '10.1/a' || o_custkey AS doi, n AS section_count, n AS paragraph_count, CAST(1 AS BIGINT) AS reference_count, n AS figure_count, chars AS body_characters, n >= 10 AND chars >= 5000 AS candidate_full_text FROM s""")
 def q24_jats_stats(spark, sf_dir):
-    return jats.read_jats(_articles(spark, sf_dir, False), markdown=False).select("o_custkey", *[f"stats.{c}" for c in ("doi", "section_count", "paragraph_count", "reference_count", "figure_count", "body_characters", "candidate_full_text")])
+    return jats.read_jats(_articles(spark, sf_dir, False), parts=("stats",)).select("o_custkey", *[f"stats.{c}" for c in ("doi", "section_count", "paragraph_count", "reference_count", "figure_count", "body_characters", "candidate_full_text")])
 
 
 @query(f"""WITH {ORDERS_SQL}, s AS (SELECT *, CAST((499 + 1) * n + digits + 2 * n + n + 1 AS BIGINT) AS chars FROM o)
@@ -346,7 +347,7 @@ def q25_xml_stats(spark, sf_dir):
 
 @query("SELECT l_orderkey, NOT (l_orderkey % 4 = 0 AND l_orderkey % 8 <> 0) AS is_simple FROM (SELECT DISTINCT l_orderkey FROM lineitem)")
 def q26_simple_table_guard(spark, sf_dir):
-    d = jats.read_jats(_rows(spark, sf_dir).select("l_orderkey", F.expr(_table_xml(True)).alias("xml")))
+    d = jats.read_jats(_rows(spark, sf_dir).select("l_orderkey", F.expr(_table_xml(True)).alias("xml")), parts=("render_error",))
     return d.select("l_orderkey", F.col("render_error").isNull().alias("is_simple"))
 
 
@@ -426,7 +427,8 @@ PAYLOAD = """CASE WHEN c_custkey % 7 = 0 THEN '{"records": 5}' WHEN c_custkey %
 
 
 def _meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", F.expr(PAYLOAD).alias("payload"), F.expr("concat('10.1234/c', c_custkey)").alias("doi"))
+    own = ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    c = spread(read(spark, sf_dir, "customer").select(*own)).select(*own, F.expr(PAYLOAD).alias("payload"), F.expr("concat('10.1234/c', c_custkey)").alias("doi"))
     return metadata.select_record(c)
 
 
@@ -439,8 +441,8 @@ def q33_meta_select(spark, sf_dir):
 @query("""SELECT c_custkey, c_name AS title, 'A, B; C' AS authors, CAST(c_nationkey AS VARCHAR) AS volume, CASE WHEN c_custkey % 2 = 0 THEN 'true' ELSE 'false' END AS open_access, c_mktsegment AS keywords,
     CASE WHEN c_custkey % 3 = 0 THEN '1' ELSE '1-9' END AS pages, 'http://h/' || c_custkey AS url, CAST(NULL AS VARCHAR) AS journal FROM customer WHERE c_custkey % 7 > 1""")
 def q34_meta_fields(spark, sf_dir):
-    m = metadata.meta_fields(_meta(spark, sf_dir).where("record is not null"), name="f")
-    return m.select("c_custkey", "f.title", F.array_join("f.authors", "; ").alias("authors"), "f.volume", "f.open_access", F.array_join("f.keywords", "; ").alias("keywords"), "f.pages", "f.url", "f.journal")
+    m = metadata.meta_fields(_meta(spark, sf_dir), name="f")
+    return selected(m, F.col("record").isNotNull(), "c_custkey", "f.title", F.array_join("f.authors", "; ").alias("authors"), "f.volume", "f.open_access", F.array_join("f.keywords", "; ").alias("keywords"), "f.pages", "f.url", "f.journal")
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> DataFrame:
