@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids
 from ..functions import text as tx
-from ..functions.rows import spread
+from ..functions.rows import dealt, spread
 from ..operators import audit, blocks, jats, markdown_clean, metadata, publisher_xml
 from ..sources.landed import with_page_count
 from ..sources.requests import KINDS, pdf_requests, requests
@@ -211,6 +211,8 @@ def q57_safe_whole_number(spark, sf_dir):
 
 # Whole runs.
 
+#: Entries a part: a task holds the articles of so many.
+RUN_ROWS = 20_000
 RUN_DOI = "CASE c_custkey % 8 WHEN 0 THEN concat('10.1038/s', c_custkey) WHEN 1 THEN concat('10.1007/s12273-', c_custkey) WHEN 2 THEN concat('10.1016/p', c_custkey) WHEN 3 THEN concat('DOI:10.1038/S', c_custkey) WHEN 4 THEN concat('10.1007/s12273-', c_custkey) WHEN 5 THEN concat('10.5555/', c_custkey) WHEN 6 THEN concat('bad ', c_custkey) ELSE concat('10.1016/q', c_custkey) END"
 ONE_PAGE = "'%PDF-1.7 /Type /Page %%EOF'"
 RUN_CONTENT = """concat('{"is_full_document": true, "pages": [{"blocks": [{"type": "doc_title", "content": "Paper ', c_custkey, '"}, {"type": "paragraph_title", "content": "References"}]}]}')"""
@@ -219,7 +221,7 @@ RUN_META = """concat('{"records": [{"doi": "10.1007/s12273-', c_custkey, '", "ti
 
 
 def _run(spark, sf_dir):
-    c = read(spark, sf_dir, "customer").select("c_custkey", F.expr(RUN_DOI).alias("doi_raw"))
+    c = dealt(read(spark, sf_dir, "customer").select("c_custkey"), RUN_ROWS).select("c_custkey", F.expr(RUN_DOI).alias("doi_raw"))
     made = lambda rest, kind, data: c.where(f"c_custkey % 8 = {rest}").select(ids.normalize_doi("doi_raw").alias("doi"), F.lit(kind).alias("kind"), F.expr(data).cast("binary").alias("content"))
     a = made(0, "local_pdf", ONE_PAGE)
     for rest, kind, data in ((0, "content_json", RUN_CONTENT), (1, "explicit_pdf", ONE_PAGE), (1, "content_json", RUN_CONTENT), (2, "publisher_xml", RUN_XML), (3, "local_pdf", "'<html>'"), (4, "metadata_json", RUN_META), (7, "publisher_xml", "'<abstract-response/>'")):

@@ -21,7 +21,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.ids import article_urls, doi_error, normalize_doi, paper_paths, with_route
 from ..operators import audit, blocks, jats, markdown_clean, metadata, publisher_xml
-from ..operators.manifest import RECOVERED, RECOVERY_NOTE, choose_source, manifest
+from ..operators.manifest import RECOVERED, RECOVERY_NOTE, manifest
 from ..sources import landed
 from ..sources.requests import pdf_requests, requests
 
@@ -323,14 +323,21 @@ class Batch:
         return self._joined(papers, reduce(DataFrame.unionByName, [*self.parts, *self.problems]))
 
     def _joined(self, papers: DataFrame, candidates: DataFrame) -> DataFrame:
-        best = choose_source(candidates).drop("ok", "priority", "reason")
+        """Papers with their best candidate, as choose_source takes it: decided on narrow rows, texts pass by and are never sorted."""
+        usable = candidates.where("ok")
+        per = usable.groupBy("doi", "priority").agg(F.count("*").alias("n"))
+        best = per.groupBy("doi").agg(F.min(F.struct("priority", "n")).alias("best")).select("doi", "best.*")
         failed = candidates.where(~F.col("ok")).groupBy("doi").agg(F.min_by(F.struct("source", "failures", "reason"), "priority").alias("bad"))
-        out = papers.select("index", "doi_raw", "doi", "doi_error", "route", "supported").join(best, "doi", "left").join(failed, "doi", "left")
+        rows = papers.select("index", "doi_raw", "doi", "doi_error", "route", "supported")
+        known = rows.where("doi is not null").join(best, "doi", "left").join(failed, "doi", "left")
+        both = known.hint("shuffle_hash").join(usable.drop("ok", "reason"), ["doi", "priority"], "left")
+        # Of several usable ones of a source any one counts.
+        out = both.where("n is null or n = 1").unionByName(both.where("n > 1").dropDuplicates(["index"])).unionByName(rows.where("doi is null"), allowMissingColumns=True)
         error = (
             F.when(F.col("doi_error").isNotNull(), F.concat(F.lit("invalid DOI: "), "doi_error")).when(~F.col("supported"), "unsupported route")
             .when(F.col("source").isNull(), F.concat(F.lit("no usable source: "), F.coalesce(F.nullif(F.array_join("bad.failures", ", "), F.lit("")), F.col("bad.reason"), F.lit("none landed"))))
         )
-        return out.withColumns({"error": error, "fallback_reason": F.coalesce(F.col("bad.reason"), F.array_join("bad.failures", ", "))}).withColumn("doi", F.coalesce("doi", "doi_raw")).drop("bad", "doi_raw", "doi_error", "supported")
+        return out.withColumns({"error": error, "fallback_reason": F.coalesce(F.col("bad.reason"), F.array_join("bad.failures", ", "))}).withColumn("doi", F.coalesce("doi", "doi_raw")).drop("bad", "priority", "n", "doi_raw", "doi_error", "supported")
 
     def recovered(self, results: DataFrame) -> DataFrame:
         """(paper_id, name, data): access logs of papers that a PDF has recovered since."""

@@ -3,8 +3,10 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from scholarloom.operators import jats
+from scholarloom.plans import article_queries, papers
 from scholarloom.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -27,3 +29,28 @@ def test_only_wanted_parts():
             one = jats.read_article(table.format(span), parts=(part,))
             assert one[part] == whole[part] and all(one[p] is None for p in jats.PARTS if p not in (part, "render_error"))
     assert jats.read_article(table.format(' colspan="2"'), parts=("render_error",))["render_error"] == "a table has spanning cells"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+def test_run_is_dealt(spark, monkeypatch):
+    monkeypatch.setattr(article_queries, "process", lambda dois, artifacts, options: (dois, artifacts.where("kind = 'publisher_xml'")))
+    for df in article_queries._run(spark, SF):
+        assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(article_queries, "RUN_ROWS", 10)
+    assert article_queries._run(spark, SF)[0].rdd.getNumPartitions() == -(-spark.read.parquet(f"{SF}/customer.parquet").count() // 10)
+
+
+def test_best_candidates_without_sorting_texts(spark):
+    work = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "c"), (5, "d"), (6, None)], "index long, doi string")
+    work = work.selectExpr("index", "concat('raw', index) AS doi_raw", "doi", "if(doi is null, 'odd', null) AS doi_error", "'nature' AS route", "doi is not null AS supported")
+    rows = [("a", 2, True, "late"), ("a", 1, False, "bad"), ("a", 2, True, "late"), ("b", 9, True, "last"), ("b", 3, True, "first"), ("c", 1, False, "bad")]
+    given = spark.createDataFrame(rows, "doi string, priority int, ok boolean, source string").withColumn("markdown", F.concat(F.lit("text of "), "source")).withColumn("failures", F.array(F.lit("f")))
+    types = dict(c.split() for c in papers.RESULT.split(", "))
+    out = papers.Batch(work, work)._joined(work, given.select(*[(F.col(c) if c in given.columns else F.lit(None)).cast(types[c]).alias(c) for c in papers.COLUMNS]))
+    got = {r["index"]: (r["doi"], r["source"], r["markdown"], r["fallback_reason"]) for r in out.collect()}
+    assert out.count() == 6 and got == {
+        1: ("a", "late", "text of late", "f"), 2: ("a", "late", "text of late", "f"), 3: ("b", "first", "text of first", None), 4: ("c", None, None, "f"), 5: ("d", None, None, None), 6: ("raw6", None, None, None),
+    }
+    alone = out._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(alone) if "ShuffledHashJoin" in line)
+    assert "LeftOuter, BuildLeft" in alone[at] and not any("Sort" in line and "markdown" in line for line in alone[:at])
