@@ -16,12 +16,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(max(2 * session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def dealt(df: DataFrame, rows: int) -> DataFrame:
-    """df in parts of about so many rows, and one for every core at least.
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """df in parts of about so many rows, and one for every core at least. Rows of equal keys come together, if some are given.
 
     For rows that go through many stages: there, more parts than the rows need cost more than they save. Rows are counted for it.
     """
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows)))
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows)), *keys)
 
 
 def selected(df: DataFrame, test: Column, *columns: Column | str) -> DataFrame:

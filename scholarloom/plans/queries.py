@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids
 from ..functions import text as tx
-from ..functions.rows import selected, spread
+from ..functions.rows import dealt, selected, spread
 from ..operators import audit, blocks, jats, links, manifest, markdown_clean, metadata, publisher_xml
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -236,12 +236,16 @@ ROWS_SQL = """r AS (SELECT l_orderkey, CAST(CAST(l_extendedprice AS DECIMAL(15,2
     row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS n FROM lineitem)"""
 
 
+#: Rows of tables a part.
+TABLE_ROWS = 250_000
+
+
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(l_orderkey, rows): array<struct<n, qty, price, flag>> in order."""
     li = read(spark, sf_dir, "lineitem")
     money = lambda c: F.col(c).cast("decimal(15,2)").cast("string")
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-    packed = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("x"))
+    packed = dealt(li.select("l_orderkey", *order), TABLE_ROWS, "l_orderkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("x"))
     return packed.select("l_orderkey", F.transform("x", lambda r, i: F.struct((i + 1).alias("n"), r["l_quantity"].cast("decimal(15,2)").cast("string").alias("qty"), r["l_extendedprice"].cast("decimal(15,2)").cast("string").alias("price"), r["l_returnflag"].alias("flag"))).alias("rows"))
 
 

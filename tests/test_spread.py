@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scholarloom.operators import jats
-from scholarloom.plans import article_queries, papers
+from scholarloom.plans import article_queries, papers, queries
 from scholarloom.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -54,3 +54,22 @@ def test_best_candidates_without_sorting_texts(spark):
     alone = out._jdf.queryExecution().executedPlan().toString().split("\n")
     at = next(i for i, line in enumerate(alone) if "ShuffledHashJoin" in line)
     assert "LeftOuter, BuildLeft" in alone[at] and not any("Sort" in line and "markdown" in line for line in alone[:at])
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
+@pytest.mark.parametrize("name", ["q19_table_numeric_audit", "q22_table_markdown", "q23_table_source_cells"])
+def test_table_rows_are_dealt(spark, monkeypatch, name):
+    monkeypatch.setattr(queries, "TABLE_ROWS", 100)
+    parts = -(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 100)
+    df = queries.QUERIES[name](spark, SF)
+    assert df.rdd.getNumPartitions() == parts
+    first = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert first.count("Exchange") == 1
+
+
+def test_cells_of_prefixed_names():
+    for ns in ('xmlns:p="u"', 'xmlns = "u"', 'xmlns:p="u" xmlns:q="v"'):
+        name = "p:td" if "p=" in ns else "td"
+        text = f"<article {ns}><body><table-wrap><table><tbody><tr><{name}> a|b </{name}><{name}/></tr></tbody></table></table-wrap></body></article>"
+        assert jats.read_article(text)["cells"] == ["a|b", ""]
+    assert jats.pipe_table([["a|b"]], [["1", "2|\n"], []]) == "| a\\|b |  |\n| --- | --- |\n| 1 | 2\\|  |\n|  |  |"
